@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, mixing, sharding
 
-QUERIES = {"op7_exact_dedup": exact_dedup.query}
+QUERIES = {
+    "op5_sharding": sharding.query,
+    "op7_exact_dedup": exact_dedup.query,
+    "op8_mixing": mixing.query,
+}
 ORACLES = {"op7_exact_dedup": exact_dedup.ORACLE}
