@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, sharding
+from . import exact_dedup, mixing, sharding, simhash
 
 QUERIES = {
     "op5_sharding": sharding.query,
     "op7_exact_dedup": exact_dedup.query,
     "op8_mixing": mixing.query,
+    "op10_simhash": simhash.query,
 }
 ORACLES = {"op7_exact_dedup": exact_dedup.ORACLE}
