@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, sharding, simhash
+from . import exact_dedup, mixing, quality_rules, sharding, simhash, token_files
 
 QUERIES = {
+    "op1_quality_rules": quality_rules.query,
+    "op3_token_files": token_files.query,
     "op5_sharding": sharding.query,
     "op7_exact_dedup": exact_dedup.query,
     "op8_mixing": mixing.query,
