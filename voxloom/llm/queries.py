@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id, mixing, quality_rules, sharding, simhash, token_files
+from . import exact_dedup, language_id, lm_scoring, mixing, quality_rules, sharding, simhash, token_files
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
     "op2_language_id": language_id.query,
     "op3_token_files": token_files.query,
+    "op4_lm_scoring": lm_scoring.query,
     "op5_sharding": sharding.query,
     "op7_exact_dedup": exact_dedup.query,
     "op8_mixing": mixing.query,
