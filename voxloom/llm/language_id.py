@@ -25,7 +25,7 @@ from .common import c, documents, unit_hash
 from .token_files import slices
 
 WINDOW, HIDDEN, PER_LANGUAGE, SPANS, STEPS, BATCH, BLOCK = 64, 10, 500, 3, 500, 192, 4096
-UNKNOWN = "und"
+UNKNOWN, LEAST_SCORE = "und", 0.3
 
 
 def gru(table: np.ndarray, u: np.ndarray, x: np.ndarray, keep: list | None = None) -> np.ndarray:
@@ -214,6 +214,16 @@ def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return train(*sample(df, id_col, text_col, lang_col, ~held_out(id_col)))
 
 
+def reject_unknown(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of df, with df's columns, whose language is found: not `und`, with a score of at
+    least `least`. Null texts go; the rules are predict's."""
+    model = learn(df, id_col, text_col, lang_col)
+    names = df.columns
+    numbered = df.select(*[c(x).alias(f"c{i}") for i, x in enumerate(names)])
+    found = predict(numbered, model, f"c{names.index(id_col)}", f"c{names.index(text_col)}", *[F.col(f"c{i}").alias(f"k{i}") for i in range(len(names))])
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*[F.col(f"k{i}").alias(x) for i, x in enumerate(names)])
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return predict(docs, learn(docs), "doc_id", "text", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id, lm_scoring, mixing, quality_rules, sharding, simhash, token_files
+from . import exact_dedup, language_id, lm_scoring, mixing, quality_rules, sentencepieces, sharding, simhash, token_files
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_sharding": sharding.query,
     "op7_exact_dedup": exact_dedup.query,
     "op8_mixing": mixing.query,
+    "op9_sentencepiece": sentencepieces.query,
     "op10_simhash": simhash.query,
 }
 ORACLES = {"op7_exact_dedup": exact_dedup.ORACLE}
