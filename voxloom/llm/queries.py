@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id, lm_scoring, mixing, quality_rules, sentencepieces, sharding, simhash, token_files
+from . import exact_dedup, language_id, lm_scoring, mixing, quality_rules, sentencepieces, sharding, simhash, suffix_dedup, token_files
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_token_files": token_files.query,
     "op4_lm_scoring": lm_scoring.query,
     "op5_sharding": sharding.query,
+    "op6_suffix_dedup": suffix_dedup.query,
     "op7_exact_dedup": exact_dedup.query,
     "op8_mixing": mixing.query,
     "op9_sentencepiece": sentencepieces.query,
