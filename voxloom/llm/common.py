@@ -56,6 +56,20 @@ def stash(df: DataFrame, stem: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def chunked(rows: DataFrame, stem: str, chunk_rows: int) -> DataFrame:
+    """rows as a table in the shared folder, with rid (a number of each row) and chunk (about chunk_rows
+    neighbouring rows have one). It is bucketed by chunk, so grouping and joining by chunk
+    moves what comes to the rows, not the rows. The table's name is the session's."""
+    spark = rows.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.withColumn("rid", F.monotonically_increasing_id())
+    rows = rows.withColumn("chunk", F.shiftright("rid", 33) * (1 << 23) + F.expr(f"(rid & {(1 << 33) - 1}) div {chunk_rows}"))
+    path = new_dir(spark, stem)
+    name = path.rpartition("/")[2]
+    rows.write.options(path=path, compression="zstd").bucketBy(buckets, "chunk").sortBy("chunk").saveAsTable(name)
+    return spark.table(name)
+
+
 def lower_az(text: Column) -> Column:
     """A-Z to lower case, nothing else. lower() does that for ASCII texts, and
     faster than translate()."""

@@ -24,7 +24,6 @@ from __future__ import annotations
 import hashlib
 import struct
 import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,9 +32,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import c, documents, new_dir, stash
+from .common import c, chunked, documents, stash
 
-LENGTH, KMER, CHUNK_ROWS, BLOCK, BUCKETS_A_TASK = 50, 24, 1000, 1 << 16, 2
+LENGTH, KMER, CHUNK_ROWS, BLOCK, BUCKET_ROWS = 50, 24, 1000, 1 << 16, 640
 ODD = np.random.default_rng(6).integers(1 << 62, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BYTES = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64)
 NO_ID = (1 << 63) - 1
@@ -48,70 +47,84 @@ class Collection:
     that start with a symbol stand in the order of that symbol's occurrences in the transform,
     so the place of a new suffix follows from the occurrence it stems from; its common
     prefix with the one before it is one more than the least of the common prefixes between both
-    occurrences. End marks come first, each string's its own. Three files hold, for each suffix
-    in order, the symbol before it (0: none), its common prefix with the one before (255 at most)
-    and its place in the text; a round reads each of them and writes it anew."""
+    occurrences. End marks come first, each string's its own. Two files hold, for each suffix
+    in order, the symbol before it (0: none) and its common prefix with the one before (255 at
+    most); a round reads both and writes both anew."""
 
     def __init__(self, text: np.ndarray, ends: np.ndarray, folder: str):
-        self.text, self.names = text, [f"{folder}/{x}" for x in ("symbols", "common", "places")]
-        self.starts = np.r_[0, ends[:-1]].astype(np.int64)
-        n = len(ends)
-        self.at = ends.astype(np.int64)  # place of each string's last inserted suffix
-        self.ends = n
-        self._write(self._before(self.at, self.starts), np.zeros(n, np.uint8), ends.astype(np.int32))
+        self.text, self.names = text, [f"{folder}/{x}" for x in ("symbols", "common")]
+        self.starts, self.ends = np.r_[0, ends[:-1]].astype(np.int64), ends.astype(np.int64)
+        self.at = self.ends.copy()  # start of each string's last inserted suffix
+        self.write(self._before(self.at, self.starts), np.zeros(len(ends), np.uint8))
 
     def _before(self, at: np.ndarray, starts: np.ndarray) -> np.ndarray:
         return np.where(at > starts, self.text[np.maximum(at - 1, 0)].astype(np.int16) + 1, 0).astype(np.uint8)
 
-    def _write(self, *arrays: np.ndarray) -> None:
+    def write(self, *arrays: np.ndarray) -> None:
         for name, x in zip(self.names, arrays):
             x.tofile(name)
 
-    def read(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return tuple(np.fromfile(name, t) for name, t in zip(self.names, (np.uint8, np.uint8, np.int32)))
+    def read(self) -> list[np.ndarray]:
+        return [np.fromfile(name, np.uint8) for name in self.names]
 
     def build(self) -> Collection:
-        where = np.arange(len(self.at))  # of each open string's last suffix, among all suffixes
         open_ = np.flatnonzero(self.at > self.starts)
-        where = where[open_]
+        where = open_.copy()  # of each open string's last suffix, among all suffixes
         while len(open_):
             where = self._round(open_, where)
             more = self.at[open_] > self.starts[open_]
             open_, where = open_[more], where[more]
         return self
 
+    def _occurrences(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """Places in order of symbols, the inverse, and how many of them have no symbol."""
+        order = np.argsort(symbols, kind="stable").astype(np.int32)
+        rank = np.empty(len(order), dtype=np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        return order, rank, len(symbols) - np.count_nonzero(symbols)
+
     def _round(self, open_: np.ndarray, where: np.ndarray) -> np.ndarray:
-        symbols, common, places = self.read()
-        n = len(symbols)
-        order = np.argsort(symbols, kind="stable")
-        closed = int(np.searchsorted(symbols[order], 1))
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.arange(n)
-        k = rank[where]  # which occurrence, in order of symbols
-        new = self.ends + k - closed  # its suffix's place afterwards
-        size = n + len(open_)
-        fresh = np.zeros(size, dtype=bool)
-        fresh[new] = True
-        old = np.flatnonzero(~fresh)
-        symbols2, common2, places2 = np.empty(size, np.uint8), np.empty(size, np.uint8), np.empty(size, np.int32)
-        symbols2[old], common2[old], places2[old] = symbols, common, places
+        symbols, common = self.read()
+        n, strings = len(symbols), len(self.ends)
+        order, rank, closed = self._occurrences(symbols)
+        k = rank[where].astype(np.int64)
+        new = strings + k - closed
+        old = np.ones(n + len(open_), dtype=bool)
+        old[new] = False
+        symbols2, common2 = np.empty(len(old), np.uint8), np.empty(len(old), np.uint8)
+        symbols2[old], common2[old] = symbols, common
         self.at[open_] -= 1
         symbols2[new] = self._before(self.at[open_], self.starts[open_])
-        places2[new] = self.at[open_]
         # common prefixes of the new suffixes and of those that follow them
-        touched = np.unique(np.concatenate([k, k[k + 1 < n] + 1]))
-        same = touched > closed
-        same[same] = symbols[order[touched[same]]] == symbols[order[touched[same] - 1]]
-        common2[self.ends + touched[~same] - closed] = 0
-        t = touched[same]
-        lo, hi = order[t - 1] + 1, order[t] + 1
+        touched = np.zeros(n + 1, dtype=bool)
+        touched[k], touched[k + 1] = True, True
+        t = np.flatnonzero(touched[:n])
+        same = t > closed
+        same[same] = symbols[order[t[same]]] == symbols[order[t[same] - 1]]
+        common2[strings + t[~same] - closed] = 0
+        t = t[same]
         if len(t):
-            bounds = np.stack([lo, hi], axis=1).ravel()
-            least = np.minimum.reduceat(np.append(common, 255).astype(np.uint8), bounds)[::2]
-            common2[self.ends + t - closed] = np.minimum(least, 254) + 1
-        self._write(symbols2, common2, places2)
+            lo, hi = order[t - 1] + 1, order[t] + 1
+            down = np.argsort(-lo)  # reduceat takes one element only between a span and an earlier one
+            spans = np.stack([lo[down], hi[down]], axis=1).ravel()
+            least = np.minimum.reduceat(np.append(common, np.uint8(255)), spans)[::2]
+            common2[strings + t[down] - closed] = np.minimum(least, 254) + 1
+        self.write(symbols2, common2)
         return new
 
+    def places(self) -> np.ndarray:
+        """The start of each suffix in order, found by walking every string from its end mark."""
+        symbols, _ = self.read()
+        _, rank, closed = self._occurrences(symbols)
+        out = np.empty(len(symbols), dtype=np.int64)
+        where, at = np.arange(len(self.ends)), self.ends.copy()
+        starts = self.starts
+        while len(where):
+            out[where] = at
+            more = at > starts
+            where, at, starts = len(self.ends) + rank[where[more]].astype(np.int64) - closed, at[more] - 1, starts[more]
+        return out
+
 
 def least_of_equal(text: np.ndarray, ends: np.ndarray, least: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """For each place of the strings, the smallest of `least` (a number a string) over the strings that
@@ -120,15 +133,13 @@ def least_of_equal(text: np.ndarray, ends: np.ndarray, least: np.ndarray, length
     if not len(text):
         return out
     with tempfile.TemporaryDirectory() as folder:
-        _, common, places = Collection(text, ends, folder).build().read()
-    owner = np.repeat(np.arange(len(ends)), np.diff(np.r_[0, ends]))
-    owner_of = owner[np.minimum(places, len(text) - 1)]
-    deep = (np.arange(len(places)) >= len(ends)) & (places + length <= ends[owner_of])  # end marks come first
+        built = Collection(text, ends, folder).build()
+        places, common = built.places(), built.read()[1]
+    owner = np.repeat(np.arange(len(ends)), np.diff(np.r_[0, ends]))[np.minimum(places, len(text) - 1)]
+    deep = (np.arange(len(places)) >= len(ends)) & (places + length <= ends[owner])  # end marks come first
     heads = np.flatnonzero(np.r_[True, common[1:] < length])
-    value = np.where(deep, least[owner_of], NO_ID)
-    group = np.minimum.reduceat(value, heads)
-    spread = np.repeat(group, np.diff(np.r_[heads, len(places)]))
-    out[places[deep]] = spread[deep]
+    group = np.minimum.reduceat(np.where(deep, least[owner], NO_ID), heads)
+    out[places[deep]] = np.repeat(group, np.diff(np.r_[heads, len(places)]))[deep]
     return out
 
 
@@ -188,6 +199,26 @@ def minimizers(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, buckets:
     return heads, counts, ((mixed & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int64), (mixed >> np.uint64(32)).astype(np.uint32)
 
 
+def stretches(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of sorted keys, and where each starts, with the end of all."""
+    at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, int)
+    return keys[at], np.append(at, len(keys))
+
+
+def distinct(lens: np.ndarray, body: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """The distinct strings of those that lie in body one after another, as (text, ends), and which
+    of them each is."""
+    wide = int(lens.max())
+    inside = np.arange(wide) < lens[:, None]
+    cells = np.zeros((len(lens), wide + 2), dtype=np.uint8)  # the size and an end that isn't zero go last
+    cells[:, :-2][inside] = body
+    cells[:, -2], cells[:, -1] = lens, 1
+    uniq, of = np.unique(cells.view(f"S{wide + 2}").ravel(), return_inverse=True)
+    cells = uniq.view(np.uint8).reshape(len(uniq), -1)
+    text = cells[:, :-2][np.arange(wide) < cells[:, -2:-1]]
+    return (text, np.cumsum(cells[:, -2].astype(np.int64))), of.ravel()
+
+
 MESSAGE = "chunk long, bucket int, data binary"
 COPIES = -1
 
@@ -237,14 +268,10 @@ def removals(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     if length <= KMER or length > 127:
         raise ValueError(f"length must be from {KMER + 1} to 127")
     spark = df.sparkSession
-    n_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = BUCKETS_A_TASK * n_tasks
-    rid = F.monotonically_increasing_id()
-    rows = df.select(c(id_col).cast("long").alias("id"), F.encode(F.coalesce(c(text_col), F.lit("")), "UTF-8").alias("text"), rid.alias("rid"))
-    rows = rows.withColumn("chunk", F.shiftright("rid", 33) * (1 << 23) + F.expr(f"(rid & {(1 << 33) - 1}) div {chunk_rows}"))
-    name = f"suffix_dedup_{uuid.uuid4().hex}"
-    rows.write.option("path", new_dir(spark, "suffix_rows")).bucketBy(n_tasks, "chunk").sortBy("chunk").saveAsTable(name)
-    table = spark.table(name)
+    rows = df.select(c(id_col).cast("long").alias("id"), F.encode(F.coalesce(c(text_col), F.lit("")), "UTF-8").alias("text"))
+    table = chunked(rows, "suffix_rows", chunk_rows)
+    # a bucket for so many rows, so that its collection fits a processor's cache; two a task at least
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), table.count() // BUCKET_ROWS)
     by_chunk = lambda messages: table.groupBy("chunk").cogroup(messages.groupBy("chunk"))
 
     # rows whose text a smaller id has
@@ -268,10 +295,9 @@ def removals(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, int)
         twice = doc[first] != doc[np.r_[first[1:], len(key)] - 1] if len(key) else np.zeros(0, bool)
         key = key[first]
-        at = np.searchsorted((key >> np.uint64(32)).astype(np.int64), np.arange(buckets + 1))
+        some, at = stretches((key >> np.uint64(32)).astype(np.int64))
         low = (key & np.uint64(0xFFFFFFFF)).astype("<u4")
-        some = np.flatnonzero(np.diff(at))
-        blobs = [struct.pack("<I", at[b + 1] - at[b]) + low[at[b] : at[b + 1]].tobytes() + np.packbits(twice[at[b] : at[b + 1]]).tobytes() for b in some]
+        blobs = [struct.pack("<I", b - a) + low[a:b].tobytes() + np.packbits(twice[a:b]).tobytes() for a, b in zip(at, at[1:])]
         return _rows(left.column("chunk")[0].as_py(), some.tolist(), blobs)
 
     def strike_single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,17 +345,16 @@ def removals(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
         cells = uniq.view(np.uint8).reshape(len(uniq), -1)
         of = cells[:, :4].copy().view(">u4").ravel().astype(np.int64)
         lens = cells[:, -2]
-        at = np.searchsorted(of, np.arange(buckets + 1))
-        some = np.flatnonzero(np.diff(at))
+        some, at = stretches(of)
         blobs = []
-        for b in some:
-            s = slice(at[b], at[b + 1])
+        for x, y in zip(at, at[1:]):
+            s = slice(x, y)
             body = cells[s, 4:-2][np.arange(wide) < lens[s, None]]
-            blobs.append(struct.pack("<I", at[b + 1] - at[b]) + lens[s].tobytes() + lo[s].astype("<i8").tobytes() + hi[s].astype("<i8").tobytes() + body.tobytes())
+            blobs.append(struct.pack("<I", y - x) + lens[s].tobytes() + lo[s].astype("<i8").tobytes() + hi[s].astype("<i8").tobytes() + body.tobytes())
         # what the chunk itself has to remember: of each segment, its row, its place there and which of its bucket's it is
         used = np.unique(doc)
         memo = struct.pack("<II", len(used), len(owner)) + rids[used].astype("<i8").tobytes() + ids[used].astype("<i8").tobytes()
-        for x in (np.searchsorted(used, doc), heads - starts[doc], of[owner], owner - at[of[owner]]):
+        for x in (np.searchsorted(used, doc), heads - starts[doc], of[owner], owner - at[np.searchsorted(some, of[owner])]):
             memo += x.astype("<u4").tobytes()
         return _rows(left.column("chunk")[0].as_py(), [*some.tolist(), -2], [*blobs, memo])
 
@@ -347,21 +372,32 @@ def removals(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
                 body.append(np.frombuffer(d, np.uint8, offset=4 + 17 * n))
                 chunk.append(np.full(n, k))
                 nth.append(np.arange(n))
-            ends = np.cumsum(np.concatenate(lens).astype(np.int64))
-            text, hi, chunk, nth = map(np.concatenate, (body, hi, chunk, nth))
-            found = least_of_equal(text, ends, np.concatenate(lo), length)
+            lens, lo, hi, body, chunk, nth = map(np.concatenate, (lens, lo, hi, body, chunk, nth))
+            uniq, of = distinct(lens, body)
+            text, ends = uniq
+            least = np.full(len(ends), NO_ID)
+            np.minimum.at(least, of, lo)
+            found = least_of_equal(text, ends, least, length)
+            # runs of places with one value, of each distinct segment
             own = np.repeat(np.arange(len(ends)), np.diff(np.r_[0, ends]))
-            use = found < hi[own]
-            head = use & np.r_[True, (found[1:] != found[:-1]) | (own[1:] != own[:-1]) | ~use[:-1]]
-            last = use & np.r_[(found[1:] != found[:-1]) | (own[1:] != own[:-1]) | ~use[1:], True]
-            a, b = np.flatnonzero(head), np.flatnonzero(last) + length
-            s = own[a]
-            base = np.r_[0, ends[:-1]][s]
+            change = np.r_[True, (found[1:] != found[:-1]) | (own[1:] != own[:-1]), True]
+            a, b = np.flatnonzero(change[:-1] & (found < NO_ID)), np.flatnonzero(change[1:] & (found < NO_ID)) + length
+            u = own[a]
+            value, base = found[a], np.r_[0, ends[:-1]][u]
+            a, b = a - base, b - base
+            # and of every chunk's segments, where one of its ids is greater
+            runs = np.bincount(u, minlength=len(ends))
+            first = np.cumsum(runs) - runs
+            k = runs[of]
+            s = np.repeat(np.arange(len(of)), k)
+            r = np.repeat(first[of] - (np.cumsum(k) - k), k) + np.arange(k.sum())
+            good = value[r] < hi[s]
+            s, r = s[good], r[good]
             cut = np.flatnonzero(np.r_[True, chunk[s][1:] != chunk[s][:-1]]) if len(s) else np.zeros(0, int)
             blobs = []
             for x, y in zip(cut, np.r_[cut[1:], len(s)]):
                 z = slice(x, y)
-                blobs.append(struct.pack("<I", y - x) + b"".join(v.astype("<u4").tobytes() for v in (nth[s[z]], a[z] - base[z], b[z] - base[z])) + found[a[z]].astype("<i8").tobytes())
+                blobs.append(struct.pack("<I", y - x) + b"".join(v.astype("<u4").tobytes() for v in (nth[s[z]], a[r[z]], b[r[z]])) + value[r[z]].astype("<i8").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(chunk[s[cut]], pa.int64()), pa.array([bucket] * len(cut), pa.int32()), pa.array(blobs, pa.binary())], ["chunk", "bucket", "data"])
 
     answers = _spread(sent.where("bucket >= 0")).mapInArrow(group_equal, MESSAGE)
