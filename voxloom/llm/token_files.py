@@ -19,6 +19,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +31,9 @@ from pyspark.sql import functions as F
 from .common import c, documents, new_dir
 
 MAGIC, VERSION, SAMPLE, BLOCK_TOKENS, END_ID = b"VXEF", 1, 64, 1 << 20, 1
-#: Texts of these characters are lower-cased and cut here as the tokenizer cuts them.
+#: Texts of these characters have no white space but ASCII's and nothing to compose across it.
 PLAIN = re.compile(r"[\t-\r\x20-\x7e\xc0-\xff]*")
-CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-CACHE_WORDS, MARK, SLICE = 400_000, "@", 4 << 20
+CACHE_WORDS, SLICE = 800_000, 4 << 20
 
 
 class EliasFano:
@@ -132,64 +132,51 @@ class Block:
 
 
 class Encoder:
-    """Token ids of texts with a tokenizers file. The tokenizer never joins what its own
-    rules cut apart, so texts of plain characters are cut by these rules, each distinct
-    run is encoded once by the library, and its ids are put together again; other texts, and
-    those that may hold special tokens, are encoded by the library as they are."""
+    """Token ids of texts with a tokenizers file. The tokenizer never joins what white space
+    parts, so texts of plain characters are split there, each distinct word is encoded once by
+    the library, and words' ids are put together again; other texts, and those that may
+    hold special tokens, are encoded by the library as they are. The first CACHE_WORDS words are
+    kept, later ones for the call only: frequent words come early."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
-        self.mark = self._ids([MARK])[0]
-        self.runs: dict[str, tuple[int, ...]] = {}
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.id_bytes = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        self.words: dict[bytes, int] = {}
+        self.ends, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)  # word i has flat[ends[i] : ends[i + 1]]
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _learn(self, runs: list[str]) -> None:
-        """Encode new runs, many at once with a mark between them."""
-        if len(self.runs) + len(runs) > CACHE_WORDS:
-            self.runs.clear()
-        odd = [r for r in runs if MARK in r or len(self.mark) != 1]
-        self.runs.update(zip(odd, map(tuple, self._ids(odd))))
-        runs = [r for r in runs if r not in self.runs]
-        for at in range(0, len(runs), 2000):
-            part = runs[at : at + 2000]
-            ids = self._ids([f" {MARK} ".join(part)])[0]
-            start = 0
-            for run in part:
-                end = start
-                while end < len(ids) and ids[end] != self.mark[0]:
-                    end += 1
-                self.runs[run] = tuple(ids[start:end])
-                start = end + 1
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
         plain = [i for i, t in enumerate(texts) if PLAIN.fullmatch(t) and not any(s in t for s in self.specials)]
         words = [texts[i].encode().split() for i in plain]
-        known = {w: n for n, w in enumerate(dict.fromkeys(w for ws in words for w in ws))}
-        cut = [CUT.findall(w.decode().lower()) for w in known]
-        new = [r for r in dict.fromkeys(r for runs in cut for r in runs) if r not in self.runs]
-        if new:
-            self._learn(new)
-            if any(r not in self.runs for runs in cut for r in runs):  # the cache was emptied meanwhile
-                self._learn([r for r in dict.fromkeys(r for runs in cut for r in runs) if r not in self.runs])
-        runs = self.runs
-        ids = [[i for r in of for i in runs[r]] for of in cut]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        starts = np.cumsum(sizes) - sizes
-        flat = np.fromiter((i for of in ids for i in of), np.uint32, int(sizes.sum()))
-        get = known.__getitem__
-        for i, ws in zip(plain, words):
-            n = np.fromiter(map(get, ws), np.int64, len(ws))
-            k = sizes[n]
-            upto = np.cumsum(k)
-            out[i] = flat[np.repeat(starts[n] - (upto - k), k) + np.arange(upto[-1] if len(k) else 0)]
+        flat = [w for ws in words for w in ws]
+        of = np.fromiter(map(self.words.get, flat, repeat(-1)), np.int64, len(flat))
+        absent = np.flatnonzero(of < 0).tolist()
+        new = dict.fromkeys(flat[j] for j in absent)
+        ids = self._ids([w.decode() for w in new])
+        for n, w in enumerate(new, len(self.words)):
+            new[w] = n
+        of[absent] = [new[flat[j]] for j in absent]
+        ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(x) for x in ids], dtype=np.int64)])
+        table = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.uint32, int(ends[-1] - self.ends[-1]))])
+        room = CACHE_WORDS - len(self.words)
+        if room > 0:
+            self.words.update(islice(new.items(), room))
+            self.ends = ends[: len(self.words) + 1]
+            self.flat = table[: self.ends[-1]]
+        sizes = np.diff(ends)[of]
+        upto = np.cumsum(sizes)
+        every = table[np.repeat(ends[of] - (upto - sizes), sizes) + np.arange(upto[-1] if len(of) else 0)]
+        at = np.cumsum([0, *map(len, words)])
+        cut = np.r_[0, upto][at]
+        for k, i in enumerate(plain):
+            out[i] = every[cut[k] : cut[k + 1]]
         rest = [i for i in range(len(texts)) if out[i] is None]
         for i, e in zip(rest, self._ids([texts[i] for i in rest])):
             out[i] = np.array(e, dtype=np.uint32)
