@@ -1,0 +1,556 @@
+"""The training-data operators against brute force, on small tables with all the odd rows."""
+
+import hashlib
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from voxloom.llm import exact_dedup, language_id, lm_scoring, mixing, quality_rules, sentencepieces, sharding, simhash, suffix_dedup, token_files
+
+DOCS = "/root/testdata/sf0.001/documents.parquet"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, rid long, chunk long, label string, `a.b` string"
+
+
+def rows(*pairs):
+    """Documents with columns whose names the operators use themselves."""
+    return [(d, t, "en", s, 1, 7, 7, 7, "x", "y") for d, t, s in pairs]
+
+
+LONG = "the quick brown fox jumps over a lazy dog " * 4000
+ODD = [(1, None, "a"), (2, "", "a"), (3, "   \n\t", None), (None, "Some words without an id stand here.", "b"), (4, LONG, "a"), (5, "Same text", "b"), (6, "same TEXT", "b"), (6, "same TEXT", "b"), (7, "é" * 300, "c"), (8, "!!! 123", None)]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(rows(*ODD), SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(DOCS)
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r["doc_id"]: r["text"] for r in docs.collect()}
+
+
+def words(t):
+    return re.findall(r"[^\x20\x09-\x0D]+", t or "")
+
+
+# quality rules
+
+
+def brute_repeats(ws, least):
+    n = len(ws)
+    longest, cover = 0, set()
+    for i in range(n):
+        best = 0
+        for j in range(n):
+            k = 0
+            while i != j and max(i, j) + k < n and ws[i + k] == ws[j + k]:
+                k += 1
+            best = max(best, k)
+        if best >= least:
+            longest = max(longest, best)
+            cover.update(range(i, i + best))
+    return len(cover), longest
+
+
+def base_figures(t):
+    ws = words(t)
+    seen = defaultdict(list)
+    for i in range(len(ws) - 2):
+        seen[tuple(ws[i : i + 3])].append(i)
+    twice = {k for at in seen.values() if len(at) > 1 for i in at for k in range(i, i + 3)}
+    lines = [x for x in (t or "").split("\n") if words(x)]
+    return len(ws), sum(map(len, ws)), len(re.findall(r"[#*$%&|<>]", t or "")), len(lines) - len(set(lines)), len(twice)
+
+
+def test_quality_figures(docs, texts):
+    got = {r["doc_id"]: r for r in quality_rules.quality(docs).collect()}
+    assert len(got) == len(texts)
+    for d, t in texts.items():
+        r = got[d]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == base_figures(t)
+        assert r["base_failed"] == (r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"])
+        if r["n_words"] < 150:
+            assert (r["covered_words"], r["longest_repeat"]) == brute_repeats(words(t), quality_rules.MIN_REPEAT)
+        good = r["covered_words"] <= 0.2 * r["n_words"] and r["longest_repeat"] <= 50
+        assert r["kept"] == (not r["base_failed"] and good)
+
+
+def test_quality_repeats_random():
+    rng = np.random.default_rng(0)
+    for least in (2, 4):
+        ws = [[f"w{i}" for i in rng.integers(0, 3, rng.integers(0, 40))] for _ in range(50)]
+        got = quality_rules.measure([" ".join(w) for w in ws], least)
+        assert [(int(a), int(b)) for a, b in zip(got["covered_words"], got["longest_repeat"])] == [brute_repeats(w, least) for w in ws]
+
+
+def test_quality_odd(odd, empty):
+    got = quality_rules.quality(odd).collect()
+    assert len(got) == len(ODD) and not any(r["kept"] for r in got if r["doc_id"] in (1, 2, 3, 4))
+    assert quality_rules.quality(empty).count() == 0
+
+
+# language
+
+
+def test_language(docs):
+    got = {r["doc_id"]: r for r in language_id.predict(docs, language_id.learn(docs), "doc_id", "text", language_id.held_out("doc_id").alias("held_out")).collect()}
+    true = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    held = [d for d in true if zlib.crc32(str(d).encode()) % 4 == 2]
+    assert {d for d, r in got.items() if r["held_out"]} == set(held)
+    assert np.mean([got[d]["lang_pred"] == true[d] for d in held]) > 0.9
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+
+
+def test_language_odd(odd, empty):
+    model = language_id.train(["the cat and the dog " * 5, "der Hund und die Katze " * 5], ["en", "de"], steps=30)
+    got = language_id.predict(odd, model).collect()
+    assert len(got) == len(ODD)
+    assert {r["lang_pred"] for r in got if r["doc_id"] in (1, 2, 3, 8)} == {"und"}
+    assert len(model.positions("the cat")) == 7
+    assert {r["lang_pred"] for r in language_id.predict(odd, None).collect()} == {"und"}
+    assert language_id.predict(empty, language_id.learn(empty)).count() == 0
+    assert language_id.reject_unknown(odd).columns == odd.columns
+    assert language_id.reject_unknown(empty).count() == 0
+
+
+def test_language_gradients():
+    rng = np.random.default_rng(1)
+    n, x = 3, rng.integers(0, 5, (6, 4))
+    table, u = rng.standard_normal((3 * n, 256)) * 0.5, rng.standard_normal((3 * n, n)) * 0.5
+    weight = rng.standard_normal((6, n, 4))
+    keep = []
+    language_id.gru(table.astype(np.float32), u.astype(np.float32), x, keep)
+    dtable, du = language_id.backward(u, x, keep, weight.astype(np.float32))
+    loss = lambda t, v: float((language_id.gru(t.astype(np.float32), v.astype(np.float32), x) * weight).sum())
+    for i, j in ((0, 1), (4, 2), (7, 0)):
+        for grad, k, pair in ((du, 1, (table, u)), (dtable, 0, (table, u))):
+            up, down = [p.copy() for p in pair], [p.copy() for p in pair]
+            col = j if k else x[0, j]
+            up[k][i, col] += 1e-2
+            down[k][i, col] -= 1e-2
+            assert abs((loss(*up) - loss(*down)) / 2e-2 - grad[i, col]) < 2e-2
+
+
+# token files
+
+
+def test_token_files(spark, docs, texts, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    token_files.write_token_files(docs, f"{tmp_path}/t", path)
+    got = sorted(token_files.read_token_files(spark, f"{tmp_path}/t").collect())
+    tok, start = Tokenizer.from_file(path), 0
+    for r, (d, t) in zip(got, sorted(texts.items()), strict=True):
+        ids = tok.encode(t, add_special_tokens=False).ids + [1]
+        assert r == (d, start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
+        start += len(ids)
+
+
+def test_token_files_odd(spark, odd, empty, tmp_path):
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    for name, df, blocks in (("o", odd, 1 << 20), ("small", odd, 50), ("e", empty, 50)):
+        token_files.write_token_files(df, f"{tmp_path}/{name}", path, block_tokens=blocks)
+        got = token_files.read_token_files(spark, f"{tmp_path}/{name}").orderBy("start").collect()
+        assert len(got) == df.count()
+        assert [r["doc_id"] for r in got] == sorted([r["doc_id"] for r in got], key=lambda d: (d is not None, d or 0))
+        assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(got, got[1:]))
+        assert all(r["n_tokens"] == 1 for r in got if r["doc_id"] in (1, 2))
+
+
+def test_elias_fano():
+    rng = np.random.default_rng(2)
+    for n, top in ((1, 1), (5, 3), (1000, 10), (1000, 10**9), (300, 300)):
+        values = np.sort(rng.integers(0, top, n)).astype(np.uint64)
+        packed = token_files.EliasFano.encode(values).pack()
+        back, end = token_files.EliasFano.unpack(memoryview(packed), 0)
+        assert end == len(packed) and (back.values() == values.astype(np.int64)).all()
+        assert [back.select(i) for i in range(n)] == values.tolist()
+    assert len(token_files.EliasFano.encode(np.arange(100_000, dtype=np.uint64) * 400).pack()) < 100_000 * 12 / 8
+
+
+# language-model scores
+
+
+def test_lm_scores(docs, texts):
+    got = {r["doc_id"]: r for r in lm_scoring.lm_scores(docs).collect()}
+    tokens = lm_scoring.hashed(list(texts.values()))
+    counts = np.bincount(np.concatenate(tokens), minlength=lm_scoring.VOCAB) + 0.5
+    plain = (np.log(counts / counts.sum()) * (counts - 0.5)).sum()
+    assert {d: r["n_tokens"] for d, r in got.items()} == {d: len(words(t)) for d, t in texts.items()}
+    assert sum(r["log_prob"] for r in got.values()) > plain  # both sides tell more than none
+
+
+def test_lm_scores_are_conditional_probabilities():
+    rng = np.random.default_rng(3)
+    net = lm_scoring.Network.new(rng.integers(0, 50, lm_scoring.VOCAB).astype(float))
+    doc = rng.integers(0, lm_scoring.VOCAB, 5).astype(np.uint16)
+    flat, places = lm_scoring.padded([doc])
+    total = 0.0
+    for p in places:
+        h = np.tanh(sum(net.embed[flat[p + o - lm_scoring.REACH]] @ net.mix[k] for k, o in enumerate(lm_scoring.OFFSETS)))
+        logits = h @ net.out[:-1] + net.out[-1]
+        logs = logits - np.log(np.exp(logits).sum())
+        total += logs[net.classes[flat[p]]] + net.within[flat[p]]
+        every = np.exp(logs[net.classes] + net.within)
+        assert abs(every.sum() - 1) < 1e-3
+    assert abs(net.scores([doc])[0] - total) < 1e-3
+
+
+def test_lm_training_helps():
+    rng = np.random.default_rng(4)
+    doc = np.tile(np.arange(20, dtype=np.uint16), 200)
+    net = lm_scoring.Network.new(np.bincount(doc, minlength=lm_scoring.VOCAB).astype(float))
+    before = net.scores([doc])[0]
+    flat, places = lm_scoring.padded([doc])
+    for _ in range(30):
+        net.train(flat, places, rng)
+    assert net.scores([doc])[0] > before / 2
+
+
+def test_lm_odd(odd, empty):
+    got = lm_scoring.lm_scores(odd).collect()
+    assert len(got) == len(ODD)
+    assert all(r["log_prob"] == 0 and r["mean_log_prob"] is None for r in got if r["n_tokens"] == 0)
+    assert lm_scoring.lm_scores(empty).count() == 0
+
+
+# sharding
+
+
+def test_sharding(docs, texts):
+    got = sharding.shard(docs).collect()
+    size = {d: len(t.encode()) + 8 for d, t in texts.items()}
+    loads, slots, of_text = defaultdict(int), defaultdict(list), defaultdict(set)
+    for r in got:
+        assert r["size"] == size[r["doc_id"]] and r["law"] == "bytes" and r["grown_shard"] is None
+        assert r["text_crc32"] == zlib.crc32(texts[r["doc_id"]].encode())
+        loads[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+        of_text[texts[r["doc_id"]]].add(r["shard"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and set(loads) <= set(range(24))
+    assert max(loads.values()) <= sum(size.values()) / 24 + 2 * max(size.values())
+
+
+def test_sharding_hot_text(spark):
+    many = [(i, "one and the same text " * 5, "a") for i in range(3000)] + [(10_000 + i, f"text {i} " * 12, "b") for i in range(3000)]
+    got = sharding.shard(spark.createDataFrame(rows(*many), SCHEMA), shards=8).groupBy("shard").agg(F.sum("size").alias("b")).collect()
+    assert len(got) == 8 and max(r["b"] for r in got) < 1.1 * min(r["b"] for r in got)
+
+
+def test_sharding_odd(odd, empty):
+    got = sharding.shard(odd).collect()
+    assert len(got) == len(ODD)
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert sharding.shard(empty).count() == 0
+
+
+# suffix-array dedup
+
+
+def brute_removed(docs, length):
+    first = {}
+    for d, b in docs:
+        for i in range(len(b) - length + 1):
+            s = b[i : i + length]
+            first[s] = min(first.get(s, d), d)
+    out = []
+    for d, b in docs:
+        gone = np.zeros(len(b), bool)
+        for i in range(len(b) - length + 1):
+            if first[b[i : i + length]] < d:
+                gone[i : i + length] = True
+        runs = int((np.diff(np.r_[0, gone.astype(int)]) == 1).sum())
+        out.append((d, len(b), int(gone.sum()), runs, hashlib.sha256(bytes(np.frombuffer(b, np.uint8)[~gone])).hexdigest()))
+    return sorted(out)
+
+
+def removed(df, **options):
+    return sorted(tuple(r) for r in suffix_dedup.removals(df, **options).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect())
+
+
+def test_suffix_dedup(docs, texts):
+    assert removed(docs) == brute_removed([(d, t.encode()) for d, t in texts.items()], 50)
+
+
+def test_suffix_dedup_shared_passages(spark):
+    rng = np.random.default_rng(5)
+    passages = ["".join(chr(97 + c) for c in rng.integers(0, 4, rng.integers(30, 90))) for _ in range(6)] + ["a" * 120, "ab" * 50]
+    made = [(int(d), "".join(passages[k] for k in rng.integers(0, 8, rng.integers(0, 5))) + "é\0x", "s") for d in rng.permutation(80)]
+    df = spark.createDataFrame(rows(*made), SCHEMA).repartition(5)
+    for length in (26, 50):
+        assert removed(df, length=length, chunk_rows=7) == brute_removed([(d, t.encode()) for d, t, _ in made], length)
+
+
+def test_suffix_dedup_odd(odd, empty):
+    got = {r["doc_id"]: r for r in suffix_dedup.removals(odd).collect()}
+    assert got[4]["n_removed"] == 0 and got[1]["n_bytes"] == 0 and bytes(got[7]["kept"]).decode() == "é" * 300
+    assert suffix_dedup.removals(odd).count() == len(ODD)
+    assert suffix_dedup.removals(empty).count() == 0
+
+
+def test_suffix_dedup_ties(spark):
+    text = "x" * 10 + "one passage that is longer than fifty bytes for certain, yes" * 2
+    same = spark.createDataFrame(rows((5, text, "a"), (5, text, "a"), (9, text, "a"), (None, text, "a"), (None, text, "a")), SCHEMA)
+    got = sorted((str(r["doc_id"]), r["n_removed"]) for r in suffix_dedup.removals(same).collect())
+    assert got == [("5", 0), ("5", 0), ("9", len(text)), ("None", len(text)), ("None", len(text))]
+
+
+def test_collection_is_the_sorted_suffixes(tmp_path):
+    rng = np.random.default_rng(6)
+    strings = [bytes(rng.integers(97, 100, rng.integers(1, 20)).astype(np.uint8)) for _ in range(30)]
+    text, ends = np.frombuffer(b"".join(strings), np.uint8), np.cumsum([len(s) for s in strings])
+    built = suffix_dedup.Collection(text, ends, str(tmp_path)).build()
+    symbols, common = built.read()
+    places = built.places()[len(strings) :]
+    owner = np.searchsorted(ends, places, "right")
+    suffixes = [bytes(text[p : ends[o]]) for p, o in zip(places, owner)]
+    assert suffixes == sorted(suffixes) and len(suffixes) == len(text)
+    shared = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    assert common[len(strings) + 1 :].tolist() == [shared(a, b) for a, b in zip(suffixes, suffixes[1:])]
+    before = [0 if p == (0 if o == 0 else ends[o - 1]) else text[p - 1] + 1 for p, o in zip(places, owner)]
+    assert symbols[len(strings) :].tolist() == before
+
+
+# exact dedup
+
+
+def lower_az(t):
+    return (t or "").translate({c: c + 32 for c in range(65, 91)})
+
+
+def test_exact_dedup(docs, texts):
+    groups = defaultdict(list)
+    for d, t in texts.items():
+        groups[lower_az(t)].append(d)
+    got = {r["doc_id"]: r for r in exact_dedup.exact_groups(docs).collect()}
+    for t, ids in groups.items():
+        for d in ids:
+            r = got[d]
+            assert (r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) == (max(ids), len(ids), d == max(ids), hashlib.sha256(t.encode()).hexdigest())
+    kept = exact_dedup.exact_dedup(docs)
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {max(ids) for ids in groups.values()}
+
+
+def test_exact_dedup_odd(odd, empty):
+    got = exact_dedup.exact_groups(odd).collect()
+    assert len(got) == len(ODD)
+    by = defaultdict(list)
+    for r in got:
+        by[r["doc_id"]].append(r)
+    assert [r["keep_id"] for r in by[1] + by[2]] == [2, 2] and by[5][0]["keep_id"] == 6 and by[5][0]["group_size"] == 3
+    assert sum(r["kept"] for r in by[6]) == 1
+    assert exact_dedup.exact_dedup(odd).count() == 7
+    assert exact_dedup.exact_groups(empty).count() == 0 and exact_dedup.exact_dedup(empty).count() == 0
+
+
+def test_exact_dedup_chunks(spark):
+    pattern = re.compile(exact_dedup.chunk_pattern(4, 9).replace(r"\z", r"\Z"))
+    for t in ("", "a", "abc. def! ghi", "x" * 50, "a\nb\nc\nd\ne. "):
+        assert "".join(pattern.findall(t)) == t
+    clash = spark.createDataFrame(rows((1, "aaaa.bbbb.", "s"), (2, "bbbb.aaaa.", "s"), (3, "aaaa.BBBB.", "s")), SCHEMA)
+    got = {r["doc_id"]: r["keep_id"] for r in exact_dedup.exact_groups(clash, chunk_min=4, chunk_max=9).collect()}
+    assert got == {1: 3, 2: 2, 3: 3}
+
+
+# mixing
+
+
+def brute_targets(sizes, weights=(5, 2, 1), most=3):
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    w = {s: weights[i % 3] for i, s in enumerate(order)}
+    total, capped = sum(sizes.values()), set()
+    while True:
+        left = total - sum(most * sizes[s] for s in capped)
+        free = [s for s in order if s not in capped]
+        share = {s: left * w[s] / sum(w[x] for x in free) for s in free}
+        over = {s for s in free if share[s] > most * sizes[s] + 1e-9}
+        if not over:
+            return share | {s: most * sizes[s] for s in capped}
+        capped |= over
+
+
+def test_mixing(docs, texts):
+    source = {r["doc_id"]: r["source"] for r in docs.collect()}
+    sizes = defaultdict(int)
+    for d, t in texts.items():
+        sizes[source[d]] += len(words(t))
+    want = brute_targets(sizes)
+    got = mixing.mix(docs).collect()
+    taken = defaultdict(int)
+    for r in got:
+        s = source[r["doc_id"]]
+        assert r["size"] == len(words(texts[r["doc_id"]])) and r["source_size"] == sizes[s] and abs(r["target"] - want[s]) < 1e-6
+        assert r["taken"] % max(1, r["size"]) == 0 and r["taken"] <= 3 * r["size"]
+        taken[s] += r["taken"]
+    longest = max(len(words(t)) for t in texts.values())
+    assert all(abs(taken[s] - want[s]) <= longest for s in want)
+    again = sorted((r["doc_id"], r["taken"]) for r in mixing.mix(docs.repartition(7)).collect())
+    assert again == sorted((r["doc_id"], r["taken"]) for r in got)
+    assert sum(len(words(r["text"])) for r in mixing.mixed(docs).collect()) == sum(taken.values())
+
+
+def test_mixing_prefers_weight(spark):
+    many = spark.createDataFrame(rows(*[(i, "w " * 10, "a") for i in range(500)], *[(1000 + i, "w " * 10, "b") for i in range(500)]), SCHEMA)
+    heavy = F.when(F.col("doc_id") % 2 == 0, 20.0).otherwise(1.0)
+    got = mixing.mix(many, weight=heavy).where("doc_id >= 1000 AND copies > 0").collect()
+    assert sum(r["doc_id"] % 2 == 0 for r in got) > 0.8 * min(len(got), 250)
+
+
+def test_mixing_odd(odd, empty):
+    got = mixing.mix(odd).collect()
+    assert len(got) == len(ODD) and all(r["taken"] == 0 for r in got if r["size"] == 0)
+    assert mixing.mixed(odd).columns == odd.columns
+    assert mixing.mix(empty).count() == 0 and mixing.mixed(empty).count() == 0
+
+
+# SentencePiece
+
+
+def library():
+    import public_tokenizers
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return path, sentencepiece.SentencePieceProcessor(model_file=path)
+
+
+@pytest.mark.parametrize("cached", [0, 200_000])
+def test_pieces(docs, texts, cached):
+    path, sp = library()
+    got = sentencepieces.decode(sentencepieces.encode(docs, path, cached=cached), path).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        t = texts[r["doc_id"]]
+        assert r["ids"] == sp.encode(t) and r["n_tokens"] == len(r["ids"]) and r["text"] == t
+        assert r["ids_crc32"] == zlib.crc32(np.array(r["ids"], dtype="<u4").tobytes())
+
+
+def test_pieces_odd(spark, odd, empty):
+    path, sp = library()
+    hard = ["  two  spaces ", "a▁b ▁ c", "tab\tand\nline\r\n", "日本語 テキスト", "𝔘🙂 emoji", "x" * 700, "  ", "é́ ﬁ", "\0 nul", "." * 300 + " a"]
+    made = spark.createDataFrame(rows(*[(i, t, "s") for i, t in enumerate(hard)]), SCHEMA)
+    got = {r["doc_id"]: (r["ids"], r["text"]) for r in sentencepieces.decode(sentencepieces.encode(made, path), path).collect()}
+    for i, t in enumerate(hard):
+        assert got[i][0] == sp.encode(t) and got[i][1] == sp.decode(sp.encode(t))
+    assert sentencepieces.encode(odd, path).count() == len(ODD)
+    assert sentencepieces.encode(empty, path).count() == 0
+
+
+def test_pieces_viterbi(spark):
+    pieces = {"▁": -5.0, "▁a": -2.0, "b": -3.0, "ab": -1.5, "▁ab": -4.5, "a": -3.0, "bb": -2.5, "c": -6.0, "abb": -3.8}
+    model = sentencepieces.Model(("<unk>", *pieces), (0.0, *pieces.values()), (False, *[True] * len(pieces)), None, 0, False)
+    units = ["▁abb", "▁aab", "c", "▁bbabc", "▁axb", "b"]
+    df = spark.createDataFrame([(u, [1]) for u in units], "unit string, chunks array<long>")
+    got = {r["unit"]: sentencepieces.unpacked(bytes(r["ids"]), 2).tolist() for r in sentencepieces.encode_units(df, model).collect()}
+
+    def score(u):
+        best = {0: (0.0, [])}
+        for e in range(1, len(u) + 1):
+            ways = [(best[s][0] + pieces[u[s:e]], best[s][1] + [model.pieces.index(u[s:e])]) for s in range(e) if u[s:e] in pieces]
+            ways += [(best[e - 1][0] + min(pieces.values()) - 10, best[e - 1][1] + [0])]
+            best[e] = max(ways, key=lambda w: w[0])
+        return best[len(u)][1]
+
+    assert got == {u: score(u) for u in units}
+    ranks = {p: (0, i) for i, p in enumerate(model.pieces) if i}
+    assert all(sentencepieces.best_path(u, ranks, model, lambda x: [0]) == score(u) for u in units)
+
+
+# SimHash
+
+
+def brute_simhash(t):
+    import xxhash
+
+    ws = words(lower_az(t))
+    if not ws:
+        return 0
+    shingles = [" ".join(ws[i : i + 3]) for i in range(len(ws) - 2)] or [" ".join(ws)]
+    hs = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+
+
+def brute_components(fps):
+    parent = {d: d for d in fps}
+
+    def find(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    ids = sorted(fps)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            if (fps[a] ^ fps[b]).bit_count() <= 2:
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {d: find(d) for d in ids}
+
+
+def test_simhash(docs, texts):
+    got = {r["doc_id"]: r for r in simhash.near_groups(docs).collect()}
+    fps = {d: brute_simhash(t) for d, t in texts.items()}
+    assert {d: r["fingerprint"] for d, r in got.items()} == {d: f"{f:016x}" for d, f in fps.items()}
+    assert {d: r["component_id"] for d, r in got.items()} == brute_components(fps)
+
+
+def test_simhash_components_random(spark):
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    fps = {}
+    for d in range(900):
+        f = int(base[d % 40])
+        for b in rng.integers(0, 64, rng.integers(0, 4)):
+            f ^= 1 << int(b)
+        fps[d] = f
+    signed = [(d, f - (1 << 64) if f >> 63 else f) for d, f in fps.items()]
+    df = spark.createDataFrame(signed, "id long, fp long")
+    want = brute_components(fps)
+    for most in (64, 2):  # few pairs a key: the other way to links
+        got = {r["id"]: r["component"] for r in simhash.near_components(df, most_pairs=most).collect()}
+        assert got == want
+
+
+def test_golay_keys_meet():
+    rng = np.random.default_rng(8)
+    errors = simhash.nearby_errors()
+    a = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    b = a ^ (np.uint64(1) << rng.integers(0, 64, 3000).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 3000).astype(np.uint64))
+    ka, oa = simhash.golay_keys(a, errors)
+    kb, ob = simhash.golay_keys(b, errors)
+    left, right = defaultdict(set), defaultdict(set)
+    for k, o in zip(ka.tolist(), oa.tolist()):
+        left[o].add(k)
+    for k, o in zip(kb.tolist(), ob.tolist()):
+        right[o].add(k)
+    assert all(left[i] & right[i] for i in range(3000))
+
+
+def test_simhash_odd(odd, empty):
+    got = simhash.near_groups(odd).collect()
+    assert len(got) == len(ODD) and {r["component_id"] for r in got if r["doc_id"] in (1, 2, 3)} == {1}
+    kept = simhash.near_dedup(odd)
+    assert kept.columns == odd.columns and kept.count() < len(ODD)
+    assert simhash.near_groups(empty).count() == 0 and simhash.near_dedup(empty).count() == 0
