@@ -14,7 +14,7 @@ look-up of an edge of the lattice. Characters without a piece become byte pieces
 The most frequent units of a sample (CACHED of them at most, none longer than SHORT) are encoded
 first and broadcast, which saves moving them with every text that has them; every other unit goes
 to the lattice with the chunks of documents that have it, and its ids go back to these
-chunks. A chunk is CHUNK documents on average, by hash of id and text. Units of more than
+chunks. A chunk is CHUNK_ROWS neighbouring rows of a table bucketed by chunk, so texts stay where they are. Units of more than
 LONG characters, where merging by rounds would take too long, are merged with a heap instead.
 """
 
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import c, documents, stash, unit_hash
+from .common import c, chunked, documents, unit_hash
 from .token_files import slices
 
 MARK, BYTE, NORMAL, UNKNOWN_TYPE, USER = "▁", 6, 1, 2, 4
@@ -42,7 +42,7 @@ LETTERS = "a-zA-Z\u00c0-\u024f"
 FINE = re.compile(f"{MARK}*[{LETTERS}]+|{MARK}*[^{MARK}\\n{LETTERS}]+|{MARK}+|\\n")
 COARSE = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 WHOLE = re.compile("(?s).+")
-CACHED, SHORT, SAMPLE_CHARS, CHUNK, LONG = 200_000, 24, 30_000_000, 512, 256
+CACHED, SHORT, SAMPLE_CHARS, CHUNK_ROWS, LONG = 200_000, 24, 30_000_000, 1000, 256
 MOST_BROADCAST = 1_000_000
 
 
@@ -134,21 +134,22 @@ def best_path(unit: str, ranks: dict[str, tuple[int, int]], model: Model, spell)
 
 
 def lattice(units: DataFrame, model: Model) -> DataFrame:
-    """units (unit, uid and more) with edges: an array of (s, e, rank, id) in order, one for each piece
-    that is a substring. Rows of a unit must come with a uid of their own."""
-    spark, more = units.sparkSession, [x for x in units.columns if x not in ("uid", "unit")]
-    order = model.order()
-    table = pd.DataFrame([(p, int(order[i]), i) for i, (p, u) in enumerate(zip(model.pieces, model.usable)) if u], columns=["piece", "rank", "id"]).astype({"rank": "int32", "id": "int32"})
-    pieces = spark.createDataFrame(table, "piece string, rank int, id int")
+    """units (unit, distinct, and chunks) with edges: an array of (s, e, rank, id, and of a unigram model
+    score) in order, one for each piece that is a substring. Grouping by unit needs no exchange where units come dealt by unit."""
+    spark, order = units.sparkSession, model.order()
+    own = [("", -1, -1, 0.0), *((p, int(order[i]), i, model.scores[i]) for i, (p, u) in enumerate(zip(model.pieces, model.usable)) if u)]
+    table = pd.DataFrame(own, columns=["piece", "rank", "id", "score"]).astype({"rank": "int32", "id": "int32"})
+    pieces = spark.createDataFrame(table, "piece string, rank int, id int, score double")
+    edge = F.struct("s", "e", "rank", "id", *([] if model.bpe else ["score"]))
     if len(table) <= MOST_BROADCAST:
         pieces = F.broadcast(pieces)
-    size = F.length("unit")
-    starts = units.select("uid", "unit", *more, F.explode(F.sequence(F.lit(0), size - 1)).alias("s"))
-    spans = starts.select("*", F.explode(F.sequence(F.lit(1), F.least(F.lit(model.longest), size - F.col("s")))).alias("l"))
-    spans = spans.select("uid", "unit", *more, "s", (F.col("s") + F.col("l")).alias("e"), F.expr("substring(unit, s + 1, l)").alias("piece"))
-    edges = spans.join(pieces, "piece")
-    grouped = edges.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("s", "e", "rank", "id"))).alias("edges"))
-    return units.join(grouped, "uid", "left").select("uid", "unit", *more, F.coalesce("edges", F.array().cast("array<struct<s:int,e:int,rank:int,id:int>>")).alias("edges"))
+    # the start -1 stands for the unit itself, whether it has edges or not
+    starts = units.select("unit", "chunks", F.explode(F.sequence(F.lit(-1), F.length("unit") - 1)).alias("s"))
+    lengths = F.when(F.col("s") < 0, F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.lit(model.longest), F.length("unit") - F.col("s")))))
+    spans = starts.select("unit", F.expr("if(s < 0, chunks, NULL)").alias("chunks"), "s", F.explode(lengths).alias("l"))
+    spans = spans.select("unit", "chunks", "s", (F.col("s") + F.col("l")).alias("e"), F.expr("substring(unit, s + 1, l)").alias("piece"))
+    found = F.collect_list(F.when(F.col("s") >= 0, edge))
+    return spans.join(pieces, "piece").groupBy("unit").agg(F.first("chunks", ignorenulls=True).alias("chunks"), F.array_sort(found).alias("edges"))
 
 
 CELL = 6  # bytes: three of the rank and three of the id of an edge
@@ -180,13 +181,10 @@ def _fold_viterbi(df: DataFrame, model: Model) -> DataFrame:
     """best[e] = (score, start, id) of the best path to e; a character without a piece costs
     10 more than the least score."""
     low = min(s for s, u in zip(model.scores, model.usable) if u) - 10
-    scores = F.array(*[F.lit(float(s)) for s in model.scores]) if len(model.scores) <= 200 else None
-    if scores is None:
-        raise ValueError("large unigram tables carry their scores in the edges")
     empty = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("s"), F.lit(None).cast("int").alias("id")))
 
     def step(best: Column, e: Column) -> Column:
-        into = F.transform(F.filter("edges", lambda x: x["e"] == e), lambda x: F.struct((best[x["s"]]["score"] + scores[x["id"]]).alias("score"), x["s"].alias("s"), x["id"].alias("id")))
+        into = F.transform(F.filter("edges", lambda x: x["e"] == e), lambda x: F.struct((best[x["s"]]["score"] + x["score"]).alias("score"), x["s"].alias("s"), x["id"].alias("id")))
         spelt = F.array(F.struct((best[e - 1]["score"] + F.lit(low)).alias("score"), (e - 1).alias("s"), F.lit(None).cast("int").alias("id")))
         return F.concat(best, F.array(F.array_max(F.concat(into, spelt))))
 
@@ -199,7 +197,7 @@ def _fold_viterbi(df: DataFrame, model: Model) -> DataFrame:
 
 
 def encode_units(units: DataFrame, model: Model) -> DataFrame:
-    """units (uid, unit and more; none empty) with ids, an array of int."""
+    """units (unit, distinct and none empty, and chunks) with ids, an array of int."""
     found = lattice(units, model)
     found = _fold_bpe(found, model.longest) if model.bpe else _fold_viterbi(found, model)
     if model.bytes_at is None:
@@ -210,13 +208,18 @@ def encode_units(units: DataFrame, model: Model) -> DataFrame:
     return found.withColumn("ids", F.expr(f"flatten(transform(path, p -> if(p.id IS NULL, {spelt}, array(p.id))))")).drop("path")
 
 
+def packed(ids: str) -> Column:
+    """Three bytes an id."""
+    return F.unhex(F.array_join(F.transform(ids, lambda i: F.lpad(F.hex(i), 6, "0")), ""))
+
+
 def _frequent(rows: DataFrame, units: re.Pattern, cached: int) -> list[str]:
     """The most frequent short units of a sample of about SAMPLE_CHARS characters."""
     n = rows.agg(F.count(F.lit(1))).first()[0]
     if not n:
         return []
-    first = rows.where(unit_hash(F.col("h"), F.lit(9)) < min(1.0, 2000 / n)).agg(F.avg(F.length("text"))).first()[0] or 1.0
-    drawn = rows.where(unit_hash(F.col("h"), F.lit(10)) < min(1.0, SAMPLE_CHARS / first / n)).select("text")
+    first = rows.where(unit_hash(F.xxhash64("text"), F.col("rid"), F.lit(9)) < min(1.0, 2000 / n)).agg(F.avg(F.length("text"))).first()[0] or 1.0
+    drawn = rows.where(unit_hash(F.xxhash64("text"), F.col("rid"), F.lit(10)) < min(1.0, SAMPLE_CHARS / first / n)).select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
@@ -230,7 +233,7 @@ def _frequent(rows: DataFrame, units: re.Pattern, cached: int) -> list[str]:
     return [r["unit"] for r in top.collect()]
 
 
-def encode(df: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", cached: int = CACHED, chunk: int = CHUNK) -> DataFrame:
+def encode(df: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", cached: int = CACHED, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """id_col, ids (array of int), n_tokens and ids_crc32 (unsigned, of the ids as little-endian unsigned
     32-bit integers) of each row of df.
 
@@ -239,37 +242,37 @@ def encode(df: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str
     read. An empty table gives an empty one."""
     spark, model = df.sparkSession, load_model(model_file)
     pattern, order = model.units, model.order()
-    n_rows = df.agg(F.count(F.lit(1))).first()[0]
-    chunks = max(1, n_rows // chunk)
-    rows = df.select(c(id_col).alias("id"), F.coalesce(c(text_col), F.lit("")).alias("text"))
-    rows = rows.withColumn("h", F.xxhash64("id", "text")).withColumn("chunk", F.pmod("h", F.lit(chunks)).cast("int"))
-    first = _frequent(rows, pattern, cached)
-    uids = spark.createDataFrame(pd.DataFrame({"uid": np.arange(len(first)), "unit": pd.Series(first, dtype="str")}), "uid long, unit string").repartition("uid")
-    known = {r["unit"]: np.array(r["ids"], dtype=np.int32) for r in encode_units(uids, model).select("unit", "ids").collect()} if first else {}
+    table = chunked(df.select(c(id_col).alias("id"), F.coalesce(c(text_col), F.lit("")).alias("text")), "pieces_rows", chunk_rows)
+    first = _frequent(table, pattern, cached)
+    units = spark.createDataFrame(pd.DataFrame({"unit": pd.Series(first, dtype="str")}), "unit string").withColumn("chunks", F.array().cast("array<bigint>"))
+    known = {r["unit"]: r["ids"] for r in encode_units(units.repartition("unit"), model).select("unit", packed("ids").alias("ids")).collect()} if first else {}
     cache = spark.sparkContext.broadcast(known)
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: set[tuple[int, str]] = set()
+        held: dict[int, set[str]] = {}
+        size = 0
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([u for _, u in held], pa.string()), pa.array([k for k, _ in held], pa.int32())], ["unit", "chunk"])
+            chunks = np.repeat(np.fromiter(held, np.int64, len(held)), [len(x) for x in held.values()])
+            return pa.RecordBatch.from_arrays([pa.array([u for x in held.values() for u in x], pa.string()), pa.array(chunks)], ["unit", "chunk"])
 
-        have = cache.value.keys()
+        have = cache.value
         for batch in batches:
             for piece in slices(batch, "text"):
                 for k, t in zip(piece.column("chunk").to_pylist(), piece.column("text").to_pylist()):
-                    held.update([(k, u) for u in set(pattern.findall(marked(t))) - have if len(u) <= LONG])
-                if len(held) > 200_000:
+                    new = [u for u in set(pattern.findall(marked(t))) if u not in have and len(u) <= LONG]
+                    held.setdefault(k, set()).update(new)
+                    size += len(new)
+                if size > 200_000:
                     yield out()
-                    held = set()
+                    held, size = {}, 0
         yield out()
 
-    asked = rows.select("text", "chunk").mapInArrow(rare, "unit string, chunk int")
-    asked = stash(asked.groupBy("unit").agg(F.collect_set("chunk").alias("chunks")).withColumn("uid", F.monotonically_increasing_id()), "units")
-    answers = encode_units(asked.select("uid", "unit", "chunks"), model).select(F.explode("chunks").alias("chunk"), "unit", "ids")
+    asked = table.select("text", "chunk").mapInArrow(rare, "unit string, chunk long").groupBy("unit").agg(F.collect_set("chunk").alias("chunks"))
+    answers = encode_units(asked, model).select(F.explode("chunks").alias("chunk"), "unit", packed("ids").alias("ids"))
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        known = dict(zip(right.column("unit").to_pylist(), (np.array(x, dtype=np.int32) for x in right.column("ids").to_pylist())))
+        known = dict(zip(right.column("unit").to_pylist(), right.column("ids").to_pylist()))
         have, ranks, low = cache.value, None, model.bytes_at
         texts = [pattern.findall(marked(t)) for t in left.column("text").to_pylist()]
         own = list(dict.fromkeys(u for us in texts for u in us))
@@ -282,10 +285,10 @@ def encode(df: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str
                     raise RuntimeError(f"a unit has no ids: {u!r}")
                 ranks = ranks or {p: (int(order[i]), i) for i, (p, ok) in enumerate(zip(model.pieces, model.usable)) if ok}
                 spell = (lambda x: [b + low for b in x.encode()]) if low is not None else (lambda x: [model.unknown])
-                ids = np.array(merge(u, ranks, spell) if model.bpe else best_path(u, ranks, model, spell), dtype=np.int32)
+                ids = b"".join(i.to_bytes(3, "big") for i in (merge(u, ranks, spell) if model.bpe else best_path(u, ranks, model, spell)))
             arrays.append(ids)
-        flat = np.concatenate([np.zeros(0, np.int32), *arrays])
-        sizes = np.fromiter(map(len, arrays), np.int64, len(arrays))
+        flat = np.frombuffer(b"".join(arrays), np.uint8).reshape(-1, 3).astype(np.int32) @ np.array([1 << 16, 1 << 8, 1], dtype=np.int32)
+        sizes = np.fromiter(map(len, arrays), np.int64, len(arrays)) // 3
         starts = np.cumsum(sizes) - sizes
         out, crc = [], []
         for us in texts:
@@ -299,8 +302,8 @@ def encode(df: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str
         ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *out]), pa.int32()))
         return pa.Table.from_arrays([left.column("id"), ids, pa.array(np.diff(ends), pa.int64()), pa.array(crc, pa.int64())], ["id", "ids", "n_tokens", "ids_crc32"])
 
-    schema = T.StructType([rows.schema["id"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())])
-    both = rows.select("id", "text", "chunk").groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    schema = T.StructType([table.schema["id"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())])
+    both = table.select("id", "text", "chunk").groupBy("chunk").cogroup(answers.groupBy("chunk"))
     return both.applyInArrow(assemble, schema).withColumnRenamed("id", id_col)
 
 
