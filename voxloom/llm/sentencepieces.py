@@ -88,6 +88,22 @@ def marked(text: str) -> str:
     return MARK + text.replace(" ", MARK) if text else ""
 
 
+def words_of(text: str, pattern: re.Pattern) -> list[str]:
+    """Words such that the units of MARK + word, one word after another, are those of the text."""
+    if not text:
+        return []
+    if pattern is WHOLE:
+        return [marked(text)[1:]]
+    if "  " in text or MARK in text or text[0] == " " or text[-1] == " ":
+        return [x[1:] for x in COARSE.findall(marked(text))]
+    return text.split(" ")
+
+
+def unpacked(ids: bytes, width: int) -> np.ndarray:
+    powers = np.array([1 << 8 * i for i in range(width - 1, -1, -1)], dtype=np.int32)
+    return np.frombuffer(ids, np.uint8).reshape(-1, width).astype(np.int32) @ powers
+
+
 def merge(unit: str, ranks: dict[str, tuple[int, int]], spell) -> list[int]:
     """BPE of one unit with a heap: for units too long for rounds of merges."""
     n = len(unit)
@@ -133,48 +149,53 @@ def best_path(unit: str, ranks: dict[str, tuple[int, int]], model: Model, spell)
     return out
 
 
+def id_bytes(model: Model) -> int:
+    return 2 if len(model.pieces) < 1 << 16 else 3
+
+
 def lattice(units: DataFrame, model: Model) -> DataFrame:
-    """units (unit, distinct, and chunks) with edges: an array of (s, e, rank, id, and of a unigram model
-    score) in order, one for each piece that is a substring. Grouping by unit needs no exchange where units come dealt by unit."""
-    spark, order = units.sparkSession, model.order()
-    own = [("", -1, -1, 0.0), *((p, int(order[i]), i, model.scores[i]) for i, (p, u) in enumerate(zip(model.pieces, model.usable)) if u)]
-    table = pd.DataFrame(own, columns=["piece", "rank", "id", "score"]).astype({"rank": "int32", "id": "int32"})
-    pieces = spark.createDataFrame(table, "piece string, rank int, id int, score double")
-    edge = F.struct("s", "e", "rank", "id", *([] if model.bpe else ["score"]))
+    """units (unit, distinct, and chunks) with edges, an array in order, one for each piece that is a
+    substring: of a unigram model (s, e, id, score), of a BPE model (at, cell), at being the place
+    of its start and length in a table and cell the bytes of rank and id. Grouping by unit
+    needs no exchange where units come dealt by unit."""
+    spark, order, width = units.sparkSession, model.order(), id_bytes(model)
+    own = [("", b"", -1, 0.0)]
+    own += [(p, int(order[i]).to_bytes(3, "big") + i.to_bytes(width, "big"), i, model.scores[i]) for i, (p, u) in enumerate(zip(model.pieces, model.usable)) if u]
+    table = pd.DataFrame(own, columns=["piece", "cell", "id", "score"]).astype({"id": "int32"})
+    pieces = spark.createDataFrame(table, "piece string, cell binary, id int, score double")
     if len(table) <= MOST_BROADCAST:
         pieces = F.broadcast(pieces)
     # the start -1 stands for the unit itself, whether it has edges or not
     starts = units.select("unit", "chunks", F.explode(F.sequence(F.lit(-1), F.length("unit") - 1)).alias("s"))
     lengths = F.when(F.col("s") < 0, F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.lit(model.longest), F.length("unit") - F.col("s")))))
     spans = starts.select("unit", F.expr("if(s < 0, chunks, NULL)").alias("chunks"), "s", F.explode(lengths).alias("l"))
-    spans = spans.select("unit", "chunks", "s", (F.col("s") + F.col("l")).alias("e"), F.expr("substring(unit, s + 1, l)").alias("piece"))
+    spans = spans.select("unit", "chunks", "s", "l", F.expr("substring(unit, s + 1, l)").alias("piece"))
+    edge = F.struct((F.col("s") * model.longest + F.col("l") - 1).alias("at"), "cell") if model.bpe else F.struct("s", (F.col("s") + F.col("l")).alias("e"), "id", "score")
     found = F.collect_list(F.when(F.col("s") >= 0, edge))
-    return spans.join(pieces, "piece").groupBy("unit").agg(F.first("chunks", ignorenulls=True).alias("chunks"), F.array_sort(found).alias("edges"))
-
+    return spans.join(pieces, "piece").groupBy("unit").agg(F.first("chunks", ignorenulls=True).alias("chunks"), F.sort_array(found).alias("edges"))
 
-CELL = 6  # bytes: three of the rank and three of the id of an edge
 
-
-def merged_path(longest: int) -> Column:
-    """The ends of the symbols that BPE's merges leave of a unit, and its table of edges.
-
-    The table has a cell for each start and length. Each round of the fold takes, of all
-    neighbouring pairs whose span is an edge, that of the best rank, the first of equals."""
-    at = lambda e: (e["s"] * longest + e["e"] - e["s"] - 1) * CELL
-    cell = lambda e: F.unhex(F.concat(F.lpad(F.hex(e["rank"]), 6, "0"), F.lpad(F.hex(e["id"]), 6, "0")))
-    table = F.aggregate("edges", F.lit(b""), lambda acc, e: F.concat(F.rpad(acc, at(e), F.lit(b"\xff")), cell(e)))
-    return F.rpad(table, F.length("unit") * longest * CELL, F.lit(b"\xff"))
-
-
-def _fold_bpe(df: DataFrame, longest: int) -> DataFrame:
+def _fold_bpe(df: DataFrame, longest: int, cell: int) -> DataFrame:
+    """BPE's merges as a fold. tab has a cell for each start and length, 0xFF where no piece
+    is. The state is the places between symbols and, for each pair of neighbours, the rank of its span; a
+    round merges the pair of the least rank, the first of equals, and looks up the two
+    pairs beside it anew."""
     none = "X'FFFFFF'"
-    rank = f"if(b[i + 2] - b[i] > {longest}, {none}, substring(tab, (b[i] * {longest} + b[i + 2] - b[i] - 1) * {CELL} + 1, 3))"
-    best = f"array_min(transform(sequence(0, size(b) - 3), i -> struct({rank} AS r, i AS i)))"
-    step = f"CASE WHEN size(b) < 3 THEN b ELSE transform(array({best}), x -> if(x.r = {none}, b, concat(slice(b, 1, x.i + 1), slice(b, x.i + 3, size(b)))))[0] END"
-    ends = f"aggregate(sequence(1, length(unit)), sequence(0, length(unit)), (b, k) -> {step})"
-    path = f"transform(sequence(0, size(b) - 2), i -> struct(b[i] AS s, b[i + 1] AS e, substring(tab, (b[i] * {longest} + b[i + 1] - b[i] - 1) * {CELL} + 4, 3) AS c))"
-    df = df.withColumn("tab", merged_path(longest)).withColumn("b", F.expr(ends)).withColumn("path", F.expr(path))
-    return df.withColumn("path", F.expr("transform(path, p -> struct(p.s AS s, p.e AS e, if(p.c = X'FFFFFF', NULL, cast(conv(hex(p.c), 16, 10) AS int)) AS id))")).drop("tab", "b", "edges")
+    tab = F.aggregate("edges", F.lit(b""), lambda acc, e: F.concat(F.rpad(acc, e["at"] * cell, F.lit(b"\xff")), e["cell"]))
+    rank = lambda a, e: f"if({e} - {a} > {longest}, {none}, substring(tab, ({a} * {longest - 1} + {e} - 1) * {cell} + 1, 3))"
+    first = f"struct(sequence(0, length(unit)) AS b, transform(if(length(unit) < 2, array(), sequence(0, length(unit) - 2)), i -> {rank('i', 'i + 2')}) AS r)"
+    # i: the pair, from 1. Its middle b[i] goes; pairs i - 1 and i + 1 get new spans
+    left = f"if(i > 1, array({rank('x.b[i - 2]', 'x.b[i + 1]')}), array())"
+    right = f"if(i < size(x.r), array({rank('x.b[i - 1]', 'x.b[i + 2]')}), array())"
+    merged = (
+        "struct(concat(slice(x.b, 1, i), slice(x.b, i + 2, size(x.b))) AS b, "
+        f"concat(slice(x.r, 1, greatest(i - 2, 0)), {left}, {right}, slice(x.r, i + 2, size(x.r))) AS r)"
+    )
+    step = f"if(size(x.r) = 0 OR array_min(x.r) = {none}, x, element_at(transform(array(cast(array_position(x.r, array_min(x.r)) AS int)), i -> {merged}), 1))"
+    df = df.withColumn("tab", F.rpad(tab, F.length("unit") * longest * cell, F.lit(b"\xff")))
+    df = df.withColumn("b", F.expr(f"aggregate(if(length(unit) < 2, array(), sequence(2, length(unit))), {first}, (x, k) -> {step}).b"))
+    path = f"transform(sequence(0, size(b) - 2), i -> struct(b[i] AS s, b[i + 1] AS e, substring(tab, (b[i] * {longest - 1} + b[i + 1] - 1) * {cell} + 4, {cell - 3}) AS id))"
+    return df.withColumn("path", F.expr(path)).drop("tab", "b", "edges")
 
 
 def _fold_viterbi(df: DataFrame, model: Model) -> DataFrame:
@@ -197,20 +218,19 @@ def _fold_viterbi(df: DataFrame, model: Model) -> DataFrame:
 
 
 def encode_units(units: DataFrame, model: Model) -> DataFrame:
-    """units (unit, distinct and none empty, and chunks) with ids, an array of int."""
+    """units (unit, distinct and none empty, and chunks) with ids: id_bytes() bytes for each."""
+    width = id_bytes(model)
     found = lattice(units, model)
-    found = _fold_bpe(found, model.longest) if model.bpe else _fold_viterbi(found, model)
+    found = _fold_bpe(found, model.longest, 3 + width) if model.bpe else _fold_viterbi(found, model)
+    known = "p.id" if model.bpe else f"unhex(lpad(hex(p.id), {2 * width}, '0'))"
+    none = f"p.id = X'{'FF' * width}'" if model.bpe else "p.id IS NULL"
+    text = "substring(unit, p.s + 1, p.e - p.s)"
     if model.bytes_at is None:
-        spelt = f"array({model.unknown})"
+        spelt = f"X'{model.unknown:0{2 * width}X}'"
     else:
-        hexed = "hex(encode(substring(unit, p.s + 1, p.e - p.s), 'UTF-8'))"
-        spelt = f"transform(sequence(0, length({hexed}) div 2 - 1), k -> cast(conv(substring({hexed}, 2 * k + 1, 2), 16, 10) AS int) + {model.bytes_at})"
-    return found.withColumn("ids", F.expr(f"flatten(transform(path, p -> if(p.id IS NULL, {spelt}, array(p.id))))")).drop("path")
-
-
-def packed(ids: str) -> Column:
-    """Three bytes an id."""
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.lpad(F.hex(i), 6, "0")), ""))
+        hexed = f"hex(encode({text}, 'UTF-8'))"
+        spelt = f"unhex(array_join(transform(sequence(0, length({hexed}) div 2 - 1), k -> lpad(hex(cast(conv(substring({hexed}, 2 * k + 1, 2), 16, 10) AS int) + {model.bytes_at}), {2 * width}, '0')), ''))"
+    return found.withColumn("ids", F.expr(f"aggregate(path, X'', (a, p) -> concat(a, if({none}, {spelt}, {known})))")).drop("path")
 
 
 def _frequent(rows: DataFrame, units: re.Pattern, cached: int) -> list[str]:
@@ -245,62 +265,76 @@ def encode(df: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str
     table = chunked(df.select(c(id_col).alias("id"), F.coalesce(c(text_col), F.lit("")).alias("text")), "pieces_rows", chunk_rows)
     first = _frequent(table, pattern, cached)
     units = spark.createDataFrame(pd.DataFrame({"unit": pd.Series(first, dtype="str")}), "unit string").withColumn("chunks", F.array().cast("array<bigint>"))
-    known = {r["unit"]: r["ids"] for r in encode_units(units.repartition("unit"), model).select("unit", packed("ids").alias("ids")).collect()} if first else {}
+    known = {r["unit"]: r["ids"] for r in encode_units(units.repartition("unit"), model).select("unit", "ids").collect()} if first else {}
     cache = spark.sparkContext.broadcast(known)
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, set[str]] = {}
+        have, known_words = cache.value, set()
         size = 0
 
         def out() -> pa.RecordBatch:
             chunks = np.repeat(np.fromiter(held, np.int64, len(held)), [len(x) for x in held.values()])
             return pa.RecordBatch.from_arrays([pa.array([u for x in held.values() for u in x], pa.string()), pa.array(chunks)], ["unit", "chunk"])
 
-        have = cache.value
         for batch in batches:
             for piece in slices(batch, "text"):
+                words: dict[int, set[str]] = {}
                 for k, t in zip(piece.column("chunk").to_pylist(), piece.column("text").to_pylist()):
-                    new = [u for u in set(pattern.findall(marked(t))) if u not in have and len(u) <= LONG]
-                    held.setdefault(k, set()).update(new)
+                    words.setdefault(k, set()).update(words_of(t, pattern))
+                for k, ws in words.items():
+                    new = held.setdefault(k, set())
+                    size -= len(new)
+                    for w in ws - known_words:
+                        units = pattern.findall(MARK + w)
+                        missing = [u for u in units if u not in have and len(u) <= LONG]
+                        if missing:
+                            new.update(missing)
+                        elif len(known_words) < cached:
+                            known_words.add(w)
                     size += len(new)
                 if size > 200_000:
                     yield out()
                     held, size = {}, 0
         yield out()
 
-    asked = table.select("text", "chunk").mapInArrow(rare, "unit string, chunk long").groupBy("unit").agg(F.collect_set("chunk").alias("chunks"))
-    answers = encode_units(asked, model).select(F.explode("chunks").alias("chunk"), "unit", packed("ids").alias("ids"))
+    # many small tasks: a unit becomes many edges
+    tasks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    asked = table.select("text", "chunk").mapInArrow(rare, "unit string, chunk long").repartition(tasks, "unit")
+    answers = encode_units(asked.groupBy("unit").agg(F.collect_set("chunk").alias("chunks")), model).select(F.explode("chunks").alias("chunk"), "unit", "ids")
+    width = id_bytes(model)
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        known = dict(zip(right.column("unit").to_pylist(), right.column("ids").to_pylist()))
+        found = dict(zip(right.column("unit").to_pylist(), right.column("ids").to_pylist()))
         have, ranks, low = cache.value, None, model.bytes_at
-        texts = [pattern.findall(marked(t)) for t in left.column("text").to_pylist()]
-        own = list(dict.fromkeys(u for us in texts for u in us))
-        place = {u: i for i, u in enumerate(own)}
+        texts = [words_of(t, pattern) for t in left.column("text").to_pylist()]
+        words = [w for ws in texts for w in ws]
+        place = dict.fromkeys(words)
         arrays = []
-        for u in own:
-            ids = have.get(u)
-            if ids is None and (ids := known.get(u)) is None:
-                if len(u) <= LONG:
-                    raise RuntimeError(f"a unit has no ids: {u!r}")
-                ranks = ranks or {p: (int(order[i]), i) for i, (p, ok) in enumerate(zip(model.pieces, model.usable)) if ok}
-                spell = (lambda x: [b + low for b in x.encode()]) if low is not None else (lambda x: [model.unknown])
-                ids = b"".join(i.to_bytes(3, "big") for i in (merge(u, ranks, spell) if model.bpe else best_path(u, ranks, model, spell)))
-            arrays.append(ids)
-        flat = np.frombuffer(b"".join(arrays), np.uint8).reshape(-1, 3).astype(np.int32) @ np.array([1 << 16, 1 << 8, 1], dtype=np.int32)
-        sizes = np.fromiter(map(len, arrays), np.int64, len(arrays)) // 3
-        starts = np.cumsum(sizes) - sizes
-        out, crc = [], []
-        for us in texts:
-            at = np.fromiter(map(place.__getitem__, us), np.int64, len(us))
-            k = sizes[at]
-            upto = np.cumsum(k)
-            ids = flat[np.repeat(starts[at] - (upto - k), k) + np.arange(upto[-1] if len(k) else 0)]
-            out.append(ids)
-            crc.append(zlib.crc32(ids.astype("<u4").tobytes()))
-        ends = np.cumsum([0, *map(len, out)])
-        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *out]), pa.int32()))
-        return pa.Table.from_arrays([left.column("id"), ids, pa.array(np.diff(ends), pa.int64()), pa.array(crc, pa.int64())], ["id", "ids", "n_tokens", "ids_crc32"])
+        for n, w in enumerate(place):
+            ids = []
+            for u in pattern.findall(MARK + w):
+                x = have.get(u) or found.get(u)
+                if x is None:
+                    if len(u) <= LONG:
+                        raise RuntimeError(f"a unit has no ids: {u!r}")
+                    ranks = ranks or {p: (int(order[i]), i) for i, (p, ok) in enumerate(zip(model.pieces, model.usable)) if ok}
+                    spell = (lambda x: [b + low for b in x.encode()]) if low is not None else (lambda x: [model.unknown])
+                    x = b"".join(i.to_bytes(width, "big") for i in (merge(u, ranks, spell) if model.bpe else best_path(u, ranks, model, spell)))
+                ids.append(x)
+            arrays.append(b"".join(ids))
+            place[w] = n
+        flat = unpacked(b"".join(arrays), width)
+        ends = np.cumsum([0, *map(len, arrays)]) // width
+        of = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+        k = np.diff(ends)[of]
+        upto = np.cumsum(k)
+        every = flat[np.repeat(ends[of] - (upto - k), k) + np.arange(upto[-1] if len(k) else 0)]
+        cut = np.r_[0, upto][np.cumsum([0, *map(len, texts)])]
+        raw = every.astype("<u4")
+        crc = [zlib.crc32(raw[a:b].data) for a, b in zip(cut.tolist(), cut[1:].tolist())]
+        ids = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(every, pa.int32()))
+        return pa.Table.from_arrays([left.column("id"), ids, pa.array(np.diff(cut), pa.int64()), pa.array(crc, pa.int64())], ["id", "ids", "n_tokens", "ids_crc32"])
 
     schema = T.StructType([table.schema["id"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())])
     both = table.select("id", "text", "chunk").groupBy("chunk").cogroup(answers.groupBy("chunk"))
