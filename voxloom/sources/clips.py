@@ -72,8 +72,10 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None
 
 
 def bad_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The lines that don't parse."""
     full = T.StructType([*schema, T.StructField("_bad", T.StringType())])
-    return spark.read.schema(full).option("columnNameOfCorruptRecord", "_bad").json(path).where("_bad IS NOT NULL").select("_bad")
+    lines = spark.read.text(path).select(F.from_json("value", full, {"columnNameOfCorruptRecord": "_bad"}).alias("row"))
+    return lines.select("row._bad").where("_bad IS NOT NULL")
 
 
 def read_export(spark: SparkSession, path: str, dataset: str | None = None, limit: int = -1, **adapting) -> DataFrame:
@@ -116,7 +118,7 @@ def read_folder(spark: SparkSession, root: str, pattern: str = ".wav", text_endi
     clips = audio.select(F.concat("path", F.lit("/0")).alias("id"), F.col("path").alias("audio_file"), "format", F.lit("").alias("text"), file_stem(F.col("path")).alias("_stem"))
     if text_ending is not None:
         last = clips.groupBy("_stem").agg(F.max_by(F.struct("audio_file", "format"), "audio_file").alias("a"))
-        texts = spark.read.option("wholetext", "true").option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", file_pattern(text_ending)).text(root)
+        texts = spark.read.option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", file_pattern(text_ending)).text(root, wholetext=True)
         texts = texts.select(F.col("_metadata.file_path").alias("text_file"), F.regexp_replace("value", r"\r?\n", "").alias("text"))
         texts = texts.withColumn("_stem", file_stem(F.col("text_file")))
         clips = last.join(texts, "_stem").select(F.concat(F.col("a.audio_file"), F.lit("/0")).alias("id"), "a.audio_file", "a.format", "text")
