@@ -8,6 +8,8 @@ import json
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .numbers import let
+
 
 def windows(values: Column, sample_rate: Column | int, seconds: float) -> Column:
     """Consecutive windows of at least one value; the rest at the end is kept, and an array
@@ -28,9 +30,8 @@ def array_mean(values: Column) -> Column:
 
 def array_std(values: Column, sample: bool = False) -> Column:
     """Population deviation, or that of a sample."""
-    mean = array_mean(values)
-    squares = F.aggregate(values, F.lit(0.0), lambda s, x: s + (x.cast("double") - mean) * (x.cast("double") - mean))
-    return F.sqrt(F.try_divide(squares, F.size(values) - int(sample)))
+    squares = lambda mean: F.aggregate(values, F.lit(0.0), lambda s, x: s + (x.cast("double") - mean) * (x.cast("double") - mean))
+    return F.sqrt(F.try_divide(let(array_mean(values), squares), F.size(values) - int(sample)))
 
 
 def window_means(values: Column, sample_rate: Column | int, seconds: float) -> Column:
@@ -51,10 +52,8 @@ def rms_frames(samples: Column, frame: int = 2048, hop: int = 512) -> Column:
 
 
 def softmax(logits: Column) -> Column:
-    top = F.array_max(logits)
-    parts = F.transform(logits, lambda x: F.exp((x - top).cast("double")))
-    total = array_sum(parts)
-    return F.transform(parts, lambda x: x / total)
+    parts = let(F.array_max(logits), lambda top: F.transform(logits, lambda x: F.exp((x - top).cast("double"))))
+    return let(parts, lambda p: let(array_sum(p), lambda total: F.transform(p, lambda x: x / total)))
 
 
 def label_and_score(logits: Column, labels: list[str]) -> Column:

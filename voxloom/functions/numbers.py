@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,6 +28,11 @@ WADA_CURVE = (
 )
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def parse_number(value: Column) -> Column:
     """A double, or null where there is none; nan and inf parse, trailing type letters don't."""
     return F.when(~F.lower(value.cast("string")).rlike("[df]$") | F.lower(value.cast("string")).rlike("inf$"), value.try_cast("double"))
@@ -69,24 +76,32 @@ def level_db(rms: Column) -> Column:
 def interpolate(value: Column, curve: tuple[float, ...] = WADA_CURVE, first: float = WADA_FIRST_DB) -> Column:
     """The place of value on a curve of unit steps from `first`: at the last entry below it,
     linear up to the next; `first` where none is below, the end where all are."""
+    last = len(curve) - 1
     table = F.array(*[F.lit(float(x)) for x in curve])
-    below = F.aggregate(F.sequence(F.lit(0), F.lit(len(curve) - 1)), F.lit(-1), lambda best, i: F.when(table[i] < value, i).otherwise(best))
-    at = F.greatest(below, F.lit(0))
-    nxt = F.least(at + 1, F.lit(len(curve) - 1))
-    between = first + at + (value - table[at]) / F.nullif(table[nxt] - table[at], F.lit(0.0))
-    place = F.when(below < 0, float(first)).when(below == len(curve) - 1, float(first + len(curve) - 1)).otherwise(between)
-    return F.when(~F.isnan(value), place)
+
+    def place(v: Column) -> Column:
+        # the curve isn't monotonic at its start, so the last entry below is looked for, not the first above
+        below = F.aggregate(F.sequence(F.lit(0), F.lit(last)), F.lit(-1), lambda best, i: F.when(table[i] < v, i).otherwise(best))
+        line = lambda k: first + k + (v - table[k]) / F.nullif(table[F.least(k + 1, F.lit(last))] - table[k], F.lit(0.0))
+        return let(below, lambda k: F.when(k < 0, float(first)).when(k == last, float(first + last)).otherwise(line(F.greatest(k, F.lit(0)))))
+
+    return let(value, lambda v: F.when(~F.isnan(v), place(v)))
 
 
 def wada_snr(samples: Column) -> Column:
     """Blind SNR estimate of an array of samples: null for an empty array, NaN for silence."""
     eps = 1e-10
-    loud = F.array_max(F.transform(samples, lambda x: F.abs(x).cast("double")))
-    n = F.size(samples)
-    level = F.transform(samples, lambda x: F.greatest(F.abs(x).cast("double") / loud, F.lit(eps)))
-    mean = F.aggregate(level, F.lit(0.0), lambda s, x: s + x) / n
-    mean_log = F.aggregate(level, F.lit(0.0), lambda s, x: s + F.ln(x)) / n
-    return F.when(n > 0, F.when(loud > 0, interpolate(F.ln(F.greatest(mean, F.lit(eps))) - mean_log)).otherwise(float("nan")))
+
+    def estimate(loud: Column) -> Column:
+        level = F.transform(samples, lambda x: F.greatest(F.abs(x).cast("double") / loud, F.lit(eps)))
+        # both means in one pass
+        start = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("l"))
+        sums = F.aggregate(level, start, lambda a, x: F.struct((a["s"] + x).alias("s"), (a["l"] + F.ln(x)).alias("l")))
+        n = F.size(samples)
+        return interpolate(let(sums, lambda t: F.ln(F.greatest(t["s"] / n, F.lit(eps))) - t["l"] / n))
+
+    loudest = F.array_max(F.transform(samples, lambda x: F.abs(x).cast("double")))
+    return F.when(F.size(samples) > 0, let(loudest, lambda loud: F.when(loud > 0, estimate(loud)).otherwise(float("nan"))))
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -99,8 +114,7 @@ def l2_norm(v: Column) -> Column:
 
 def unit_vector(v: Column) -> Column:
     """v over its length; a zero vector stays zero."""
-    size = l2_norm(v)
-    return F.transform(v, lambda x: F.when(size > 0, x.cast("double") / size).otherwise(F.lit(0.0)))
+    return let(l2_norm(v), lambda size: F.transform(v, lambda x: F.when(size > 0, x.cast("double") / size).otherwise(F.lit(0.0))))
 
 
 def cosine(a: Column, b: Column) -> Column:
