@@ -160,4 +160,26 @@ def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_r
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality(documents(spark, sf_dir))
+    return quality(documents(spark, sf_dir)).drop("longest_repeat")
+
+
+def _windows(size: int) -> str:
+    """Places of windows of so many words that a text has twice or more."""
+    return f"""(SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM
+  (SELECT doc_id, i, array_to_string(ws[i : i + {size - 1}], ' ') AS s FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {size - 2})) AS i FROM w))) WHERE n > 1)"""
+
+
+#: A word lies in a repeat of MIN_REPEAT words or more exactly when it lies in a window of MIN_REPEAT words
+#: that the text has twice; a repeat is longer than MOST_LONGEST when a window of one more is there twice.
+ORACLE = f"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+a AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM {_windows(WINDOW)}, range(0, {WINDOW}) r(k) GROUP BY doc_id),
+b AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM {_windows(MIN_REPEAT)}, range(0, {MIN_REPEAT}) r(k) GROUP BY doc_id),
+c AS (SELECT DISTINCT doc_id FROM {_windows(MOST_LONGEST + 1)}),
+l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM w),
+f AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+  (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(a.n, 0)::BIGINT AS n_repeat_words, coalesce(b.n, 0)::BIGINT AS covered_words, c.doc_id IS NULL AS short
+  FROM w JOIN l USING (doc_id) LEFT JOIN a USING (doc_id) LEFT JOIN b USING (doc_id) LEFT JOIN c USING (doc_id)),
+g AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MOST_REPEAT_PERCENT} * n_words AS base_failed FROM f)
+SELECT * EXCLUDE (short), NOT base_failed AND short AND covered_words <= {MOST_COVERED} * n_words AS kept FROM g
+"""

@@ -16,4 +16,4 @@ QUERIES = {
     "op9_sentencepiece": sentencepieces.query,
     "op10_simhash": simhash.query,
 }
-ORACLES = {"op7_exact_dedup": exact_dedup.ORACLE}
+ORACLES = {"op1_quality_rules": quality_rules.ORACLE, "op6_suffix_dedup": suffix_dedup.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE}

@@ -473,3 +473,16 @@ def removals(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removals(documents(spark, sf_dir)).drop("spans", "kept")
+
+
+ORACLE = f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, {2 * LENGTH}) AS s FROM (SELECT doc_id, h, unnest(range(0, greatest(len(h) // 2 - {LENGTH - 1}, 0))) AS i FROM d)),
+m AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS least FROM w),
+g AS (SELECT DISTINCT doc_id, i + k AS i FROM m, range(0, {LENGTH}) r(k) WHERE least < doc_id),
+r AS (SELECT doc_id, count(*) AS n, count_if(last IS NULL OR last < i - 1) AS runs FROM (SELECT *, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS last FROM g) GROUP BY doc_id),
+b AS (SELECT doc_id, i, substr(h, 2 * i + 1, 2) AS x FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2)) AS i FROM d)),
+k AS (SELECT b.doc_id, string_agg(x, '' ORDER BY b.i) AS h FROM b LEFT JOIN g ON b.doc_id = g.doc_id AND b.i = g.i WHERE g.i IS NULL GROUP BY b.doc_id)
+SELECT d.doc_id, (len(d.h) // 2)::BIGINT AS n_bytes, coalesce(r.n, 0)::BIGINT AS n_removed, coalesce(runs, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k.h, ''))) AS kept_sha256
+FROM d LEFT JOIN r USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
