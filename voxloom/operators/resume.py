@@ -75,10 +75,10 @@ def merge_first(shards: list[DataFrame], key: str = "id", order: str | None = No
         rows.append(s.select(*[c for c in s.columns if c in head or c in ("_shard", "_row")]))
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
     empty = F.coalesce(named(key).cast("string"), F.lit("")) == ""
-    # rows without a key get one of their own, so that they aren't one group in one task
-    group = F.when(empty, F.concat(F.lit("\0"), F.col("_shard").cast("string"), F.lit("\0"), F.hash(*map(named, head)).cast("string"), F.uuid())).otherwise(named(key).cast("string"))
-    best = F.row_number().over(Window.partitionBy("_g").orderBy("_shard", "_row"))
-    return both.withColumn("_g", group).withColumn("_n", best).where((F.col("_n") == 1) | empty).select(*map(named, head))
+    first = F.row_number().over(Window.partitionBy(named(key)).orderBy("_shard", "_row"))
+    # rows without a key don't go through the window, where they would be one group in one task
+    kept = both.where(~empty).withColumn("_n", first).where("_n = 1").drop("_n")
+    return kept.unionByName(both.where(empty)).select(*map(named, head))
 
 
 def join_runs(runs: list[DataFrame], key: str = "id") -> DataFrame:
