@@ -33,3 +33,12 @@ def test_empty(spark):
 def test_names():
     assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+def test_queries_match_sql(spark):
+    from compare import connect, differences
+
+    sf = "/root/testdata/sf0.001"
+    con = connect(sf)
+    for name, sql in queries.ORACLES.items():
+        assert differences(queries.QUERIES[name](spark, sf), con, sql) == [], name
