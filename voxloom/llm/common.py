@@ -56,6 +56,20 @@ def stash(df: DataFrame, stem: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept_once(df: DataFrame, keys: list[Column], chosen: DataFrame) -> DataFrame:
+    """The rows of df whose keys, none of them null, are among the rows of chosen (as many columns), one
+    for each. Rows cross the network once: they are made distinct where the join dealt them."""
+    own, other = ([fresh(df, f"{side}{i}") for i in range(len(keys))] for side in ("own", "other"))
+    left, right = df.withColumns(dict(zip(own, keys))), chosen.toDF(*other)
+    on = [F.col(a) == F.col(b) for a, b in zip(own, other)]
+    return left.join(right, on, "left_semi").dropDuplicates(own).drop(*own)
+
+
+def id_keys(x: Column) -> list[Column]:
+    """An id of any type, null or not, as keys that aren't null."""
+    return [F.coalesce(x.cast("string"), F.lit("")), x.isNull()]
+
+
 def chunked(rows: DataFrame, stem: str, chunk_rows: int) -> DataFrame:
     """rows as a table in the shared folder, with rid (a number of each row) and chunk (about chunk_rows
     neighbouring rows have one). It is bucketed by chunk, so grouping and joining by chunk

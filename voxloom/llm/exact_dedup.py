@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import c, fresh, lower_az
+from .common import c, id_keys, kept_once, lower_az
 
 CHUNK_MIN, CHUNK_MAX = 256, 1024
 
@@ -77,10 +77,8 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
     """The rows of df that stay, with df's columns; the rules are exact_groups'."""
     _, groups = _grouped(rows := recipes(df, id_col, text_col, chunk_min, chunk_max))
     shas = rows.select("recipe", "salt", "sha").distinct().withColumn("jk", F.xxhash64("recipe"))
-    keep = groups.join(shas, ["jk", "recipe", "salt"]).select(F.col("keep_id").alias(kid := fresh(df, "keep")), F.col("sha").alias(ksha := fresh(df, "ksha")))
-    own = df.withColumn(sha := fresh(df, "sha"), F.sha2(lower_az(F.coalesce(c(text_col), F.lit(""))), 256))
-    kept = own.join(keep, (F.col(sha) == F.col(ksha)) & c(id_col).eqNullSafe(F.col(kid)), "left_semi")
-    return kept.dropDuplicates([id_col, sha]).drop(sha)
+    keep = groups.join(shas, ["jk", "recipe", "salt"]).select("sha", *id_keys(F.col("keep_id")))
+    return kept_once(df, [F.sha2(lower_az(F.coalesce(c(text_col), F.lit(""))), 256), *id_keys(c(id_col))], keep)
 
 
 def query(spark, sf_dir):

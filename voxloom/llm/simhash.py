@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import c, documents, fresh, lower_az, stash
+from .common import c, documents, id_keys, kept_once, lower_az, stash
 
 #: Generator polynomial of the [23, 12, 7] Golay code.
 GENERATOR, LENGTH, CHECKS = 0b101011100011, 23, 11
@@ -247,10 +247,7 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     text_hash = F.xxhash64(F.coalesce(c(text_col), F.lit("")))
     rows = stash(fingerprints(df, id_col, text_col, text_hash.alias("h")), "simhash")
     first = near_components(rows).groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("null"), "id", "h")).alias("first"))
-    h, kid, kh = (fresh(df, x) for x in ("h", "kid", "kh"))
-    keep = first.select(F.col("first.id").alias(kid), F.col("first.h").alias(kh))
-    kept = df.withColumn(h, text_hash).join(keep, (F.col(h) == F.col(kh)) & c(id_col).eqNullSafe(F.col(kid)), "left_semi")
-    return kept.dropDuplicates([id_col, h]).drop(h)
+    return kept_once(df, [text_hash, *id_keys(c(id_col))], first.select("first.h", *id_keys(F.col("first.id"))))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
