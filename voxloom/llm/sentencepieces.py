@@ -233,11 +233,11 @@ def encode_units(units: DataFrame, model: Model) -> DataFrame:
     return found.withColumn("ids", F.expr(f"aggregate(path, X'', (a, p) -> concat(a, if({none}, {spelt}, {known})))")).drop("path")
 
 
-def _frequent(rows: DataFrame, units: re.Pattern, cached: int) -> list[str]:
+def _frequent(rows: DataFrame, units: re.Pattern, cached: int) -> DataFrame | None:
     """The most frequent short units of a sample of about SAMPLE_CHARS characters."""
     n = rows.agg(F.count(F.lit(1))).first()[0]
-    if not n:
-        return []
+    if not n or not cached:
+        return None
     first = rows.where(unit_hash(F.xxhash64("text"), F.col("rid"), F.lit(9)) < min(1.0, 2000 / n)).agg(F.avg(F.length("text"))).first()[0] or 1.0
     drawn = rows.where(unit_hash(F.xxhash64("text"), F.col("rid"), F.lit(10)) < min(1.0, SAMPLE_CHARS / first / n)).select("text")
 
@@ -249,8 +249,7 @@ def _frequent(rows: DataFrame, units: re.Pattern, cached: int) -> list[str]:
         short = [(u, k) for u, k in counts.items() if len(u) <= SHORT]
         yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in short], pa.string()), pa.array([k for _, k in short], pa.int64())], ["unit", "n"])
 
-    top = drawn.mapInArrow(run, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "unit").limit(cached)
-    return [r["unit"] for r in top.collect()]
+    return drawn.mapInArrow(run, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "unit").limit(cached).select("unit")
 
 
 def encode(df: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", cached: int = CACHED, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
@@ -264,8 +263,11 @@ def encode(df: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str
     pattern, order = model.units, model.order()
     table = chunked(df.select(c(id_col).alias("id"), F.coalesce(c(text_col), F.lit("")).alias("text")), "pieces_rows", chunk_rows)
     first = _frequent(table, pattern, cached)
-    units = spark.createDataFrame(pd.DataFrame({"unit": pd.Series(first, dtype="str")}), "unit string").withColumn("chunks", F.array().cast("array<bigint>"))
-    known = {r["unit"]: r["ids"] for r in encode_units(units.repartition("unit"), model).select("unit", "ids").collect()} if first else {}
+    known: dict[str, bytes] = {}
+    if first is not None:
+        got = encode_units(first.withColumn("chunks", F.array().cast("array<bigint>")).repartition("unit"), model).select("unit", "ids")
+        for batch in got.toArrow().to_batches():  # at most `cached` rows
+            known.update(zip(batch.column("unit").to_pylist(), batch.column("ids").to_pylist()))
     cache = spark.sparkContext.broadcast(known)
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
