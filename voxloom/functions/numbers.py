@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import char_count, is_blank, nonspace_count, strip_text, word_count
+from .text import char_count, is_blank, let, nonspace_count, strip_text, word_count
 
 #: What a clip that failed gets in a column of numbers.
 NAN_VALUE = float("nan")
@@ -28,11 +26,6 @@ WADA_CURVE = (
 )
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body of a value that is computed once, however often body uses it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def parse_number(value: Column) -> Column:
     """A double, or null where there is none; nan and inf parse, trailing type letters don't."""
     return F.when(~F.lower(value.cast("string")).rlike("[df]$") | F.lower(value.cast("string")).rlike("inf$"), value.try_cast("double"))

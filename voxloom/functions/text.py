@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -16,6 +17,11 @@ TRANSFER_MARKS = ".,!?"
 FIRST_WORD_CODE, WORD_CODES = 0xE000, 6400
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip_text(text: Column) -> Column:
     """Without leading and trailing Unicode white space."""
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
@@ -67,8 +73,7 @@ def error_rates(reference: Column, hypothesis: Column) -> tuple[Column, Column]:
 
 def pair_distance(a: Column, b: Column) -> Column:
     """Mean of both character error rates, at most 1; two empty texts agree, one alone is at 1."""
-    edits = F.levenshtein(a, b).cast("double")
-    both = F.least(F.lit(1.0), (edits / F.length(a) + edits / F.length(b)) / 2)
+    both = let(F.levenshtein(a, b).cast("double"), lambda edits: F.least(F.lit(1.0), (edits / F.length(a) + edits / F.length(b)) / 2))
     return F.when((a == "") & (b == ""), 0.0).when((a == "") | (b == ""), 1.0).otherwise(both)
 
 
