@@ -554,3 +554,67 @@ def test_simhash_odd(odd, empty):
     kept = simhash.near_dedup(odd)
     assert kept.columns == odd.columns and kept.count() < len(ODD)
     assert simhash.near_groups(empty).count() == 0 and simhash.near_dedup(empty).count() == 0
+
+
+def shingle_set(t, n=5):
+    ws = words(lower_az(t))
+    return frozenset(tuple(ws[i : i + n]) for i in range(max(1, len(ws) - n + 1)))
+
+
+def similar_components(texts):
+    """As near_dedup has to find them: by all pairs' Jaccard similarity."""
+    sets, ids = {d: shingle_set(t) for d, t in texts.items()}, sorted(texts)
+    label = {d: d for d in ids}
+    pairs = []
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            common = len(sets[a] & sets[b])
+            if common / (len(sets[a]) + len(sets[b]) - common) >= 0.8 - 1e-9:
+                pairs.append((a, b))
+    changed = True
+    while changed:
+        changed = False
+        for a, b in pairs:
+            if label[a] != label[b]:
+                label[a] = label[b] = min(label[a], label[b])
+                changed = True
+    return label, pairs
+
+
+def altered(rng, ws, spots):
+    out = list(ws)
+    for at in spots:
+        out[at] = f"new{rng.integers(1 << 40)}"
+    return " ".join(out)
+
+
+def test_near_dedup_is_jaccard(spark, texts):
+    rng = np.random.default_rng(12)
+    mine = dict(texts)
+    for k in range(60):  # one changed word of 200, and as many as leave about 0.8
+        base = [f"w{rng.integers(3000)}" for _ in range(200)]
+        mine[10_000 + 3 * k] = " ".join(base)
+        mine[10_001 + 3 * k] = altered(rng, base, [100])
+        mine[10_002 + 3 * k] = altered(rng, base, [30, 70, 110, 190])
+    df = spark.createDataFrame(list(mine.items()), "doc_id long, text string")
+    label, pairs = similar_components(mine)
+    kept = {r["doc_id"] for r in simhash.near_dedup(df).collect()}
+    want = set(label.values())
+    assert want <= kept  # no text goes without a similar one
+    assert len(kept - want) <= 0.01 * (len(mine) - len(want)), (len(kept), len(want))
+    assert not any({a, b} <= kept for a, b in pairs if 10_000 <= a and b == a + 1 and a % 3 == 1)  # 10_000 is 1 mod 3
+
+
+def test_near_dedup_many_copies(spark):
+    """A crowd of near copies of several texts that share a passage, and chains within it."""
+    rng = np.random.default_rng(13)
+    shared, mine = [f"s{i}" for i in range(60)], {}
+    for k in range(4):
+        base = shared + [f"b{k}_{i}" for i in range(60)]
+        for i in range(80):
+            mine[k * 100 + i] = altered(rng, base, rng.choice(120, 1))
+            base = mine[k * 100 + i].split() if i % 20 == 0 else base
+    df = spark.createDataFrame(list(mine.items()), "doc_id long, text string")
+    want = set(similar_components(mine)[0].values())
+    kept = {r["doc_id"] for r in simhash.near_dedup(df).collect()}
+    assert kept == want

@@ -16,6 +16,8 @@ fingerprints, so no group grows with the data.
 
 Everything runs on distinct fingerprints, so copies count once. Components are found
 by passing the least label along links and then along labels, a table in the shared folder a round.
+
+near_dedup, the pipeline's stage, is wider: see similar_rows.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import c, documents, id_keys, kept_once, lower_az, stash
+from .token_files import slices
 
 #: Generator polynomial of the [23, 12, 7] Golay code.
 GENERATOR, LENGTH, CHECKS = 0b101011100011, 23, 11
@@ -241,12 +244,212 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return found.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of df that stay, with df's columns: one of each component, that with the
-    smallest id (null last), of several such rows one with the least text hash."""
+def mixed_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
+    """(n, len) independent hashes of uint64 hashes."""
+    x = hashes[None, :] + np.arange(1, n + 1, dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)
+    for shift, odd in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(odd)
+    return x ^ (x >> np.uint64(31))
+
+
+def sketched(text: bytes, shingle: int, sketches: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a normalised text: a hash of its words, the set of its shingles' hashes, and for each
+    sketch the least hash of a shingle and a SimHash of 23 bits."""
+    flat = b" ".join(text.split())
+    words = flat.split()
+    n = max(1, len(words) - shingle + 1)
+    digest = xxhash.xxh64_intdigest
+    of = np.unique(np.fromiter([digest(b" ".join(words[i : i + shingle]), SEED) for i in range(n)], np.uint64, n))
+    least, counts = np.full(sketches, np.iinfo(np.uint64).max), np.zeros((sketches, 24), dtype=np.int64)
+    for at in range(0, len(of), 1 << 14):
+        x = mixed_hashes(of[at : at + (1 << 14)], sketches)
+        least = np.minimum(least, x.min(axis=1))
+        three = np.ascontiguousarray(x).view(np.uint8).reshape(sketches, -1, 8)[:, :, :3]
+        counts += np.unpackbits(three, axis=2, bitorder="little").sum(axis=1, dtype=np.int64)
+    bits = 2 * counts[:, :LENGTH] > len(of)
+    return digest(flat, SEED), of, least, (bits * (1 << np.arange(LENGTH))).sum(axis=1).astype(np.uint32)
+
+
+def sketch_keys(least: np.ndarray, words: np.ndarray, errors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of (n, sketches) least hashes and SimHashes, and the index of the row of each: a
+    sketch's least hash with a codeword near its SimHash."""
+    near = golay_indices(words.ravel().astype(np.int64), errors)
+    owner, slot = np.nonzero(near >= 0)
+    sketch = (owner % words.shape[1]).astype(np.uint64)
+    key = (least.ravel()[owner] + sketch) * np.uint64(0x9E3779B97F4A7C15) ^ near[owner, slot].astype(np.uint64)
+    return key.view(np.int64), owner // words.shape[1]
+
+
+def _sketches(df: DataFrame, id_col: str, text_col: str, text_hash: Column, shingle: int, sketches: int) -> DataFrame:
+    """id, h, d (the hash of the words), least, simhash and shingles of each row."""
+    names = ["d", "least", "simhash", "shingles"]
+    rows = df.select(c(id_col).alias("id"), text_hash.alias("h"), lower_az(F.coalesce(c(text_col), F.lit(""))).alias("norm"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "norm"):
+                found = [sketched(t.as_buffer().to_pybytes(), shingle, sketches) for t in piece.column("norm").cast(pa.large_string())]
+                d = pa.array(np.array([f[0] for f in found], np.uint64).view(np.int64))
+                blobs = [pa.array([f[k].tobytes() for f in found], pa.binary()) for k in (2, 3, 1)]
+                yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("h"), d, *blobs], ["id", "h", *names])
+
+    return rows.mapInArrow(run, T.StructType([rows.schema["id"], rows.schema["h"], *(T.StructField(x, T.LongType() if x == "d" else T.BinaryType()) for x in names)]))
+
+
+def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches sorted by key, cut anew so that no key's rows are in two."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column("key").to_numpy(zero_copy_only=False)
+        last = int(np.searchsorted(key, key[-1], "left"))
+        if held and last == 0 and held[-1].column("key")[-1].as_py() == key[-1]:
+            held.append(batch)
+            continue
+        first = int(np.searchsorted(key, held[-1].column("key")[-1].as_py(), "right")) if held else 0
+        if held:
+            yield pa.Table.from_batches([*held, batch.slice(0, first)]).combine_chunks().to_batches()[0]
+        if last > first:
+            yield batch.slice(first, last - first)
+        held = [batch.slice(last)]
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _groups(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
+    """First and last place of each key with several rows."""
+    key = batch.column("key").to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
+    yield from ((a, b) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()) if b > a + 1)
+
+
+def _words(batch: pa.RecordBatch) -> np.ndarray:
+    return np.stack([np.frombuffer(x.as_buffer(), np.uint32) for x in batch.column("simhash")])
+
+
+def _meets(keyed: DataFrame) -> DataFrame:
+    """The rows of keys that several have."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _by_key(batches):
+            key = batch.column("key").to_numpy(zero_copy_only=False)
+            same = key[1:] == key[:-1]
+            yield batch.filter(pa.array(np.r_[False, same] | np.r_[same, False]))
+
+    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(run, keyed.schema)
+
+
+def _shared(rows: DataFrame, met: DataFrame) -> DataFrame:
+    """m, simhash, n (the shingles of a text) and common (those that another text of met has)."""
+    marks = stash(rows.join(met.select(F.col("d").alias("m")).distinct(), F.col("d") == F.col("m"), "left_semi").select(F.col("d").alias("m"), "simhash", "shingles").dropDuplicates(["m"]), "marks")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for m, blob in zip(batch.column("m").to_pylist(), batch.column("shingles")):
+                s = np.frombuffer(blob.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), m)), pa.array(s)], ["m", "s"])
+
+    each = marks.select("m", "shingles").mapInArrow(run, "m long, s long")
+    alone = each.groupBy("s").agg(F.min("m").alias("o"), F.count(F.lit(1)).alias("k")).where("k = 1").groupBy("o").agg(F.count(F.lit(1)).alias("own"))
+    n = F.octet_length("shingles").cast("long") / 8
+    return marks.join(alone, marks["m"] == alone["o"], "left").select("m", "simhash", n.cast("long").alias("n"), (n - F.coalesce("own", F.lit(0))).cast("long").alias("common"))
+
+
+def _candidates(meets: DataFrame, bits: int, similarity: float, apart: bool) -> DataFrame:
+    """a, b under one key whose SimHashes differ in at most so many bits, and which can be similar:
+    they have no more in common than either has with any text. First each row comes with one
+    other, a leader; then (apart) those pairs whose labels still differ."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _by_key(batches):
+            d, words = batch.column("d").to_numpy(zero_copy_only=False), _words(batch)
+            label = batch.column("label").to_numpy(zero_copy_only=False) if apart else None
+            n, common = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("n", "common"))
+
+            def far(i: int, those: np.ndarray) -> np.ndarray:
+                most = np.minimum(common[i], common[those])
+                return (np.bitwise_count(words[i] ^ words[those]).sum(axis=1, dtype=np.int64) > bits) | (most < similarity * (n[i] + n[those] - most) - 1e-9)
+
+            for first, last in _groups(batch):
+                left, out = np.arange(first, last), []
+                if apart and (label[left] == label[first]).all():
+                    continue
+                while len(left) > 1:
+                    i, left = left[0], left[1:]
+                    those = left[label[left] != label[i]] if apart else left
+                    away = far(i, those)
+                    near = those[~away]
+                    out.append((np.full(len(near), d[i]), d[near]))
+                    if not apart:
+                        left = left[away]
+                a, b = (np.concatenate(x) for x in zip(*out))
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    return meets.repartition("key").sortWithinPartitions("key", "d").mapInArrow(run, "a long, b long").distinct()
+
+
+def _similar(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose sets of shingles are so similar, by Jaccard."""
+    need = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
+    sets = rows.join(need, rows["d"] == need["v"], "left_semi").select("d", "shingles").dropDuplicates(["d"])
+    x, y = (sets.select(F.col("d").alias(f"d_{k}"), F.col("shingles").alias(f"s_{k}")) for k in "ab")
+    both = pairs.join(x, pairs["a"] == x["d_a"]).join(y, pairs["b"] == y["d_b"]).select("a", "b", "s_a", "s_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for s, t in zip(batch.column("s_a"), batch.column("s_b")):
+                s, t = (np.frombuffer(z.as_buffer(), np.uint64) for z in (s, t))
+                common = len(np.intersect1d(s, t, assume_unique=True))
+                keep.append(common >= similarity * (len(s) + len(t) - common) - 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(run, "a long, b long")
+
+
+def similar_rows(df: DataFrame, id_col: str, text_col: str, text_hash: Column, shingle: int = 5, similarity: float = 0.8, sketches: int = 10) -> DataFrame:
+    """id, h, d and label of each row; rows reachable over links have one label.
+
+    Texts link if their words are equal or the Jaccard similarity of their sets of word shingles
+    is at least similarity. Candidates share a sketch's least hash and a Golay codeword near its
+    SimHash; each is verified by its sets. A key's rows are first compared with leaders; where
+    that leaves several components under a key, the pairs between these are compared too."""
+    rows = stash(_sketches(df, id_col, text_col, text_hash, shingle, sketches), "sketches")
+    distinct = rows.groupBy("d").agg(F.first("least").alias("least"), F.first("simhash").alias("simhash"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        errors = nearby_errors()
+        for batch in batches:
+            if batch.num_rows:
+                least = np.stack([np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("least")])
+                keys, owners = sketch_keys(least, _words(batch), errors)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column("d").take(pa.array(owners))], ["key", "d"])
+
+    met = stash(_meets(distinct.mapInArrow(run, "key long, d long")), "met")
+    marks = _shared(rows, met)
+    meets = stash(met.join(marks, met["d"] == marks["m"]).select("key", "d", "simhash", "n", "common"), "meets")
+    flips = np.arccos(min(1.0, 2 * similarity / (1 + similarity))) / np.pi
+    n = LENGTH * sketches
+    bits = int(n * flips + 8 * (n * flips * (1 - flips)) ** 0.5)
+    tried = stash(_candidates(meets, bits, similarity, False), "led")
+    links = stash(_similar(tried, rows, similarity), "links_led")
+    found = components(links)
+    with_label = meets.join(found, meets["d"] == found["v"], "left").select("key", "d", "simhash", "n", "common", F.coalesce("label", "d").alias("label"))
+    apart = stash(_candidates(with_label, bits, similarity, True).join(tried, ["a", "b"], "left_anti"), "apart")
+    more = stash(_similar(apart, rows, similarity), "links_apart")
+    if more.limit(1).count():
+        found = components(links.union(more))
+    return rows.select("id", "h", "d").join(found, F.col("d") == F.col("v"), "left").select("id", "h", "d", F.coalesce("label", "d").alias("label"))
+
+
+def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of df that stay, with df's columns: one of each component of similar_rows (its options are
+    shingle, similarity and sketches), that with the smallest id (null last), of several such
+    rows one with the least text hash."""
     text_hash = F.xxhash64(F.coalesce(c(text_col), F.lit("")))
-    rows = stash(fingerprints(df, id_col, text_col, text_hash.alias("h")), "simhash")
-    first = near_components(rows).groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("null"), "id", "h")).alias("first"))
+    rows = similar_rows(df, id_col, text_col, text_hash, **options)
+    first = rows.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("null"), "id", "h")).alias("first"))
     return kept_once(df, [text_hash, *id_keys(c(id_col))], first.select("first.h", *id_keys(F.col("first.id"))))
 
 
