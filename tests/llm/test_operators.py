@@ -226,6 +226,16 @@ def test_lm_training_helps():
     assert net.scores([doc])[0] > before / 2
 
 
+def test_lm_trains_on_every_place(docs):
+    tokens = lm_scoring.tokenized(docs.coalesce(1), "doc_id", "text")
+    net = lm_scoring.fit(tokens, warm_up=0)
+    held = [np.frombuffer(r["tokens"], "<u2") for r in tokens.collect()]
+    want = lm_scoring.Network.new(lm_scoring.bucket_counts(tokens))
+    flat, places = lm_scoring.padded([d for d in held if len(d)])
+    want.train(flat, places, np.random.default_rng([0, 0]))
+    assert np.allclose(net.weights(), want.weights(), atol=5e-3)
+
+
 def test_lm_odd(odd, empty):
     got = lm_scoring.lm_scores(odd).collect()
     assert len(got) == len(ODD)

@@ -7,7 +7,7 @@ document's score is the sum of the conditional log-probabilities of all its toke
 
 Counts are those of all documents. The network is trained in numpy: first on the driver,
 on a sample of about WARM_UP tokens, then on the executors, where every BLOCK tokens train a
-copy of it on every THIN-th of their places, and the copies, weighted by their places, are
+copy of it on all their places, and the copies, weighted by their places, are
 averaged. So the copies grow in number with the corpus. They are cut into PARTS and averaged
 by part; the driver only gets the average, about 4 MB.
 """
@@ -29,7 +29,7 @@ from .common import c, documents, stash, unit_hash
 from .token_files import slices
 
 VOCAB, CLASSES, REACH, EMBED, HIDDEN = 1 << 15, 64, 2, 16, 32
-WARM_UP, BLOCK, THIN, PARTS, BATCH, RATE = 300_000, 1 << 21, 16, 32, 512, 0.1
+WARM_UP, BLOCK, PARTS, BATCH, RATE = 300_000, 1 << 21, 32, 512, 0.1
 PAD = VOCAB
 OFFSETS = [o for o in range(2 * REACH + 1) if o != REACH]
 
@@ -201,7 +201,7 @@ def bucket_counts(tokens: DataFrame) -> np.ndarray:
     return total if len(total) else np.zeros(VOCAB)
 
 
-def fit(tokens: DataFrame, warm_up: int = WARM_UP, block: int = BLOCK, thin: int = THIN) -> Network:
+def fit(tokens: DataFrame, warm_up: int = WARM_UP, block: int = BLOCK) -> Network:
     counts = bucket_counts(tokens)
     net = Network.new(counts)
     total = counts.sum()
@@ -219,7 +219,6 @@ def fit(tokens: DataFrame, warm_up: int = WARM_UP, block: int = BLOCK, thin: int
             copy = first.load(first.weights())
             rng = np.random.default_rng([part, n])
             flat, places = padded(docs)
-            places = places[n % thin :: thin] if len(places) > thin else places
             copy.train(flat, places, rng)
             return _cut((part << 24) + n, float(len(places)), copy.weights().astype("<f2"))
 
