@@ -161,3 +161,10 @@ def test_prepared_refuses():
     assert signal.prepared(loud).max() <= 1.0
     with pytest.raises(Exception):
         signal.prepared(b"")
+
+
+def test_word_errors_of_many_words(spark):
+    ref, hyp = " ".join(f"a{i}" for i in range(4000)), " ".join(f"b{i}" if i % 2 else f"a{i}" for i in range(5000))
+    df = spark.createDataFrame([(1, ref, hyp), (2, "x y z", "x z"), (3, "x y", None)], "id int, r string, h string")
+    got = {r["id"]: r["wer"] for r in df.select("id", text.error_rates(F.col("r"), F.col("h"))[0].alias("wer")).collect()}
+    assert got == pytest.approx({1: 3000 / 4000, 2: 1 / 3, 3: 1.0})

@@ -5,9 +5,11 @@ from __future__ import annotations
 import difflib
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The punctuation that normalization blanks, and the marks that count as punctuation.
 PUNCTUATION = r"[!-/:-@\[-`{-~«»—…“”„]"
@@ -51,17 +53,37 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, " "), lambda w: w != "")
 
 
+def word_edits(reference: list[str], hypothesis: list[str]) -> int:
+    """Edit distance by words, a row of the table at a time."""
+    ids: dict[str, int] = {}
+    a, b = (np.array([ids.setdefault(w, len(ids)) for w in ws], dtype=np.int64) for ws in (reference, hypothesis))
+    steps = np.arange(len(b) + 1)
+    row = steps
+    for w in a:
+        new = np.r_[row[0] + 1, np.minimum(row[1:] + 1, row[:-1] + (b != w))]
+        row = np.minimum.accumulate(new - steps) + steps
+    return int(row[-1])
+
+
+@F.pandas_udf(T.LongType())
+def word_edits_udf(reference: pd.Series, hypothesis: pd.Series) -> pd.Series:
+    """word_edits of arrays of words; null where one is null."""
+    return pd.Series([None if a is None or b is None else word_edits(list(a), list(b)) for a, b in zip(reference, hypothesis)], dtype="Int64")
+
+
 def word_error_rate(reference: Column, hypothesis: Column) -> Column:
     """Edit distance by words over the reference's words; null for an empty reference.
 
-    Each distinct word of the pair becomes one character, so levenshtein counts words. A pair
-    with more than 6,400 distinct words fails: see word_error_rate_udf."""
+    Each distinct word of the pair becomes one character, so levenshtein counts words. Pairs
+    with more than 6,400 distinct words, and no others, go through word_edits_udf."""
     vocab = F.array_distinct(F.concat(words_of(reference), words_of(hypothesis)))
     # A character's low surrogate-free code in UTF-16, two bytes: hex digits of the code
     code = lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(vocab, w) + F.lit(FIRST_WORD_CODE - 1)), 4, "0")), "UTF-16BE")
     spelt = lambda t: F.array_join(F.transform(words_of(t), code), "")
-    fits = F.assert_true(F.size(vocab) <= WORD_CODES, F.lit("a pair has too many distinct words")).isNull()
-    return F.when(fits, F.levenshtein(spelt(reference), spelt(hypothesis)) / F.nullif(F.size(words_of(reference)), F.lit(0)))
+    many = F.coalesce(F.size(vocab) > WORD_CODES, F.lit(False))
+    by_words = word_edits_udf(*(F.when(many, words_of(t)) for t in (reference, hypothesis)))
+    edits = F.when(many, by_words).otherwise(F.levenshtein(spelt(reference), spelt(hypothesis)))
+    return edits / F.nullif(F.size(words_of(reference)), F.lit(0))
 
 
 def error_rates(reference: Column, hypothesis: Column) -> tuple[Column, Column]:
