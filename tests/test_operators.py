@@ -462,3 +462,64 @@ def test_stream(spark, tmp_path):
     assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == ["a", "b"]
     counts = streams.windowed_counts(streams.stream_clips(spark, src, schema))
     assert counts.isStreaming and counts.columns == ["window", "clips", "hours"]
+
+
+# what files and rows really hold
+
+
+def test_each_file_has_its_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id|audio_file|text|dataset\n1|a.wav|one|d1\n")
+    (tmp_path / "b [x] 1.csv").write_text("audio_file|id|dataset|text|more\nb.wav|2|d2|two|m\n")
+    got = {r["id"]: r for r in clips.read_csv(spark, str(tmp_path)).collect()}
+    assert (got["1"]["audio_file"], got["1"]["text"], got["1"]["dataset"], got["1"]["more"]) == ("a.wav", "one", "d1", None)
+    assert (got["2"]["audio_file"], got["2"]["text"], got["2"]["dataset"], got["2"]["more"]) == ("b.wav", "two", "d2", "m")
+    with pytest.raises(Exception, match="header"):
+        clips.read_csv(spark, str(tmp_path), one_header=True).collect()
+
+
+def test_limit_takes_the_first(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id|audio_file\n" + "".join(f"{i}|{'' if i == 1 else f'{i}.wav'}\n" for i in range(50)))
+    assert [r["id"] for r in clips.read_csv(spark, str(tmp_path), limit=3).orderBy("id").collect()] == ["0", "2", "3"]
+
+
+def test_metadata_cells(spark):
+    cells = ['{"k": "v"}', "{'title': \"it's\", 'n': 3, 'none': None, 'yes': True}", "neither", None, ""]
+    df = spark.createDataFrame([(str(i), "a.wav", c) for i, c in enumerate(cells)], "id string, audio_file string, metadata string")
+    got = {r["id"]: r.asDict() for r in clips.adapt(df).collect()}
+    assert got["0"]["k"] == "v" and (got["1"]["title"], got["1"]["n"], got["1"]["none"], got["1"]["yes"]) == ("it's", "3", None, "True")
+    assert got["2"]["metadata"] == "neither" and got["3"]["metadata"] is None and got["0"]["metadata"] is None
+
+
+def test_nan_passes_a_scorer(spark):
+    df = spark.createDataFrame([("a", float("nan"), [1.0, None], b"\x00"), ("b", None, None, None)], "id string, prev double, list array<double>, content binary")
+    first = scoring.FunctionScorer(lambda c: float("nan"), {"one": "double"}, inputs=("id",))
+    second = scoring.FunctionScorer(lambda c: 1.0 if c["id"] == "a" else "x", {"two": "double"}, inputs=("id",))
+    rows = {r["id"]: r for r in scoring.run_scorer(scoring.run_scorer(df, first), second, "error").collect()}
+    assert math.isnan(rows["a"]["prev"]) and rows["b"]["prev"] is None and math.isnan(rows["a"]["one"]) and math.isnan(rows["b"]["one"])
+    assert rows["a"]["two"] == 1.0 and math.isnan(rows["b"]["two"]) and rows["b"]["error"] == "invalid_result"
+    assert rows["a"]["list"] == [1.0, None] and bytes(rows["a"]["content"]) == b"\x00"
+
+
+def test_clusters_of_more_rows_than_are_fitted(spark):
+    """All rows in rounds, as average linkage labels them at once; a speaker whom the first round lacks
+    isn't merged into another."""
+    rng = np.random.default_rng(2)
+    centers = np.linalg.qr(rng.standard_normal((24, 24)))[0][:12]
+    of = np.r_[rng.integers(0, 11, 1180), np.full(3, 11)]
+    vectors = centers[of] + rng.standard_normal((len(of), 24)) * 0.02
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id long, v array<double>")
+    got = {r["id"]: r["label"] for r in speakers.cluster_speakers(df, "id", "v", 0.5, most=100).collect()}
+    want = speakers.average_linkage(vectors, 0.5)
+    assert len(got) == len(of) and len({(got[i], int(want[i])) for i in range(len(of))}) == len(set(got.values())) == len(set(want.tolist())) == 12
+    with pytest.raises(ValueError, match="centroids"):
+        speakers.assign_speakers(df.withColumn("label", F.col("id")), "id", "v", "label", most_centers=100)
+
+
+def test_length_batches_across_tasks(spark):
+    df = spark.createDataFrame([(i, "ab"[i % 2], float((i * 37) % 50)) for i in range(200)], "id long, lane string, s double")
+    for parts in (1, 7):
+        got = {r["id"]: r["batch"] for r in scoring.batches_of(df.repartition(parts), "id", "s", 60.0, 8, by="lane").collect()}
+        for lane in (0, 1):
+            ids = sorted((i for i in range(200) if i % 2 == lane), key=lambda i: ((i * 37) % 50, i))
+            groups = scoring.length_batches([float((i * 37) % 50) for i in ids], 60.0, 8)
+            assert [got[i] for i in ids] == [n for n, g in enumerate(groups) for _ in g]

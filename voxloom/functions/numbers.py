@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import char_count, is_blank, let, nonspace_count, strip_text, word_count
+from .text import let, nonspace_count, strip_text, word_count
 
 #: What a clip that failed gets in a column of numbers.
 NAN_VALUE = float("nan")
@@ -40,26 +40,24 @@ def is_number(value: Column) -> Column:
     return value.isNotNull() & ~F.isnan(value)
 
 
-def speaking_rates(text: Column, duration: Column) -> tuple[Column, Column, Column]:
-    """speaking_rate, phonemes_per_word and char_rate, characters standing in for phonemes."""
-    clean = strip_text(F.coalesce(text, F.lit("")))
+def speaking_rates(text: Column, duration: Column) -> Column:
+    """A struct of speaking_rate, phonemes_per_word and char_rate, characters standing in for phonemes. The
+    stripped text and its counts are computed once a row."""
     timed = F.coalesce(duration > 0, F.lit(False))
-    some = ~is_blank(text) & timed
-    units = nonspace_count(clean)
-    char_rate = F.when(timed, char_count(clean) / duration).otherwise(0.0)
-    return (
-        F.when(some, units / duration).otherwise(0.0),
-        F.when(some & (word_count(clean) > 0), F.try_divide(units, word_count(clean))).otherwise(0.0),
-        char_rate,
-    )
 
+    def rates(clean: Column) -> Column:
+        counts = F.struct(nonspace_count(clean).alias("units"), word_count(clean).alias("words"), F.length(clean).alias("chars"))
+        return let(counts, lambda n: F.struct(
+            F.when(timed & (n["chars"] > 0), n["units"] / duration).otherwise(0.0).alias("speaking_rate"),
+            F.when(timed & (n["words"] > 0), F.try_divide(n["units"], n["words"])).otherwise(0.0).alias("phonemes_per_word"),
+            F.when(timed, n["chars"] / duration).otherwise(0.0).alias("char_rate"),
+        ))
 
-def expressiveness(pitch_mean: Column, pitch_std: Column) -> Column:
-    return F.when(pitch_mean > 0, pitch_std / pitch_mean).otherwise(0.0)
+    return let(strip_text(F.coalesce(text, F.lit(""))), rates)
 
 
-def power_db(power: Column) -> Column:
-    return 10 * F.log10(power + 1e-12)
+def expressiveness(pitch_mean: Column, pitch_std: Column) -> Column:
+    return F.when(pitch_mean > 0, pitch_std / pitch_mean).otherwise(0.0)
 
 
 def level_db(rms: Column) -> Column:

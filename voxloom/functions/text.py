@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,13 +86,24 @@ def word_error_rate(reference: Column, hypothesis: Column) -> Column:
     return edits / F.nullif(F.size(words_of(reference)), F.lit(0))
 
 
-def error_rates(reference: Column, hypothesis: Column) -> tuple[Column, Column]:
-    """(wer, cer) of normalized texts; -1 for both where the reference has no text."""
-    ref, hyp = normalize_text(reference), normalize_text(F.coalesce(hypothesis, F.lit("")))
+def normalized_rates(ref: Column, hyp: Column) -> tuple[Column, Column]:
+    """(wer, cer) of texts that are normalized; -1 for both where the reference has no text."""
     none = F.coalesce(ref, F.lit("")) == ""
     return tuple(F.when(none, -1.0).otherwise(rate(ref, hyp)) for rate in (word_error_rate, char_error_rate))
 
 
+def error_rates(reference: Column, hypothesis: Column) -> tuple[Column, Column]:
+    """The same of texts as they are. Each use normalizes them anew: see with_error_rates()."""
+    return normalized_rates(normalize_text(reference), normalize_text(F.coalesce(hypothesis, F.lit(""))))
+
+
+def with_error_rates(df: DataFrame, reference: Column, hypothesis: Column, wer: str | None, cer: str | None) -> DataFrame:
+    """df with the rates that are named. Each text is normalized once, in a projection of its own."""
+    df = df.withColumns({"_ref": normalize_text(reference), "_hyp": normalize_text(F.coalesce(hypothesis, F.lit("")))})
+    found = normalized_rates(F.col("_ref"), F.col("_hyp"))
+    return df.withColumns({k: v for k, v in zip((wer, cer), found) if k}).drop("_ref", "_hyp")
+
+
 def pair_distance(a: Column, b: Column) -> Column:
     """Mean of both character error rates, at most 1; two empty texts agree, one alone is at 1."""
     both = let(F.levenshtein(a, b).cast("double"), lambda edits: F.least(F.lit(1.0), (edits / F.length(a) + edits / F.length(b)) / 2))

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions import signal
 from ..functions.arrays import label_and_score, window_means
 from ..functions.numbers import NAN_VALUE, speaking_rates
-from ..functions.text import error_rates
+from ..functions.text import with_error_rates
 from ..schema import named
 from .scoring import Scorer, run_scorer
 
@@ -78,14 +78,14 @@ def signal_metrics(clips: DataFrame, wanted: list[str], content: str = "content"
 
 def speaking_rate(clips: DataFrame, text: str = "text", duration: str = "duration") -> DataFrame:
     """speaking_rate, phonemes_per_word and char_rate, a character counting as a phoneme."""
-    rate, per_word, chars = speaking_rates(named(text), named(duration))
-    return clips.withColumns({"speaking_rate": rate, "phonemes_per_word": per_word, "char_rate": chars})
+    rates = ("speaking_rate", "phonemes_per_word", "char_rate")
+    found = clips.withColumn("_rates", speaking_rates(named(text), named(duration)))
+    return found.withColumns({k: F.col("_rates")[k] for k in rates}).drop("_rates")
 
 
 def word_errors(clips: DataFrame, transcript: str, text: str = "text", prefix: str = "whisper") -> DataFrame:
     """<prefix>_wer and <prefix>_cer of a transcript against the text; -1 for both without a text."""
-    wer, cer = error_rates(named(text), named(transcript))
-    return clips.withColumns({f"{prefix}_wer": wer, f"{prefix}_cer": cer})
+    return with_error_rates(clips, named(text), named(transcript), f"{prefix}_wer", f"{prefix}_cer")
 
 
 def labelled(clips: DataFrame, logits: str, labels: list[str], output: str, columns: list[str] | tuple[str, ...] | str, target: str | None = None) -> DataFrame:

@@ -13,10 +13,11 @@ import importlib.util
 from collections.abc import Callable, Iterator
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.text import is_blank
 
@@ -28,7 +29,7 @@ MEMORY_SIGNS = ("out of memory", "cublas_status_alloc_failed", "cudnn_status_all
 class Scorer:
     """Subclass it: name the inputs and outputs, load the model, and score."""
 
-    inputs: tuple[str, ...] = ("audio_file",)
+    inputs: tuple[str, ...] | None = ("audio_file",)  # None: all columns
     outputs: dict[str, str] = {}  # column: Spark type
     requires: tuple[str, ...] = ()
     batch_size: int = 16
@@ -109,15 +110,18 @@ def length_batches(durations: list[float], most_seconds: float, most: int) -> li
 
 
 class _Guard:
-    def __init__(self, scorer: Scorer):
-        self.scorer, self.streak = scorer, 0
+    def __init__(self, scorer: Scorer, types: list[pa.DataType]):
+        self.scorer, self.types, self.streak = scorer, types, 0
 
     def values(self, got: Any) -> tuple:
         names = self.scorer.outputs
         got = got if isinstance(got, tuple | list) and len(names) > 1 else (got,)
         if len(got) != len(names):
             raise ValueError(f"{len(got)} values for {len(names)} columns")
-        return tuple(got)
+        return self.typed(got)  # a value that doesn't fit its column fails its clip, not the job
+
+    def typed(self, values: tuple | list) -> tuple:
+        return tuple(pa.scalar(v, t) for v, t in zip(values, self.types))
 
     def one(self, model: Any, clip: dict) -> tuple[tuple, str | None]:
         s = self.scorer
@@ -138,7 +142,7 @@ class _Guard:
                 return self.values(again(model, clip)), None
             except Exception as e:  # noqa: BLE001
                 error = e
-        return self.scorer.failed(), error_code(error)
+        return self.typed(self.scorer.failed()), error_code(error)
 
     def many(self, model: Any, clips: list[dict]) -> list[tuple[tuple, str | None]]:
         if len(clips) == 1:
@@ -155,35 +159,38 @@ class _Guard:
             return self.many(model, clips[:half]) + self.many(model, clips[half:])
 
 
+#: Columns that every scorer gets where the table has them.
+ALWAYS = ("id", "duration", "sample_rate", "text")
+
+
 def run_scorer(df: DataFrame, scorer: Scorer, error: str | None = None) -> DataFrame:
     """df with the scorer's columns, and with `error` a column of error codes. Packages are checked
-    here, before the plan is built."""
+    here, before the plan is built. Only the scorer's inputs become Python values; the other columns
+    pass through as they are, NaN and all."""
     if gone := missing_packages(scorer):
         raise ImportError(f"{type(scorer).__name__} needs packages that aren't installed: pip install {' '.join(gone)}")
     names = list(scorer.outputs)
-    if clash := [x for x in names if x in df.columns and x not in scorer.inputs]:
-        df = df.drop(*clash)
-    own = df.columns
-    schema = T.StructType([*df.schema, *(T.StructField(k, T._parse_datatype_string(v)) for k, v in scorer.outputs.items()), *([T.StructField(error, T.StringType())] if error else [])])
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, guard = cached_model(scorer), _Guard(scorer)
-        for f in frames:
-            clips = f.to_dict("records")
+    inputs = [x for x in df.columns if scorer.inputs is None or x in scorer.inputs or x in ALWAYS]
+    own = [x for x in df.columns if x not in names and x != error]
+    added = T.StructType([*(T.StructField(k, T._parse_datatype_string(v)) for k, v in scorer.outputs.items()), *([T.StructField(error, T.StringType())] if error else [])])
+    schema = T.StructType([*(df.schema[x] for x in own), *added])
+    types = list(to_arrow_schema(added).types)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, guard = cached_model(scorer), _Guard(scorer, types[: len(names)])
+        for batch in batches:
+            clips = batch.select(inputs).to_pylist()
             seconds = [float(x.get("duration") or 0.0) for x in clips]
             got: list[tuple[tuple, str | None]] = [((), None)] * len(clips)
             for group in length_batches(seconds, scorer.batch_seconds, scorer.batch_size):
                 for i, r in zip(group, guard.many(model, [clips[k] for k in group])):
                     got[i] = r
-            for j, name in enumerate(names):
-                f[name] = pd.Series([r[0][j] for r in got], index=f.index, dtype=object)
+            new = [pa.array([r[0][j].as_py() for r in got], types[j]) for j in range(len(names))]
             if error:
-                f[error] = [r[1] for r in got]
-            yield f[[*own, *names, *([error] if error else [])]]
+                new.append(pa.array([r[1] for r in got], types[-1]))
+            yield pa.RecordBatch.from_arrays([*map(batch.column, own), *new], schema.fieldNames())
 
-    # pandas gives NaN back as null; where NaN marks a failure it is put back
-    nan = [k for k, v in zip(names, scorer.failed()) if isinstance(v, float) and v != v]
-    return df.mapInPandas(run, schema).withColumns({k: F.coalesce(F.col(k), F.lit(NAN)) for k in nan})
+    return df.mapInArrow(run, schema)
 
 
 def failure_share(df: DataFrame, failed: Column, most: float) -> DataFrame:
@@ -195,7 +202,9 @@ def failure_share(df: DataFrame, failed: Column, most: float) -> DataFrame:
 
 
 class FunctionScorer(Scorer):
-    """A scorer from a plain function of a clip."""
+    """A scorer from a plain function of a clip, which gets all columns unless `inputs` names some."""
+
+    inputs = None
 
     def __init__(self, function: Callable[[dict], Any], outputs: dict[str, str], **options):
         self.function, self.outputs = function, outputs
@@ -236,17 +245,25 @@ def resumable(status: Column) -> Column:
     return status != "error"
 
 
-def batches_of(df: DataFrame, key: str, duration: str, most_seconds: float, most: int) -> DataFrame:
-    """key and batch: the number of the group, within its partition, that length_batches makes."""
-    kind = df.schema[key].dataType.simpleString()
-    rows = df.select(F.col(key), F.col(duration).cast("double").alias("_s"), F.spark_partition_id().alias("_p"))
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first = 0
-        for f in frames:
-            groups = length_batches(f["_s"].fillna(0.0).tolist(), most_seconds, most)
-            of = {i: first + n for n, g in enumerate(groups) for i in g}
-            first += len(groups)
-            yield pd.DataFrame({key: f[key], "partition": f["_p"], "batch": [of[i] for i in range(len(f))]})
-
-    return rows.mapInPandas(run, f"`{key}` {kind}, partition int, batch int")
+def batches_of(df: DataFrame, key: str, duration: str, most_seconds: float, most: int, by: str) -> DataFrame:
+    """key, by and batch: the number of the group that length_batches would make of the rows with one value
+    of `by`, ties by the key. Rows come sorted by length, so a task holds no more than a batch of them, and
+    neither partitions nor batches of transport change what comes out. Lengths that are null count as 0."""
+    rows = df.select(df[key].alias(key), df[by].alias(by), F.greatest(F.coalesce(F.nanvl(F.col(duration).cast("double"), F.lit(0.0)), F.lit(0.0)), F.lit(0.0)).alias("_s"))
+    schema = T.StructType([rows.schema[key], rows.schema[by], T.StructField("batch", T.IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, nth, size = None, 0, 0
+        for batch in batches:
+            of = []
+            for g, s in zip(batch.column(by).to_pylist(), batch.column("_s").to_pylist()):
+                if (g,) != group:
+                    group, nth, size = (g,), 0, 1
+                elif size < most and (size + 1) * s <= most_seconds:
+                    size += 1
+                else:
+                    nth, size = nth + 1, 1
+                of.append(nth)
+            yield pa.RecordBatch.from_arrays([batch.column(key), batch.column(by), pa.array(of, pa.int32())], schema.fieldNames())
+
+    return rows.repartition(by).sortWithinPartitions(by, "_s", key).mapInArrow(run, schema)

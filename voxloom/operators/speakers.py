@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -20,23 +22,29 @@ def centroids(df: DataFrame, label: str, embedding: str) -> DataFrame:
     return vectors.select("label", unit_vector(F.col("mean")).alias("centroid"))
 
 
+def checked(centers: DataFrame, most_centers: int) -> DataFrame:
+    """centers, which are to be broadcast, refused where there are more than most_centers."""
+    if centers.limit(most_centers + 1).count() > most_centers:
+        raise ValueError(f"more than {most_centers} centroids")
+    return centers
+
+
 def similarities(df: DataFrame, key: str, embedding: str, centers: DataFrame, most_centers: int = 10_000) -> DataFrame:
     """key, label and similarity of each row to each centroid. The centroids, a row a label, are
     broadcast; more than most_centers of them are refused, as every pair is asked for."""
-    n = centers.limit(most_centers + 1).count()
-    if n > most_centers:
-        raise ValueError(f"more than {most_centers} centroids")
+    centers = checked(centers, most_centers)
     rows = df.select(named(key).alias(key), unit_vector(named(embedding)).alias("_unit"))
     return rows.crossJoin(F.broadcast(centers)).select(named(key), "label", dot(F.col("_unit"), F.col("centroid")).alias("similarity"))
 
 
-def assign_speakers(df: DataFrame, key: str, embedding: str, label: str, threshold: float = 0.75, margin: float = 0.10, prefix: str = "spk") -> DataFrame:
+def assign_speakers(df: DataFrame, key: str, embedding: str, label: str, threshold: float = 0.75, margin: float = 0.10, prefix: str = "spk", most_centers: int = 10_000) -> DataFrame:
     """df with speaker, speaker_conf and speaker_margin.
 
     conf is the similarity to the row's own centroid, margin that of the best less that of the second
     best (-1 where there is one label only). A row is assigned if conf reaches the threshold and, with
-    several labels, margin reaches the margin; else its speaker is "unknown"."""
-    centers = centroids(df, label, embedding)
+    several labels, margin reaches the margin; else its speaker is "unknown". The centroids are
+    broadcast as one row; more than most_centers of them are refused."""
+    centers = checked(centroids(df, label, embedding), most_centers)
     packed = centers.agg(F.array_sort(F.collect_list(F.struct("label", "centroid"))).alias("_centers"))  # one row
     rows = df.withColumn("_unit", unit_vector(named(embedding))).crossJoin(F.broadcast(packed))
     sims = F.transform("_centers", lambda x: F.struct(dot(F.col("_unit"), x["centroid"]).alias("s"), x["label"].alias("label")))
@@ -78,23 +86,52 @@ def average_linkage(vectors: np.ndarray, distance: float) -> np.ndarray:
     return np.unique(label, return_inverse=True)[1]
 
 
-def cluster_speakers(df: DataFrame, key: str, embedding: str, distance: float = 0.5, most: int = 5000) -> DataFrame:
-    """key and label. Average linkage compares all pairs, so it is fitted on the `most` rows that come
-    first by a hash of the key (all of them where there are no more), in one task; every other
-    row takes the label of its nearest centroid."""
+def _nearest(rows: DataFrame, centers: DataFrame) -> DataFrame:
+    """rows with s and near: the similarity and the label of the nearest centroid, of equals the least label."""
+    packed = centers.agg(F.array_sort(F.collect_list(F.struct("label", "centroid"))).alias("_c"))
+    sims = F.transform("_c", lambda x: F.struct(dot(F.col("_unit"), x["centroid"]).alias("s"), (-x["label"]).alias("neg")))
+    both = rows.crossJoin(F.broadcast(packed)).withColumn("_best", F.array_max(sims)).drop("_c")
+    return both.withColumns({"s": F.col("_best.s"), "near": -F.col("_best.neg")}).drop("_best")
+
+
+def cluster_speakers(df: DataFrame, key: str, embedding: str, distance: float = 0.5, most: int = 5000, folder: str | None = None) -> DataFrame:
+    """key and label of every row.
+
+    Average linkage compares all pairs, so one task clusters at most `most` rows, those that come first by a
+    hash of the key. Where there are no more, that is the whole result. Else every other row nearer to one of
+    these clusters' centroids than distance takes its label, and the rows that are near none go through
+    the same again, until none are left; so a speaker whom no round has fitted yet gets a cluster of
+    their own and not a distant one's. What is broadcast is at most `most` centroids. folder: where rounds
+    are kept; given a folder that executors share, their lineage ends there."""
+    spark, kind = df.sparkSession, df.schema[key].dataType.simpleString()
     rows = df.select(named(key).alias(key), named(embedding).cast("array<double>").alias("v"))
-    fitted = rows.orderBy(F.xxhash64(named(key)), named(key)).limit(most)
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(key, ignore_index=True)
         return pd.DataFrame({key: part[key], "v": part["v"], "label": average_linkage(np.stack(part["v"].to_numpy()), distance).astype(np.int64)})
 
-    kind = rows.schema[key].dataType.simpleString()
-    labelled = fitted.withColumn("_all", F.lit(1)).groupBy("_all").applyInPandas(run, f"`{key}` {kind}, v array<double>, label long")
-    packed = centroids(labelled, "label", "v").agg(F.array_sort(F.collect_list(F.struct("label", "centroid"))).alias("_c"))
-    rest = rows.join(labelled.select(key, "label"), key, "left").crossJoin(F.broadcast(packed))
-    sims = F.transform("_c", lambda x: F.struct(dot(unit_vector(F.col("v")), x["centroid"]).alias("s"), (-x["label"]).alias("neg")))
-    return rest.select(key, F.coalesce("label", -F.array_max(sims)["neg"]).alias("label"))
+    def kept(x: DataFrame, name: str) -> DataFrame:
+        if folder is None:
+            return x.checkpoint() if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined() else x
+        x.write.mode("overwrite").parquet(f"{folder}/{name}")
+        return spark.read.schema(x.schema).parquet(f"{folder}/{name}")
+
+    out, first, nth = [], 0, 0
+    while True:
+        fitted = rows.orderBy(F.xxhash64(named(key)), named(key)).limit(most)
+        labelled = kept(fitted.withColumn("_all", F.lit(1)).groupBy("_all").applyInPandas(run, f"`{key}` {kind}, v array<double>, label long").withColumn("label", F.col("label") + first), f"fitted_{nth}")
+        out.append(labelled.select(key, "label"))
+        n, highest = labelled.agg(F.count(F.lit(1)), F.max("label")).first()
+        if n < most:
+            break
+        rest = rows.join(labelled.select(named(key).alias("_k")), rows[key] == F.col("_k"), "left_anti").withColumn("_unit", unit_vector(F.col("v")))
+        rest = kept(_nearest(rest, checked(centroids(labelled, "label", "v"), most)).drop("_unit"), f"rest_{nth}")
+        near = 1 - F.col("s") < distance
+        out.append(rest.where(near).select(key, F.col("near").alias("label")))
+        rows, first, nth = rest.where(~near).select(key, "v"), highest + 1, nth + 1
+        if not rows.limit(1).count():
+            break
+    return reduce(DataFrame.unionByName, out)
 
 
 def diarization_summary(turns: DataFrame, clip: str, speaker: str, seconds: Column) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -111,16 +112,17 @@ def numeric_cast_adapter(spark, sf):
     return table(spark, sf, "events").select("event_id", k.try_cast("int").alias("k_int"), numbers.parse_number(F.concat(k, F.lit(".5"))).alias("k_double"), F.concat(k, F.lit("x")).try_cast("int").alias("k_bad"))
 
 
-@query("SELECT doc_id, CAST(doc_id % 8 AS INTEGER) AS shard FROM documents")
+@query("SELECT doc_id, CAST((row_number() OVER (PARTITION BY doc_id % 5 ORDER BY doc_id) - 1) % 8 AS INTEGER) AS shard FROM documents")
 def row_shard(spark, sf):
+    """Five files of clips without ids, sharded by row number within the file."""
     from .plans.job import row_shard as shard
 
-    d = table(spark, sf, "documents").select("doc_id")
-    parts = [shard(d, "doc_id", r, 8).withColumn("shard", F.lit(r)) for r in range(8)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    path = scratch(spark, "rows")
+    d = table(spark, sf, "documents").select((F.col("doc_id") % 5).alias("part"), F.col("doc_id").cast("string").alias("audio_file"))
+    d.repartition(5, "part").sortWithinPartitions("part", F.col("audio_file").cast("long")).write.partitionBy("part").options(**sinks.CSV_OUT).csv(path)
+    read = source.read_csv(spark, path, one_header=True).withColumn("row", F.substring_index("id", "/", -1).cast("int"))
+    parts = [shard(read, "row", r, 8).withColumn("shard", F.lit(r)) for r in range(8)]
+    return reduce(DataFrame.unionByName, parts).select(F.col("audio_file").cast("long").alias("doc_id"), "shard")
 
 
 @query(f"WITH {CLIPS} SELECT id, CASE WHEN trim(text) = '' THEN 'heard ' || id ELSE text END AS text, CASE WHEN trim(text) = '' THEN 'asr' END AS origin FROM clips")
@@ -148,13 +150,19 @@ def jsonl_round_trip(spark, sf):
 @query("""WITH a AS (SELECT max_by(url, url) AS audio_file, regexp_replace(regexp_extract(url, '([^/]*)$', 1), '\\.[^.]*$', '') AS stem FROM pages GROUP BY 2)
 SELECT doc_id, audio_file, stem FROM a JOIN documents ON CAST(doc_id AS VARCHAR) = stem""")
 def sidecar_join(spark, sf):
-    audio = table(spark, sf, "pages").withColumn("stem", arrays.file_stem(F.col("url"))).groupBy("stem").agg(F.max_by("url", "url").alias("audio_file"))
-    return table(spark, sf, "documents").join(audio, F.col("doc_id").cast("string") == audio["stem"]).select("doc_id", "audio_file", "stem")
+    audio = table(spark, sf, "pages").select(F.col("url").alias("path"))
+    texts = table(spark, sf, "documents").select(F.concat(F.lit("texts/"), "doc_id", F.lit(".txt")).alias("text_file"), "doc_id")
+    return source.beside(audio, texts).select("doc_id", F.col("path").alias("audio_file"), F.col("_stem").alias("stem"))
 
 
-@query("SELECT source AS dataset, SUM(octet_length(encode(text)))::BIGINT AS length FROM documents GROUP BY source")
+@query("SELECT source AS dataset, row_number() OVER (ORDER BY SUM(octet_length(encode(text))), source)::INTEGER AS place FROM documents WHERE source IS NOT NULL AND text IS NOT NULL GROUP BY source")
 def dataset_order(spark, sf):
-    return table(spark, sf, "documents").groupBy(F.col("source").alias("dataset")).agg(F.sum(F.octet_length("text")).cast("long").alias("length")).orderBy("length", "dataset")
+    """A data set for each source, as large as its texts."""
+    path = scratch(spark, "sets")
+    d = table(spark, sf, "documents").where("source IS NOT NULL AND text IS NOT NULL")
+    d.select("source", F.base64(F.encode("text", "UTF-8")).alias("text")).repartition(1, "source").write.partitionBy("source").text(path)
+    found = source.datasets(spark, path, ".txt").select(F.regexp_replace("dataset", "^source=", "").alias("dataset"), "length")
+    return found.withColumn("place", F.row_number().over(Window.orderBy("length", "dataset"))).select("dataset", "place")  # a row a data set
 
 
 # text
@@ -200,12 +208,19 @@ def speaking_rate(spark, sf):
 
 @query(f"WITH {TURNS} SELECT conv_id, turn, CASE WHEN a = '' THEN -1.0::DOUBLE ELSE {lev_sql('a', 'b')} / length(a)::DOUBLE END AS cer FROM turns WHERE b IS NOT NULL")
 def cer_pairs(spark, sf):
-    return turn_pairs(spark, sf).select("conv_id", "turn", text.error_rates(F.col("ref"), F.col("hyp"))[1].alias("cer"))
+    return text.with_error_rates(turn_pairs(spark, sf), F.col("ref"), F.col("hyp"), None, "cer").select("conv_id", "turn", "cer")
 
 
-@query()
+#: The table of the edit distance by words, a row for each word of r, each from the row before.
+WORD_EDITS = """list_reduce(list_transform(r, lambda w: [list_position(v, w)::INTEGER]), lambda o, w: list_reduce(list_transform(range(1, len(h) + 1), lambda j: [least(o[j + 1] + 1, o[j] + (w[1] <> x[j])::INTEGER)]),
+lambda n, t: list_append(n, least(n[-1] + 1, t[1])), [o[1] + 1]), list_transform(range(0, len(h) + 1), lambda j: j::INTEGER))[-1]"""
+
+
+@query(f"""WITH {TURNS}, s AS (SELECT conv_id, turn, list_filter(string_split(a, ' '), lambda w: w <> '') AS r, list_filter(string_split(b, ' '), lambda w: w <> '') AS h FROM turns WHERE b IS NOT NULL),
+d AS (SELECT *, list_distinct(list_concat(r, h)) AS v FROM s), e AS (SELECT *, list_transform(h, lambda w: list_position(v, w)::INTEGER) AS x FROM d)
+SELECT conv_id, turn, CASE WHEN len(r) = 0 THEN -1.0::DOUBLE ELSE {WORD_EDITS}::DOUBLE / len(r) END AS wer FROM e""")
 def wer_pairs(spark, sf):
-    return turn_pairs(spark, sf).select("conv_id", "turn", text.error_rates(F.col("ref"), F.col("hyp"))[0].alias("wer"))
+    return text.with_error_rates(turn_pairs(spark, sf), F.col("ref"), F.col("hyp"), "wer", None).select("conv_id", "turn", "wer")
 
 
 @query(f"WITH {TURNS} SELECT conv_id, turn, {dist_sql('a', 'b')} AS distance FROM turns WHERE b IS NOT NULL")
@@ -465,13 +480,28 @@ def sentence_split(spark, sf):
     return spans.sentences(words, "conv_id", "p", F.col("f"))
 
 
-@query()
+@query("""WITH t AS (SELECT user_id, event_type AS speaker, event_id / 10.0::DOUBLE AS s, (event_id + value) / 10.0::DOUBLE AS e, value FROM events),
+g AS (SELECT user_id, list({'speaker': speaker, 'start': round_even(s, 3)::DOUBLE, 'end': round_even(e, 3)::DOUBLE} ORDER BY speaker, s, e) AS turns, count(DISTINCT speaker) AS n, count(*) AS k,
+  bool_and(coalesce(speaker, '') <> '' AND isfinite(s) AND isfinite(e) AND s >= 0 AND s < e) AS good, sum(value) AS total FROM t GROUP BY user_id),
+m AS (SELECT *, user_id % 3 = 0 AS bare, (CASE WHEN user_id % 3 = 0 THEN 0 ELSE n END) + (CASE WHEN user_id % 5 = 0 THEN 1 ELSE 0 END) AS told, CASE WHEN user_id % 3 = 0 THEN 0 ELSE n END AS heard FROM g),
+r AS (SELECT *, CASE WHEN user_id % 7 = 0 THEN 'no_speech' WHEN NOT good OR told <> heard OR k = 0 OR NOT isfinite(total) THEN 'error' WHEN bare THEN 'raw_only' ELSE 'ok' END AS status FROM m)
+SELECT user_id, status AS senko_status, CASE WHEN status IN ('ok', 'raw_only') THEN told ELSE 0 END::INTEGER AS senko_num_speakers,
+CASE WHEN status = 'ok' THEN k ELSE 0 END::INTEGER AS n_segments, CASE WHEN status IN ('ok', 'raw_only') THEN k ELSE 0 END::INTEGER AS n_raw,
+CASE WHEN status IN ('ok', 'raw_only') THEN round_even(list_sum(list_transform(turns, lambda x: x['end'] - x['start'])), 3) ELSE 0 END::DOUBLE AS raw_seconds,
+CASE WHEN status IN ('ok', 'raw_only') THEN turns[1]['speaker'] END AS first_speaker FROM r""")
 def diarization_columns(spark, sf):
     turn = F.struct(F.col("event_type").alias("speaker"), (F.col("event_id") / 10).alias("start"), ((F.col("event_id") + F.col("value")) / 10).alias("end"))
     rows = table(spark, sf, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(turn)).alias("raw"), F.sum("value").alias("total"))
     rows = rows.withColumns({"merged": F.when(F.col("user_id") % 3 == 0, F.slice("raw", 1, 0)).otherwise(F.col("raw")), "timing": F.create_map(F.lit("total"), "total")})
     rows = rows.withColumn("n", F.size(F.array_distinct(F.transform("merged", lambda x: x["speaker"]))) + F.when(F.col("user_id") % 5 == 0, 1).otherwise(0))
-    return spans.diarization_columns(rows, "merged", "raw", "n", "timing", F.col("user_id") % 7 == 0).drop("raw", "merged", "timing", "n", "total")
+    out = spans.diarization_columns(rows, "merged", "raw", "n", "timing", F.col("user_id") % 7 == 0)
+    parsed = lambda x: F.from_json(x, "array<struct<speaker string, start double, end double>>")
+    out = out.withColumns({"raw": parsed("senko_raw_segments"), "merged": parsed("senko_segments")})
+    seconds = F.aggregate("raw", F.lit(0.0), lambda a, x: a + (x["end"] - x["start"]))
+    return out.select(
+        "user_id", "senko_status", F.col("senko_num_speakers").cast("int").alias("senko_num_speakers"), F.size("merged").alias("n_segments"), F.size("raw").alias("n_raw"),
+        F.bround(seconds, 3).alias("raw_seconds"), F.get(F.col("raw"), F.lit(0))["speaker"].alias("first_speaker"),
+    )
 
 
 # signals: embeddings stand in for samples
@@ -556,7 +586,10 @@ def scorer_guard(spark, sf):
     return found.select("doc_id", F.when(F.isnan("n_words"), -1).otherwise(F.col("n_words")).cast("long").alias("n_words"), "error")
 
 
-@query()
+@query("""WITH RECURSIVE d AS (SELECT doc_id, lang, n_chars / 150.0::DOUBLE AS s, row_number() OVER (PARTITION BY lang ORDER BY n_chars / 150.0::DOUBLE, doc_id) AS n FROM documents),
+b AS (SELECT doc_id, lang, n, 0 AS batch, 1 AS size FROM d WHERE n = 1 UNION ALL
+SELECT d.doc_id, d.lang, d.n, CASE WHEN size < 16 AND (size + 1) * s <= 480 THEN batch ELSE batch + 1 END, CASE WHEN size < 16 AND (size + 1) * s <= 480 THEN size + 1 ELSE 1 END
+FROM b JOIN d ON d.lang IS NOT DISTINCT FROM b.lang AND d.n = b.n + 1) SELECT doc_id, lang, batch::INTEGER AS batch FROM b""")
 def length_buckets(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", (F.col("n_chars") / 150.0).alias("duration"))
-    return scoring.batches_of(d, "doc_id", "duration", 480.0, 16)
+    d = table(spark, sf, "documents").select("doc_id", "lang", (F.col("n_chars") / 150.0).alias("duration"))
+    return scoring.batches_of(d, "doc_id", "duration", 480.0, 16, by="lang")

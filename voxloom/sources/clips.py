@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import ast
+import json
+import re
 from collections.abc import Callable
+from functools import reduce
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -30,12 +35,10 @@ def resolve(root: str, path: Column) -> Column:
 def adapt(df: DataFrame, audio_key: str = "audio_file", id_key: str = "id", audio_format: str = "wav", root: str | None = None, defaults: dict | None = None, source: Column | None = None, row: Column | None = None) -> DataFrame:
     """Rows as clips: numbers parsed where they parse, the audio column renamed, its path as given kept in
     `path`, a missing id made from source and row, all other columns passed through as they are.
-    A JSON `metadata` column's keys become columns; defaults are added where there is no value.
-    Rows without audio go."""
+    The keys of a `metadata` column of texts become columns: see spread_metadata(). Defaults are added
+    where there is no value. Rows without audio go."""
     if "metadata" in df.columns and df.schema["metadata"].dataType == T.StringType():
-        parsed = F.from_json(F.regexp_replace("metadata", "'", '"'), "map<string,string>")
-        keys = [r[0] for r in df.select(F.explode(F.map_keys(parsed))).distinct().collect()]
-        df = df.withColumns({k: parsed[k] for k in keys if k not in df.columns}).drop("metadata")
+        df = spread_metadata(df)
     has = lambda k: named(k) if k in df.columns else F.lit(None).cast("string")
     audio = has(audio_key)
     made = F.concat_ws("/", source if source is not None else F.lit(""), (row if row is not None else F.monotonically_increasing_id()).cast("string"))
@@ -51,24 +54,74 @@ def adapt(df: DataFrame, audio_key: str = "audio_file", id_key: str = "id", audi
     return rows.select(*[v.alias(k) for k, v in out.items()], *kept, *[v.alias(k) for k, v in added.items()])
 
 
-def _header(spark: SparkSession, path: str, options: dict) -> list[str]:
-    return spark.read.options(**options).csv(path).columns
-
-
-def read_csv(spark: SparkSession, path: str, adapter: Callable[[DataFrame], DataFrame] | None = None, limit: int = -1, options: dict | None = None, **adapting) -> DataFrame:
+@F.pandas_udf(T.StringType())
+def literal_to_json(cells: pd.Series) -> pd.Series:
+    """Python dict literals as JSON objects of texts, null for anything else. They aren't an SQL
+    expression, so this runs in Python, on the cells that aren't JSON."""
+
+    def one(cell: str | None) -> str | None:
+        try:
+            value = ast.literal_eval(cell)
+            return json.dumps({str(k): v if v is None or isinstance(v, str) else str(v) for k, v in value.items()}, ensure_ascii=False)
+        except (AttributeError, ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+            return None
+
+    return cells.map(one).astype(object)
+
+
+def spread_metadata(df: DataFrame, most_keys: int = 1000) -> DataFrame:
+    """df with the keys of `metadata` as columns of texts, but for those that df has. A cell is a JSON object
+    or a Python dict literal; where it is neither, it stays in `metadata`. Every key becomes a
+    column of the plan, so more than most_keys of them are refused."""
+    kind, cell = "map<string,string>", named("metadata")
+    given = F.nullif(F.trim(cell), F.lit(""))
+    as_json = F.from_json(given, kind)
+    parsed = F.coalesce(as_json, F.from_json(literal_to_json(F.when(as_json.isNull(), given)), kind))
+    df = df.withColumn("_src_meta", parsed)
+    left = F.when(F.col("_src_meta").isNull(), given)
+    found = df.select(F.explode(F.when(left.isNotNull(), F.array(F.lit(None).cast("string"))).otherwise(F.map_keys("_src_meta"))).alias("k")).distinct().limit(most_keys + 1)
+    keys = [r["k"] for r in found.collect()]
+    if len(keys) > most_keys:
+        raise ValueError(f"metadata has more than {most_keys} keys")
+    df = df.withColumn("metadata", left) if None in keys else df.drop("metadata")
+    return df.withColumns({k: F.col("_src_meta")[k] for k in sorted(k for k in keys if k is not None) if k not in df.columns}).drop("_src_meta")
+
+
+def header_groups(spark: SparkSession, path: str) -> list[list[str]]:
+    """The files of a path, those with equal header lines together; one file alone isn't opened for it."""
+    files = [unquote(x) for x in spark.read.text(path).inputFiles()]
+    if len(files) < 2:
+        return [files]
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"))
+    heads = lines.where("at = 0").groupBy("f").agg(F.min_by("value", "n").alias("head"))
+    return [[unquote(f) for f in r["files"]] for r in heads.groupBy("head").agg(F.array_sort(F.collect_list("f")).alias("files")).orderBy("head").collect()]
+
+
+def read_csv(spark: SparkSession, path: str, adapter: Callable[[DataFrame], DataFrame] | None = None, limit: int = -1, options: dict | None = None, one_header: bool = False, **adapting) -> DataFrame:
     """Clips of CSV files (gzip and others by their ending). Every column is read as a string, so
-    passed-through values stay as they are. Ids that are missing are file and row number."""
+    passed-through values stay as they are. Ids that are missing are file and row number.
+
+    Each file is read by its own header: files are grouped by header, for which their lines are scanned
+    once, and columns that a file lacks are null. With one_header nothing is scanned beforehand,
+    and a file whose header differs from the first one's fails the job."""
     dialect = CSV_DIALECT | (options or {})
-    names = _header(spark, path, dialect)
-    schema = T.StructType([T.StructField(x, T.StringType()) for x in names])
-    rows = spark.read.options(**dialect).schema(schema).csv(path)
-    return _clips(rows, adapter, limit, adapting)
+
+    def rows(paths: str | list[str]) -> DataFrame:
+        names = spark.read.options(**dialect | {"multiLine": "false"}).csv(paths).columns
+        return spark.read.options(**dialect, enforceSchema="false").schema(T.StructType([T.StructField(x, T.StringType()) for x in names])).csv(paths)
+
+    groups = [] if one_header else header_groups(spark, path)
+    if len(groups) < 2:
+        return _clips(_tagged(rows(path)), adapter, limit, adapting)
+    literal = lambda f: re.sub(r"([\[\]{}*?\\])", r"\\\1", f)
+    parts = [_tagged(rows([literal(f) for f in files])) for files in groups]
+    return _clips(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), adapter, limit, adapting)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None = None, adapter: Callable[[DataFrame], DataFrame] | None = None, limit: int = -1, **adapting) -> DataFrame:
     """Clips of JSON lines; lines that don't parse are left out: see bad_lines()."""
     reader = spark.read.option("mode", "DROPMALFORMED")
-    return _clips((reader.schema(schema) if schema else reader).json(path), adapter, limit, adapting)
+    return _clips(_tagged((reader.schema(schema) if schema else reader).json(path)), adapter, limit, adapting)
 
 
 def bad_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -80,7 +133,7 @@ def bad_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 
 def read_export(spark: SparkSession, path: str, dataset: str | None = None, limit: int = -1, **adapting) -> DataFrame:
     """Clips of a data set exported to Parquet, where audio may be a struct of path and sampling_rate."""
-    df = spark.read.parquet(path)
+    df = _tagged(spark.read.parquet(path))
     if "audio" in df.columns and isinstance(df.schema["audio"].dataType, T.StructType):
         inner = df.schema["audio"].dataType.fieldNames()
         df = df.withColumns({"audio_file": F.col("audio.path")} | ({"sample_rate": F.col("audio.sampling_rate")} if "sampling_rate" in inner else {})).drop("audio")
@@ -89,18 +142,23 @@ def read_export(spark: SparkSession, path: str, dataset: str | None = None, limi
     return _clips(df, None, limit, adapting)
 
 
-def _clips(rows: DataFrame, adapter, limit: int, adapting: dict) -> DataFrame:
+def _tagged(rows: DataFrame) -> DataFrame:
+    """rows with the file that each is from, and its place there."""
+    return rows.select("*", F.col("_metadata.file_path").alias("_src_file"), F.col("_metadata.file_block_start").alias("_src_at"), F.monotonically_increasing_id().alias("_src_n"))
+
+
+def _clips(tagged: DataFrame, adapter, limit: int, adapting: dict) -> DataFrame:
+    """limit: the first so many clips, in order of file and place; below 0, all of them."""
+    place = ["_src_file", "_src_at", "_src_n"]
     if adapter is not None:
-        out = adapter(rows)
-    else:
-        tagged = rows.select("*", F.col("_metadata.file_path").alias("_src_file"), F.col("_metadata.file_block_start").alias("_src_at"), F.monotonically_increasing_id().alias("_src_n"))
-        nth = F.row_number().over(Window.partitionBy("_src_file").orderBy("_src_at", "_src_n")) - 1
-        id_key = adapting.get("id_key", "id")
-        needs_ids = id_key not in rows.columns
-        if needs_ids:  # only then are rows numbered by file
-            tagged = tagged.withColumn("_src_row", nth)
-        out = adapt(tagged, source=F.col("_src_file"), row=F.col("_src_row") if needs_ids else F.col("_src_n"), **adapting)
-    return out.limit(limit) if limit >= 0 else out
+        return adapter((tagged.orderBy(*place).limit(limit) if limit >= 0 else tagged).drop(*place))
+    needs_ids = adapting.get("id_key", "id") not in tagged.columns
+    if needs_ids:  # only then are rows numbered by file
+        tagged = tagged.withColumn("_src_row", F.row_number().over(Window.partitionBy("_src_file").orderBy("_src_at", "_src_n")) - 1)
+    key = adapting.get("audio_key", "audio_file")
+    if limit >= 0:
+        tagged = tagged.where(F.length(named(key)) > 0).orderBy(*place).limit(limit) if key in tagged.columns else tagged.limit(0)
+    return adapt(tagged, source=F.col("_src_file"), row=F.col("_src_row") if needs_ids else F.col("_src_n"), **adapting)
 
 
 def list_files(spark: SparkSession, root: str, pattern: str | None = None, recursive: bool = True) -> DataFrame:
@@ -111,18 +169,22 @@ def list_files(spark: SparkSession, root: str, pattern: str | None = None, recur
     return reader.load(root).select("path", "length", "modificationTime")
 
 
+def beside(audio: DataFrame, texts: DataFrame) -> DataFrame:
+    """audio (with path) and texts (with text_file) of the same base name, `_stem`. Of audio files that share one,
+    the last by path."""
+    last = audio.groupBy(file_stem(F.col("path")).alias("_stem")).agg(F.max_by(F.struct(*audio.columns), "path").alias("a")).select("_stem", "a.*")
+    return last.join(texts.withColumn("_stem", file_stem(F.col("text_file"))), "_stem")
+
+
 def read_folder(spark: SparkSession, root: str, pattern: str = ".wav", text_ending: str | None = None, recursive: bool = True, limit: int = -1) -> DataFrame:
     """A clip a file, named path/0. With text_ending, clips of the files that have a text beside them of
     the same base name (of audio files that share one, the last by path), newlines taken out."""
     audio = list_files(spark, root, pattern, recursive).select("path", F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1)).alias("format"))
-    clips = audio.select(F.concat("path", F.lit("/0")).alias("id"), F.col("path").alias("audio_file"), "format", F.lit("").alias("text"), file_stem(F.col("path")).alias("_stem"))
     if text_ending is not None:
-        last = clips.groupBy("_stem").agg(F.max_by(F.struct("audio_file", "format"), "audio_file").alias("a"))
         texts = spark.read.option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", file_pattern(text_ending)).text(root, wholetext=True)
         texts = texts.select(F.col("_metadata.file_path").alias("text_file"), F.regexp_replace("value", r"\r?\n", "").alias("text"))
-        texts = texts.withColumn("_stem", file_stem(F.col("text_file")))
-        clips = last.join(texts, "_stem").select(F.concat(F.col("a.audio_file"), F.lit("/0")).alias("id"), "a.audio_file", "a.format", "text")
-    out = clips.drop("_stem")
+        audio = beside(audio, texts)
+    out = audio.select(F.concat("path", F.lit("/0")).alias("id"), F.col("path").alias("audio_file"), "format", F.col("text") if text_ending is not None else F.lit("").alias("text"))
     return out.orderBy("audio_file").limit(limit) if limit >= 0 else out
 
 
