@@ -523,3 +523,146 @@ def test_length_batches_across_tasks(spark):
             ids = sorted((i for i in range(200) if i % 2 == lane), key=lambda i: ((i * 37) % 50, i))
             groups = scoring.length_batches([float((i * 37) % 50) for i in ids], 60.0, 8)
             assert [got[i] for i in ids] == [n for n, g in enumerate(groups) for _ in g]
+
+
+# jobs that go on where others stopped, and models behind adapters
+
+
+def test_jobs_resume(spark, tmp_path, monkeypatch):
+    class Recorder(scoring.Scorer):
+        """Writes down the ids it scores, in a folder; fails where the text says so."""
+
+        inputs, outputs = ("text",), {"transcript": "string"}
+
+        def __init__(self, folder):
+            self.folder = folder
+
+        def score(self, model, clip):
+            with open(f"{self.folder}/{clip['id']}", "a") as f:
+                f.write("x")
+            if clip["text"] == "broken":
+                raise RuntimeError("broken")
+            return clip["text"].upper()
+
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    monkeypatch.setitem(metrics._backends, "whisper", Recorder(str(calls)))
+    seen = lambda: {p.name: len(p.read_text()) for p in calls.iterdir()}
+    job = jobs.parse_job(f"""
+name: go_on
+reader: {{type: parquet, path: "{tmp_path}/in"}}
+checkpoints: {tmp_path}/kept
+fingerprint: [text]
+steps:
+  - {{step: candidate, backend: whisper, name: w}}
+writer: {{type: parquet, path: "{tmp_path}/out"}}
+""")
+
+    def run(texts):
+        spark.createDataFrame([(str(i), f"{i}.wav", t) for i, t in enumerate(texts)], "id string, audio_file string, text string").write.mode("overwrite").parquet(f"{tmp_path}/in")
+        jobs.run_job(spark, job)
+        return {r["id"]: (r["asr_w_status"], r["asr_w_text"], r["asr_w_error_code"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+
+    first = run(["a", "b", "broken", " "])
+    assert first == {"0": ("ok", "A", ""), "1": ("ok", "B", ""), "2": ("error", "", "inference_error"), "3": ("no_speech", "", "")}
+    before = seen()
+    # one text is new, one is mended, one clip more; the rest isn't scored again, errors are
+    second = run(["a", "changed", "mended", " ", "e"])
+    assert second == {"0": ("ok", "A", ""), "1": ("ok", "CHANGED", ""), "2": ("ok", "MENDED", ""), "3": ("no_speech", "", ""), "4": ("ok", "E", "")}
+    now = seen()
+    assert now["0"] == before["0"] and now["3"] == before["3"] and now["1"] > before["1"] and now["2"] > before["2"]
+    assert run(["a", "changed", "mended", " ", "e"]) == second and seen() == now
+    with pytest.raises(ValueError, match="several rows"):
+        jobs.run_job(spark, jobs.Job(job.reader, job.writer, [{"step": "sentences"}], checkpoints="x"))
+
+
+def test_presets_are_jobs(spark):
+    from voxloom.operators import backends
+
+    backends.register_all("cpu", {"audio_model": {"model": "m"}})
+    columns = ["id", "audio_file", "text", "duration", "sample_rate", "content", *[f"asr_{x}_{y}" for x in ("gigaam", "whisper", "tone", "qwen3") for y in ("status", "text")]]
+    names = sorted(p.stem for p in jobs.PRESETS.glob("*.yaml"))
+    assert {"annotate", "annotate_candidate", "consensus", "align", "diarize", "quality"} <= set(names)
+    for name in names:
+        job = jobs.preset(name, **{"reader.limit": 10})
+        jobs.check_steps(job.steps, columns)
+        assert job.reader["limit"] == 10 and jobs.declared(job.steps) or name == "consensus"
+
+
+def test_recognizers_that_are_missing_count_as_failed(spark, monkeypatch):
+    class Gone(scoring.Recognizer):
+        def load(self):
+            raise ModuleNotFoundError("gone")
+
+    class Absent(scoring.Recognizer):
+        requires = ("no_such_package",)
+
+    class Here(scoring.Recognizer):
+        def transcribe(self, model, path):
+            return "Привет, мир!"
+
+    for name, s in (("asr_gigaam", Gone()), ("asr_tone", Absent()), ("whisper", Here())):
+        monkeypatch.setitem(metrics._backends, name, s)
+    df = spark.createDataFrame([(str(i), f"{i}.wav", t) for i, t in enumerate(["", "has one"] * 40)], "id string, audio_file string, text string")
+    for r in metrics.transcribed(df, ["asr_gigaam", "asr_tone", "whisper"], min_agreement=0.5).collect():
+        if int(r["id"]) % 2:
+            assert r["text"] == "has one" and r["asr_chosen_backend"] is None
+        else:
+            assert (r["text"], r["asr_chosen_backend"], r["asr_agreement"], r["asr_text_gigaam"], r["asr_low_confidence"]) == ("Привет, мир!", "whisper", 1.0, "", False)
+
+
+def test_alignment_diarization_and_sentences_as_steps(spark, monkeypatch):
+    word = lambda t, a, b: {"text": t, "start": a, "end": b}
+    monkeypatch.setitem(metrics._backends, "qwen3_alignment", scoring.FunctionScorer(lambda c: [word("а", 0.0, 0.5), word("б", 0.5, 1.0)] if c["id"] == "0" else 1 / 0, {"words": metrics.MODELS["qwen3_alignment"].columns["words"]}))
+    turn = {"speaker": "A", "start": 0.0, "end": 1.0}
+    monkeypatch.setitem(metrics._backends, "senko", scoring.FunctionScorer(lambda c: ([turn], [turn], 1, {"all": 0.1}) if c["id"] == "0" else (None,) * 4, metrics.MODELS["senko"].columns))
+    df = spark.createDataFrame([("0", "d/a.wav", "а б", 1.0, 16000), ("1", "d/b.wav", "в", 1.0, 16000)], "id string, audio_file string, text string, duration double, sample_rate int")
+    got = {r["id"]: r for r in jobs.apply_steps(df, [{"step": "align"}, {"step": "diarize"}]).collect()}
+    assert (got["0"]["qwen3_alignment_status"], got["1"]["qwen3_alignment_status"]) == ("ok", "error") and json.loads(got["0"]["qwen3_alignment"])[1] == word("б", 0.5, 1.0)
+    assert (got["0"]["senko_status"], got["1"]["senko_status"], got["0"]["senko_num_speakers"]) == ("ok", "no_speech", 1)
+    words = [(" One", 0.0, 0.4), (" two.", 0.5, 1.0), (" Three!", 2.0, 2.5), (" rest", 3.0, 3.2)]
+    df = spark.createDataFrame([("0", "d/a.wav", 4.0, words)], "id string, audio_file string, duration double, words array<struct<word string, start double, end double>>")
+    rows = jobs.apply_steps(df, [{"step": "sentences", "folder": "cuts"}]).orderBy("sentence").collect()
+    assert [(r["text"], r["audio_file"]) for r in rows] == [("One two.", "cuts/a_00000000.wav"), ("Three!", "cuts/a_00000001.wav")]
+
+
+def test_adapters(monkeypatch):
+    """The rules around models, with stand-ins for the models' packages."""
+    import sys
+    import types
+
+    from voxloom.operators import backends as b
+
+    tone = lambda seconds: {"id": "1", "audio_file": "x.wav", "text": "Привет, мир", "content": signal.encode_wav(np.sin(np.arange(int(16000 * seconds)) / 9) / 2, 16000)}
+    assert b.Squim("cpu").values(None, np.zeros(1023, np.float32), {}) == (-1.0, -1.0, -1.0)
+    tried = []
+
+    class WhisperModel:
+        def __init__(self, name, device, compute_type):
+            tried.append(compute_type)
+            if compute_type == "int8_float16":
+                raise ValueError("no such arithmetic")
+
+        def transcribe(self, x, language=None, **more):
+            return [types.SimpleNamespace(text=" a "), types.SimpleNamespace(text=""), types.SimpleNamespace(text=" b")], None
+
+    monkeypatch.setitem(sys.modules, "faster_whisper", types.SimpleNamespace(WhisperModel=WhisperModel))
+    w = b.Whisper("cuda")
+    assert w.score(w.load(), tone(0.2)) == ("a b",) and tried == ["int8_float16", "int8_float32"]
+    g = b.GigaAm("cpu")
+    assert len(g.cut(tone(30))) == int(24.9 * 16000)
+    assert g.row(tone(1), "привет мир", []) == ("привет мир", 0.0) and g.row({"text": ""}, "x", [])[1] == -1.0
+    assert b.Punctuated("cpu").row({"text": "привет мир"}, "Привет, мир!", []) == ("привет, мир!",)
+    assert json.loads(b.word_json([types.SimpleNamespace(text="а", start=0.12345, end=1.0)])) == [{"text": "а", "start": 0.123, "end": 1.0}]
+
+    class Mean(b.Adapter):
+        metric = "distillmos"
+
+        def values(self, model, samples, clip):
+            return (float(len(samples)),)
+
+    assert Mean("cpu").recover(None, tone(50)) == (pytest.approx(800_000 / 3),)
+    assert b.plain_text({"text": "x"}) == "x" and b.plain_text(types.SimpleNamespace(text="y")) == "y"
+    with pytest.raises(TypeError):
+        b.plain_text(3)
+    assert {a.metric for a in b.ADAPTERS} <= set(metrics.MODELS)

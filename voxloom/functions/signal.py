@@ -72,8 +72,20 @@ def resample(x: np.ndarray, rate: int, target: int, zeros: int = 16) -> np.ndarr
     return out.astype(np.float32)
 
 
+def decode(data: bytes) -> tuple[np.ndarray, int]:
+    """Samples and rate: PCM WAV by decode_wav, everything else (FLAC, OGG, MP3) by soundfile, where that is installed."""
+    if data[:4] == b"RIFF":
+        return decode_wav(data)
+    try:
+        import soundfile
+    except ImportError:
+        raise ValueError("only WAV files can be read without the package soundfile") from None
+    x, rate = soundfile.read(io.BytesIO(data), dtype="float32", always_2d=True)
+    return x.T, rate
+
+
 def load(data: bytes, target: int | None = None) -> tuple[np.ndarray, int]:
-    x, rate = decode_wav(data)
+    x, rate = decode(data)
     x = mono(x)
     return (x, rate) if target is None else (resample(x, rate, target), target)
 
@@ -81,7 +93,7 @@ def load(data: bytes, target: int | None = None) -> tuple[np.ndarray, int]:
 def prepared(data: bytes, target: int = 16_000) -> np.ndarray:
     """Mono samples at the target rate, clipped to [-1, 1]; samples that aren't finite or lie
     outside are refused."""
-    x, rate = decode_wav(data)
+    x, rate = decode(data)
     if not np.isfinite(x).all() or (np.abs(x) > 1).any():
         raise ValueError("samples must be finite and within -1 and 1")
     return np.clip(resample(mono(x), rate, target), -1.0, 1.0)

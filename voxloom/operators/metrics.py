@@ -17,11 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import signal
-from ..functions.arrays import label_and_score, window_means
+from ..functions.arrays import label_and_score
 from ..functions.numbers import NAN_VALUE, speaking_rates
-from ..functions.text import with_error_rates
+from ..functions.text import transfer_punctuation, with_error_rates
 from ..schema import named
+from .consensus import transcript_columns
+from .resume import fill_missing_text
 from .scoring import Scorer, run_scorer
+from .spans import alignment_columns, diarization_columns
 
 SIGNAL_COLUMNS = {
     "bandwidth": ("bandwidth_hz double", "is_upsampled_est boolean"),
@@ -105,16 +108,6 @@ def labelled(clips: DataFrame, logits: str, labels: list[str], output: str, colu
     return clips.withColumns(dict(zip(columns, values[output])))
 
 
-def mean_logits(windows: Column) -> Column:
-    """The mean over windows, for clips scored in pieces."""
-    size = F.size(windows[0])
-    return F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.aggregate(windows, F.lit(0.0), lambda s, w: s + w[i]) / F.size(windows))
-
-
-def windowed(samples: Column, rate: int, seconds: float) -> Column:
-    return window_means(samples, rate, seconds)
-
-
 @dataclass(frozen=True)
 class ModelMetric:
     columns: dict[str, str]
@@ -188,13 +181,55 @@ def register(backend: Backend) -> Backend:
     return backend
 
 
-def model_metric(clips: DataFrame, metric: str, error: str | None = None) -> DataFrame:
-    """clips with the columns of a metric whose backend is registered."""
+def backend(metric: str) -> Backend:
+    """The registered backend of a metric."""
     if metric not in MODELS:
         raise ValueError(f"no such metric: {metric}")
     if metric not in _backends:
-        raise ImportError(f"{metric} needs a backend (packages: {', '.join(MODELS[metric].requires)}); register one")
-    return run_scorer(clips, _backends[metric], error)
+        raise ImportError(f"{metric} needs a backend (packages: {', '.join(MODELS[metric].requires)}); register one, or all of them with backends.register_all()")
+    return _backends[metric]
+
+
+def model_metric(clips: DataFrame, metric: str, error: str | None = None) -> DataFrame:
+    """clips with the columns of a metric whose backend is registered."""
+    return run_scorer(clips, backend(metric), error)
+
+
+def transcribed(clips: DataFrame, backends: list[str], only_missing: bool = True, overwrite_text: bool = True, min_agreement: float | None = None, prefer_punctuated: bool = True) -> DataFrame:
+    """clips with the transcripts of several recognizers and their consensus: see consensus.transcript_columns(). A
+    recognizer that can't be loaded counts as failed on every clip and the others go on. With
+    only_missing, clips that have a text never reach a recognizer."""
+    options = {"overwrite_text": overwrite_text, "min_agreement": min_agreement, "prefer_punctuated": prefer_punctuated, "only_missing": False}
+
+    def heard(rows: DataFrame) -> DataFrame:
+        texts = {}
+        for name in backends:
+            rows = run_scorer(rows, backend(name), f"_{name}_code", optional=True)
+            rows = rows.withColumn(f"_{name}", F.when(F.col(f"_{name}_code").isNull(), F.coalesce("transcript", F.lit("")))).drop("transcript", f"_{name}_code")
+            texts[name.removeprefix("asr_")] = F.col(f"_{name}")
+        return transcript_columns(rows, texts, **options).drop(*[f"_{name}" for name in backends])
+
+    return fill_missing_text(clips, heard) if only_missing else heard(clips)
+
+
+def aligned(clips: DataFrame, tolerance_ms: int = 80) -> DataFrame:
+    """clips with qwen3_alignment and its status, from the aligner's words."""
+    found = run_scorer(clips, backend("qwen3_alignment"), "_code")
+    frames = F.round(F.col("duration") * F.col("sample_rate")).cast("long")
+    return alignment_columns(found, "text", "words", frames, F.col("sample_rate"), tolerance_ms).drop("words", "_code")
+
+
+def diarized(clips: DataFrame) -> DataFrame:
+    """clips with the senko_ columns, from the diarizer's turns."""
+    found = run_scorer(clips, backend("senko"), "_code")
+    silent = F.col("_code").isNull() & F.col("merged").isNull() & F.col("raw").isNull()
+    return diarization_columns(found, "merged", "raw", "merged_speakers", "timing", silent).drop("merged", "raw", "merged_speakers", "timing", "_code")
+
+
+def punctuated(clips: DataFrame, transcript: str, column: str = "text_punctuated", text: str = "text", min_match: float = 0.6) -> DataFrame:
+    """clips with the text's own words and the marks of a transcript; empty where too few words match."""
+    moved = transfer_punctuation(min_match)(named(text), named(transcript))
+    return clips.withColumn("_moved", moved).withColumn(column, F.coalesce("_moved.text", F.lit(""))).drop("_moved")
 
 
 def output_type(metric: str) -> T.StructType:

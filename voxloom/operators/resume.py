@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..functions.arrays import identity_hash
 from ..schema import named
 
-FINGERPRINT = "input_fingerprint"
+FINGERPRINT, RESUMABLE = "input_fingerprint", "_resumable"
 
 
 def checkpoint_path(folder: str, operator: str, column: str, settings: dict) -> str:
@@ -60,6 +60,23 @@ def resume(clips: DataFrame, cached: DataFrame, run, columns: list[str], key: st
     return restore(clips, cached, columns, key, fingerprint).unionByName(run(todo(clips, cached, key, fingerprint)), allowMissingColumns=True)
 
 
+def kept_runs(spark: SparkSession, path: str) -> list[str]:
+    """The finished runs below a checkpoint's path, in order."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted(x.getPath().getName() for x in fs.listStatus(at)) if fs.exists(at) else []
+    return [n for n in names if n.startswith("run=") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+
+
+def kept_results(spark: SparkSession, path: str, runs: list[str]) -> DataFrame:
+    """The last result of each id among runs that may be used again: those marked resumable."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [spark.read.parquet(f"{path}/{n}").withColumn("_run", F.lit(n)) for n in runs])
+    names = [x for x in rows.columns if x not in ("_run", RESUMABLE)]
+    latest = rows.groupBy("id").agg(F.max_by(F.struct(*map(named, [*names, RESUMABLE])), "_run").alias("r"))
+    return latest.select("r.*").where(named(RESUMABLE)).drop(RESUMABLE)
+
+
 def extend(previous: DataFrame, clips: DataFrame, run, key: str = "id") -> DataFrame:
     """A table annotated before, and run's results for clips that it doesn't have."""
     return previous.unionByName(run(clips.join(previous.select(key).distinct(), key, "left_anti")), allowMissingColumns=True)

@@ -110,8 +110,8 @@ def length_batches(durations: list[float], most_seconds: float, most: int) -> li
 
 
 class _Guard:
-    def __init__(self, scorer: Scorer, types: list[pa.DataType]):
-        self.scorer, self.types, self.streak = scorer, types, 0
+    def __init__(self, scorer: Scorer, types: list[pa.DataType], endless: bool = False):
+        self.scorer, self.types, self.streak, self.endless = scorer, types, 0, endless
 
     def values(self, got: Any) -> tuple:
         names = self.scorer.outputs
@@ -130,7 +130,7 @@ class _Guard:
         except Exception as first:  # noqa: BLE001
             out = self.ladder(model, clip, first)
         self.streak = self.streak + 1 if out[1] else 0
-        if self.streak >= s.most_failures:
+        if self.streak >= s.most_failures and not self.endless:
             raise RuntimeError(f"{type(s).__name__}: {self.streak} clips failed in an unbroken row, the last with {out[1]}")
         return out
 
@@ -163,11 +163,13 @@ class _Guard:
 ALWAYS = ("id", "duration", "sample_rate", "text")
 
 
-def run_scorer(df: DataFrame, scorer: Scorer, error: str | None = None) -> DataFrame:
+def run_scorer(df: DataFrame, scorer: Scorer, error: str | None = None, optional: bool = False) -> DataFrame:
     """df with the scorer's columns, and with `error` a column of error codes. Packages are checked
     here, before the plan is built. Only the scorer's inputs become Python values; the other columns
-    pass through as they are, NaN and all."""
-    if gone := missing_packages(scorer):
+    pass through as they are, NaN and all. An optional scorer doesn't stop the job: where its packages are
+    missing, or missing in a worker, every clip fails with dependency_error, and no row of failures is too long."""
+    gone = missing_packages(scorer)
+    if gone and not optional:
         raise ImportError(f"{type(scorer).__name__} needs packages that aren't installed: pip install {' '.join(gone)}")
     names = list(scorer.outputs)
     inputs = [x for x in df.columns if scorer.inputs is None or x in scorer.inputs or x in ALWAYS]
@@ -177,8 +179,18 @@ def run_scorer(df: DataFrame, scorer: Scorer, error: str | None = None) -> DataF
     types = list(to_arrow_schema(added).types)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, guard = cached_model(scorer), _Guard(scorer, types[: len(names)])
+        guard = _Guard(scorer, types[: len(names)], endless=optional)
+        try:
+            model, absent = None if gone else cached_model(scorer), bool(gone)
+        except ImportError:
+            if not optional:
+                raise
+            absent = True
         for batch in batches:
+            if absent:
+                failed = [pa.array([v.as_py()] * batch.num_rows, t) for v, t in zip(guard.typed(scorer.failed()), types)]
+                yield pa.RecordBatch.from_arrays([*map(batch.column, own), *failed, *([pa.array(["dependency_error"] * batch.num_rows)] if error else [])], schema.fieldNames())
+                continue
             clips = batch.select(inputs).to_pylist()
             seconds = [float(x.get("duration") or 0.0) for x in clips]
             got: list[tuple[tuple, str | None]] = [((), None)] * len(clips)
@@ -230,14 +242,16 @@ class Recognizer(Scorer):
         return text
 
 
-def candidate_columns(df: DataFrame, recognizer: Recognizer, name: str) -> DataFrame:
-    """df with asr_<name>_id, _status (ok, no_speech or error), _text and _error_code. The text is empty
-    unless the status is ok; of an error only the code is kept."""
+def candidate_columns(df: DataFrame, recognizer: Scorer, name: str, columns: dict[str, str] | None = None) -> DataFrame:
+    """df with asr_<name>_id, _status (ok, no_speech or error), _text and _error_code, or as `columns` names them
+    (by id, status, text, error_code). The text is empty unless the status is ok; of an error only the code is kept."""
     found = run_scorer(df, recognizer, "_code")
+    named_as = {k: f"asr_{name}_{k}" for k in ("id", "status", "text", "error_code")} | (columns or {})
     status = F.when(F.col("_code").isNotNull(), "error").when(is_blank(F.col("transcript")), "no_speech").otherwise("ok")
-    found = found.withColumn(f"asr_{name}_status", status)
-    ok = F.col(f"asr_{name}_status") == "ok"
-    return found.withColumns({f"asr_{name}_id": F.lit(name), f"asr_{name}_text": F.when(ok, F.col("transcript")).otherwise(""), f"asr_{name}_error_code": F.coalesce("_code", F.lit(""))}).drop("transcript", "_code")
+    found = found.withColumn("_status", status)
+    ok = F.col("_status") == "ok"
+    values = {"id": F.lit(name), "status": F.col("_status"), "text": F.when(ok, F.col("transcript")).otherwise(""), "error_code": F.coalesce("_code", F.lit(""))}
+    return found.withColumns({named_as[k]: v for k, v in values.items()}).drop("transcript", "_code", "_status")
 
 
 def resumable(status: Column) -> Column:

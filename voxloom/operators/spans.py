@@ -31,9 +31,9 @@ def alignment_status(text: Column, words: Column, frames: Column, sample_rate: C
     return F.when(is_blank(text), "empty_text").when(~alignment_valid(words), "error").when(inside, "ok").otherwise("out_of_bounds")
 
 
-def alignment_columns(df: DataFrame, text: str, words: str, frames: Column, sample_rate: Column) -> DataFrame:
+def alignment_columns(df: DataFrame, text: str, words: str, frames: Column, sample_rate: Column, tolerance_ms: int = 80) -> DataFrame:
     """df with the alignment as compact JSON ([] unless it stands) and its status."""
-    status = alignment_status(named(text), named(words), frames, sample_rate)
+    status = alignment_status(named(text), named(words), frames, sample_rate, tolerance_ms)
     return df.withColumn("qwen3_alignment_status", status).withColumn("qwen3_alignment", F.when(F.col("qwen3_alignment_status").isin("ok", "out_of_bounds"), F.to_json(named(words))).otherwise("[]"))
 
 
@@ -96,6 +96,17 @@ def sentences(words: DataFrame, clip: str, order: str, file_seconds: Column, buf
     )
 
 
+def clip_sentences(clips: DataFrame, words: str = "words", folder: str | None = None, buffer: float = 0.5) -> DataFrame:
+    """A row for each sentence of each clip, from the clip's words (word, start, end) and duration: the clip's columns
+    but for its words and text, and sentence, text, start_timestamp, end_timestamp; with a folder also
+    audio_file, the sentence's own file there."""
+    each = clips.select("id", "duration", F.posexplode(named(words)).alias("_at", "_w")).select("id", "duration", "_at", "_w.word", "_w.start", "_w.end")
+    found = sentences(each, "id", "_at", F.col("duration"), buffer)
+    kept = clips.drop(words, "text", "sentence", "start_timestamp", "end_timestamp")
+    out = kept.join(found, "id")
+    return out.withColumn("audio_file", sentence_file(F.col("audio_file"), F.col("sentence"), folder)) if folder else out
+
+
 def sentence_file(path: Column, sentence: Column, folder: str) -> Column:
     stem = F.regexp_replace(F.substring_index(path, "/", -1), r"\.[^.]*$", "")
     return F.concat(F.lit(folder.rstrip("/") + "/"), stem, F.lit("_"), F.lpad(sentence.cast("string"), 8, "0"), F.regexp_extract(path, r"(\.[^./]*)$", 1))

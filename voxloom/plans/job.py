@@ -17,16 +17,18 @@ branches of one plan over the same rows; Spark runs them together, no join is ne
 from __future__ import annotations
 
 import os
+import pathlib
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field, fields
+from functools import reduce
 from typing import Any
 
 import yaml
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import metrics, quality, resume
+from ..operators import metrics, quality, resume, scoring, spans
 from ..operators.consensus import consensus_columns
 from ..operators.metrics import MODELS, SIGNAL_COLUMNS
 from ..operators.speakers import assign_speakers, cluster_speakers
@@ -67,6 +69,20 @@ STEPS: dict[str, Step] = {
         lambda o: CONSENSUS + ["text"] * bool(o.get("overwrite_text")), frozenset({"candidates", "prefer_punctuated", "overwrite_text"}),
     ),
     "speakers": Step(_label_speakers, lambda o: ["id", "speaker_embedding"], lambda o: ["speaker", "speaker_conf", "speaker_margin"], frozenset({"distance", "threshold", "margin"})),
+    "candidate": Step(
+        lambda df, backend, name, **o: scoring.candidate_columns(df, metrics.backend(backend), name, **o), lambda o: ["audio_file"],
+        lambda o: list(({k: f"asr_{o['name']}_{k}" for k in ("id", "status", "text", "error_code")} | o.get("columns", {})).values()), frozenset({"backend", "name", "columns"}),
+    ),
+    "transcribe": Step(
+        lambda df, **o: metrics.transcribed(df, **o), lambda o: ["audio_file", "text"],
+        lambda o: [f"asr_text_{b.removeprefix('asr_')}" for b in o["backends"]] + ["asr_chosen_backend", "asr_agreement"] + ["asr_low_confidence"] * (o.get("min_agreement") is not None) + ["text"] * o.get("overwrite_text", True),
+        frozenset({"backends", "only_missing", "overwrite_text", "min_agreement", "prefer_punctuated"}),
+    ),
+    "align": Step(lambda df, **o: metrics.aligned(df, **o), lambda o: ["audio_file", "text", "duration", "sample_rate"], lambda o: ["qwen3_alignment_status", "qwen3_alignment"], frozenset({"tolerance_ms"})),
+    "diarize": Step(lambda df: metrics.diarized(df), lambda o: ["audio_file"], lambda o: [f"senko_{x}" for x in ("status", "segments", "raw_segments", "num_speakers", "timing")]),
+    "labelled": Step(lambda df, **o: metrics.labelled(df, **o), lambda o: [o["logits"]], lambda o: [o["columns"]] if isinstance(o["columns"], str) else list(o["columns"]), frozenset({"logits", "labels", "output", "columns", "target"})),
+    "punctuation": Step(lambda df, **o: metrics.punctuated(df, **o), lambda o: ["text", o["transcript"]], lambda o: [o.get("column", "text_punctuated")], frozenset({"transcript", "column", "min_match"})),
+    "sentences": Step(lambda df, **o: spans.clip_sentences(df, **o), lambda o: ["id", "audio_file", "duration", o.get("words", "words")], lambda o: ["sentence", "text", "start_timestamp", "end_timestamp"], frozenset({"words", "folder", "buffer"})),
     "reasons": Step(lambda df, **o: quality.with_reasons(df, _thresholds(o)), lambda o: [], lambda o: ["reasons"], LIMITS),
     "clean": Step(lambda df, **o: quality.clean(df, _thresholds(o)), lambda o: [], lambda o: [], LIMITS),
 }
@@ -80,6 +96,7 @@ class Job:
     name: str = "job"
     checkpoints: str | None = None
     resume: bool = True
+    fingerprint: list[str] = field(default_factory=list)  # columns; a clip in which they changed is done anew
 
 
 def filled(value: Any) -> Any:
@@ -126,6 +143,14 @@ def _step(s: dict) -> tuple[Step, dict]:
     return step, options
 
 
+PRESETS = pathlib.Path(__file__).parent / "presets"
+
+
+def preset(name: str, **overrides: Any) -> Job:
+    """One of the jobs that come with the package, by name."""
+    return parse_job((PRESETS / f"{name}.yaml").read_text(encoding="utf-8"), **overrides)
+
+
 def flat_steps(steps: list[dict]) -> Iterator[dict]:
     for s in steps:
         if "lanes" in s:
@@ -199,27 +224,43 @@ def write(df: DataFrame, writer: dict, columns: list[str]) -> None:
 
 
 def build(spark: SparkSession, job: Job) -> DataFrame:
-    """The job's plan. With checkpoints, clips whose results are kept there skip the steps."""
+    """The job's plan, without what earlier runs have kept."""
     df = read(spark, job.reader)
     check_steps(job.steps, df.columns)
-    if not job.checkpoints:
-        return apply_steps(df, job.steps)
-    path = resume.checkpoint_path(job.checkpoints, "job", job.name, {"steps": job.steps})
-    if not (job.resume and sinks.is_done(spark, path)):
-        return apply_steps(df, job.steps)
-    cached = spark.read.parquet(path)
-    return resume.resume(df, cached, lambda rest: apply_steps(rest, job.steps), declared(job.steps))
+    return apply_steps(df, job.steps)
 
 
 def run_job(spark: SparkSession, job: Job) -> None:
-    df = build(spark, job)
-    if job.checkpoints:
-        require(df, ["id"], "a job with checkpoints")
-        path = resume.checkpoint_path(job.checkpoints, "job", job.name, {"steps": job.steps})
-        new = df if not sinks.is_done(spark, path) else df.join(spark.read.parquet(path).select("id"), "id", "left_anti")
-        new.select("id", *declared(job.steps)).write.mode("append").parquet(path)
-        df = build(spark, Job(**{**vars(job), "resume": True}))
-    write(df, job.writer, declared(job.steps))
+    """Run the steps and write. With checkpoints, results are kept by id: a clip that an earlier run has done with
+    the same steps, and whose fingerprint (a hash of the columns that the job names) is unchanged, skips
+    the steps. Clips of which a status says error are kept for this run's output alone and tried again by
+    the next one; other failure values stand. A run counts when all of it is written. Clips that
+    share an id share results."""
+    if not job.checkpoints:
+        return write(build(spark, job), job.writer, declared(job.steps))
+    if any(s["step"] == "sentences" for s in flat_steps(job.steps)):
+        raise ValueError("results are kept by clip, so a step that makes several rows of one takes no checkpoints")
+    df = read(spark, job.reader)
+    check_steps(job.steps, df.columns)
+    require(df, ["id", *job.fingerprint], "a job with checkpoints")
+    columns = declared(job.steps)
+    path = resume.checkpoint_path(job.checkpoints, "job", job.name, {"steps": job.steps, "fingerprint": job.fingerprint})
+    mark = resume.FINGERPRINT if job.fingerprint else None
+    if mark:
+        df = df.withColumn(mark, F.sha2(F.to_json(F.struct(*[F.coalesce(F.col(x).cast("string"), F.lit("\0")).alias(x) for x in job.fingerprint])), 256))
+    runs = resume.kept_runs(spark, path)
+    old = resume.kept_results(spark, path, runs) if runs and job.resume else None
+    new = df if old is None else resume.todo(df, old, "id", mark)
+    done = apply_steps(new, job.steps)
+    failed = [F.col(x) == "error" for x in columns if x.endswith("_status") and x in done.columns]
+    kept = done.withColumn(resume.RESUMABLE, ~reduce(lambda a, b: a | b, [F.coalesce(x, F.lit(False)) for x in failed], F.lit(False)))
+    run = f"{path}/run={int(runs[-1][4:]) + 1 if runs else 0:08d}"
+    kept.select("id", *[mark] * bool(mark), resume.RESUMABLE, *columns).write.mode("overwrite").parquet(run)
+    fresh = spark.read.parquet(run).drop(resume.RESUMABLE)
+    out = resume.restore(new, fresh.dropDuplicates(["id"]), columns, "id", mark)
+    if old is not None:
+        out = resume.restore(df, old, columns, "id", mark).unionByName(out)
+    write(out.drop(mark) if mark else out, job.writer, columns)
 
 
 def sweep(spark: SparkSession, root: str, make: Callable[[str, str], Job], done: Callable[[str], str], only: set[str] | None = None) -> dict[str, str]:

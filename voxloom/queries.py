@@ -6,8 +6,6 @@ and labels, so that nulls, NaN and sentinels all occur.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -20,6 +18,7 @@ from .functions import arrays, numbers, signal, text
 from .operators import consensus, metrics, quality, resume, scoring, spans, speakers
 from .sources import clips as source
 from .sources import sinks
+from .storage import new_folder
 
 LIMITS = quality.Thresholds(human_text=frozenset({"en", "fr"}), asr_text=frozenset({"de", "es"}))
 
@@ -41,12 +40,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, stem: str) -> str:
-    """A new folder that driver and executors share."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{(named or tempfile.gettempdir()).rstrip('/')}/{stem}_{uuid.uuid4().hex}"
-
-
 def clips(spark: SparkSession, sf: str) -> DataFrame:
     d, e, l = (table(spark, sf, x) for x in ("documents", "events", "labels"))
     rows = d.join(e.select("event_id", "value"), d["doc_id"] == e["event_id"], "left").join(l, "doc_id", "left")
@@ -117,7 +110,7 @@ def row_shard(spark, sf):
     """Five files of clips without ids, sharded by row number within the file."""
     from .plans.job import row_shard as shard
 
-    path = scratch(spark, "rows")
+    path = new_folder(spark, "rows")
     d = table(spark, sf, "documents").select((F.col("doc_id") % 5).alias("part"), F.col("doc_id").cast("string").alias("audio_file"))
     d.repartition(5, "part").sortWithinPartitions("part", F.col("audio_file").cast("long")).write.partitionBy("part").options(**sinks.CSV_OUT).csv(path)
     read = source.read_csv(spark, path, one_header=True).withColumn("row", F.substring_index("id", "/", -1).cast("int"))
@@ -133,7 +126,7 @@ def only_missing_fill(spark, sf):
 
 @query("SELECT doc_id AS id, text, lang AS dataset FROM documents")
 def csv_round_trip(spark, sf):
-    path = scratch(spark, "csv")
+    path = new_folder(spark, "csv")
     d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), F.concat(F.lit("clips/"), "doc_id", F.lit(".wav")).alias("audio_file"), "text", F.col("lang").alias("dataset"))
     sinks.write_csv(d, path, declared=["late"])
     return source.read_csv(spark, path).select(F.col("id").cast("long").alias("id"), "text", "dataset")
@@ -141,7 +134,7 @@ def csv_round_trip(spark, sf):
 
 @query("SELECT doc_id AS id, text, n_chars / 150.0::DOUBLE AS duration FROM documents")
 def jsonl_round_trip(spark, sf):
-    path = scratch(spark, "jsonl")
+    path = new_folder(spark, "jsonl")
     d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), F.concat(F.lit("clips/"), "doc_id", F.lit(".wav")).alias("audio_file"), "text", (F.col("n_chars") / 150.0).alias("duration"))
     sinks.write_jsonl(d, path)
     return source.read_jsonl(spark, path, "id string, audio_file string, text string, duration double").select(F.col("id").cast("long").alias("id"), "text", "duration")
@@ -158,7 +151,7 @@ def sidecar_join(spark, sf):
 @query("SELECT source AS dataset, row_number() OVER (ORDER BY SUM(octet_length(encode(text))), source)::INTEGER AS place FROM documents WHERE source IS NOT NULL AND text IS NOT NULL GROUP BY source")
 def dataset_order(spark, sf):
     """A data set for each source, as large as its texts."""
-    path = scratch(spark, "sets")
+    path = new_folder(spark, "sets")
     d = table(spark, sf, "documents").where("source IS NOT NULL AND text IS NOT NULL")
     d.select("source", F.base64(F.encode("text", "UTF-8")).alias("text")).repartition(1, "source").write.partitionBy("source").text(path)
     found = source.datasets(spark, path, ".txt").select(F.regexp_replace("dataset", "^source=", "").alias("dataset"), "length")
@@ -314,6 +307,23 @@ def failure_streak(spark, sf):
     return spans.failure_streaks(table(spark, sf, "events"), "user_id", "event_id", F.col("value") > 60)
 
 
+@query(r"""WITH c AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN text || ' and more' ELSE text END AS text, n_chars / 150.0::DOUBLE AS duration FROM documents),
+t AS (SELECT *, trim(text, E' \t\n\r\f\v') AS s FROM c)
+SELECT doc_id, CASE WHEN s = '' OR duration <= 0 THEN 0 ELSE length(replace(s, ' ', '')) / duration END AS speaking_rate, CASE WHEN duration > 0 THEN length(s) / duration ELSE 0 END AS char_rate FROM t""")
+def job_resume(spark, sf):
+    """A job over two thirds of the documents, then over all of them, of which a fifth has changed: what the first run
+    did and still holds comes from its checkpoint."""
+    from .plans import job as jobs
+
+    folder = new_folder(spark, "job")
+    d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), F.concat(F.lit("clips/"), "doc_id", F.lit(".wav")).alias("audio_file"), "text", (F.col("n_chars") / 150.0).alias("duration"))
+    changed = d.withColumn("text", F.when(F.col("id").cast("long") % 5 == 0, F.concat("text", F.lit(" and more"))).otherwise(F.col("text")))
+    for k, rows in enumerate((d.where("id % 3 <> 0"), changed)):
+        rows.write.parquet(f"{folder}/in_{k}")
+        jobs.run_job(spark, jobs.Job({"type": "parquet", "path": f"{folder}/in_{k}"}, {"type": "parquet", "path": f"{folder}/out_{k}"}, [{"step": "speaking_rate"}], "resume", f"{folder}/kept", fingerprint=["text"]))
+    return spark.read.parquet(f"{folder}/out_1").select(F.col("id").cast("long").alias("doc_id"), "speaking_rate", "char_rate")
+
+
 # quality
 
 
