@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..storage import delete_folder, new_folder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: White space of the word rule, and a word.
@@ -14,6 +20,9 @@ SPACES = r"\x20\x09-\x0D"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+SLICE = 4 << 20
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -33,19 +42,23 @@ def fresh(df: DataFrame, stem: str) -> str:
     return name
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a
-    temporary one where the session names none (tests on one machine)."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not named:
-        if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="voxloom_"))
-        named = spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return named.rstrip("/")
+#: Folders and tables that the operators have made, for clean_up().
+_made: list[tuple[str, str]] = []
 
 
 def new_dir(spark: SparkSession, stem: str) -> str:
-    return f"{shared_dir(spark)}/{stem}_{uuid.uuid4().hex}"
+    path = new_folder(spark, stem)
+    _made.append((path, ""))
+    return path
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete the tables between steps. Results that haven't been written need them."""
+    while _made:
+        path, table = _made.pop()
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        delete_folder(spark, path)
 
 
 def stash(df: DataFrame, stem: str) -> DataFrame:
@@ -70,20 +83,48 @@ def id_keys(x: Column) -> list[Column]:
     return [F.coalesce(x.cast("string"), F.lit("")), x.isNull()]
 
 
-def chunked(rows: DataFrame, stem: str, chunk_rows: int) -> DataFrame:
-    """rows as a table in the shared folder, with rid (a number of each row) and chunk (about chunk_rows
-    neighbouring rows have one). It is bucketed by chunk, so grouping and joining by chunk
-    moves what comes to the rows, not the rows. The table's name is the session's."""
+def bucketed(rows: DataFrame, stem: str, by: str) -> DataFrame:
+    """rows as a table in the shared folder, bucketed by a column: grouping and joining by it moves what
+    comes to the rows, not the rows. The table's name is the session's."""
     spark = rows.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.withColumn("rid", F.monotonically_increasing_id())
-    rows = rows.withColumn("chunk", F.shiftright("rid", 33) * (1 << 23) + F.expr(f"(rid & {(1 << 33) - 1}) div {chunk_rows}"))
     path = new_dir(spark, stem)
     name = path.rpartition("/")[2]
-    rows.write.options(path=path, compression="zstd").bucketBy(buckets, "chunk").sortBy("chunk").saveAsTable(name)
+    rows.write.options(path=path, compression="zstd").bucketBy(buckets, by).sortBy(by).saveAsTable(name)
+    _made.append((path, name))
     return spark.table(name)
 
 
+def slices(batch: pa.RecordBatch, text: str, most: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about `most` bytes of text, or one longer text."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(upto):
+        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + most, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def chunked(rows: DataFrame, stem: str, chunk_bytes: int, text: str = "text") -> DataFrame:
+    """rows as a table in the shared folder, with rid (a number of each row) and chunk (neighbouring rows with about
+    chunk_bytes of text, or one longer text, have one), bucketed by chunk."""
+    own = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        row, chunk, size = part << 33, part << 23, 0
+        for batch in batches:
+            for piece in slices(batch, text, chunk_bytes):
+                if size and size + piece.column(text).nbytes > chunk_bytes:
+                    chunk, size = chunk + 1, 0
+                size += piece.column(text).nbytes
+                yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(np.arange(row, row + piece.num_rows)), pa.array(np.full(piece.num_rows, chunk))], [*own, "rid", "chunk"])
+                row += piece.num_rows
+
+    schema = T.StructType([*rows.schema, T.StructField("rid", T.LongType()), T.StructField("chunk", T.LongType())])
+    return bucketed(rows.mapInArrow(run, schema), stem, "chunk")
+
+
 def lower_az(text: Column) -> Column:
     """A-Z to lower case, nothing else. lower() does that for ASCII texts, and
     faster than translate()."""

@@ -31,13 +31,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import c, documents, id_keys, kept_once, lower_az, stash
-from .token_files import slices
+from .common import bucketed, c, documents, id_keys, kept_once, lower_az, slices, stash
 
 #: Generator polynomial of the [23, 12, 7] Golay code.
 GENERATOR, LENGTH, CHECKS = 0b101011100011, 23, 11
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 SHINGLE, SEED, BITS, PAIRS = 3, 42, 2, 64
+#: similar_rows: standard deviations of differing SimHash bits that are let pass, and the most rows and shingles of a block.
+SIGMAS, BLOCK_ROWS, BLOCK_SHINGLES = 6, 2048, 4_000_000
+MOST_SEEN = 200_000
 
 
 def syndrome(words: np.ndarray) -> np.ndarray:
@@ -189,7 +191,7 @@ def _by_points(crowded: DataFrame) -> DataFrame:
     return stars.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).where("a < b").distinct()
 
 
-def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """v, label of every vertex of edges (a, b), label being the least vertex reachable.
 
     Vertices take the least label among their neighbours', then their label's label,
@@ -197,7 +199,7 @@ def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
     share a label, which the join on labels can split."""
     both = stash(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
     labels = stash(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels")
-    for _ in range(rounds):
+    while True:
         seen = both.join(labels, both["b"] == labels["v"]).groupBy("a").agg(F.min("label").alias("least"))
         own = labels.join(seen, labels["v"] == seen["a"]).select("v", F.col("label").alias("old"), F.least("label", "least").alias("mid"))
         jump = labels.select(F.col("v").alias("w"), F.col("label").alias("far"))
@@ -206,7 +208,6 @@ def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
         labels = new.drop("old")
         if not changed:
             return labels
-    raise RuntimeError(f"components still change after {rounds} rounds")
 
 
 def near_components(rows: DataFrame, most_bits: int = BITS, most_pairs: int = PAIRS) -> DataFrame:
@@ -253,7 +254,7 @@ def mixed_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 def sketched(text: bytes, shingle: int, sketches: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-    """Of a normalised text: a hash of its words, the set of its shingles' hashes, and for each
+    """Of a normalised text: a hash of its words, the set of its shingles' 32-bit hashes, and for each
     sketch the least hash of a shingle and a SimHash of 23 bits."""
     flat = b" ".join(text.split())
     words = flat.split()
@@ -267,7 +268,7 @@ def sketched(text: bytes, shingle: int, sketches: int) -> tuple[int, np.ndarray,
         three = np.ascontiguousarray(x).view(np.uint8).reshape(sketches, -1, 8)[:, :, :3]
         counts += np.unpackbits(three, axis=2, bitorder="little").sum(axis=1, dtype=np.int64)
     bits = 2 * counts[:, :LENGTH] > len(of)
-    return digest(flat, SEED), of, least, (bits * (1 << np.arange(LENGTH))).sum(axis=1).astype(np.uint32)
+    return digest(flat, SEED), np.unique((of >> np.uint64(32)).astype("<u4")), least, (bits * (1 << np.arange(LENGTH))).sum(axis=1).astype(np.uint32)
 
 
 def sketch_keys(least: np.ndarray, words: np.ndarray, errors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -281,118 +282,93 @@ def sketch_keys(least: np.ndarray, words: np.ndarray, errors: np.ndarray) -> tup
 
 
 def _sketches(df: DataFrame, id_col: str, text_col: str, text_hash: Column, shingle: int, sketches: int) -> DataFrame:
-    """id, h, d (the hash of the words), least, simhash and shingles of each row."""
-    names = ["d", "least", "simhash", "shingles"]
-    rows = df.select(c(id_col).alias("id"), text_hash.alias("h"), lower_az(F.coalesce(c(text_col), F.lit(""))).alias("norm"))
+    """id, h and d (the hash of the words) of each row; n (the number of shingles), least, simhash and shingles
+    with the first row of a task that has the words, and k: d there, a hash of the row elsewhere, so that
+    dealing by k brings the sets of equal texts together and no crowd of rows."""
+    names = ["d", "k", "n", "least", "simhash", "shingles"]
+    rows = df.select(c(id_col).alias("id"), text_hash.alias("h"), F.xxhash64(c(id_col), text_hash).alias("k"), lower_az(F.coalesce(c(text_col), F.lit(""))).alias("norm"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for piece in slices(batch, "norm"):
                 found = [sketched(t.as_buffer().to_pybytes(), shingle, sketches) for t in piece.column("norm").cast(pa.large_string())]
-                d = pa.array(np.array([f[0] for f in found], np.uint64).view(np.int64))
-                blobs = [pa.array([f[k].tobytes() for f in found], pa.binary()) for k in (2, 3, 1)]
-                yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("h"), d, *blobs], ["id", "h", *names])
+                d = np.array([f[0] for f in found], np.uint64).view(np.int64)
+                first = []
+                for x in d.tolist():
+                    first.append(x not in seen)
+                    if len(seen) < MOST_SEEN:
+                        seen.add(x)
+                k = np.where(first, d, piece.column("k").to_numpy(zero_copy_only=False))
+                n = pa.array([len(f[1]) if own else None for f, own in zip(found, first)], pa.int64())
+                blobs = [pa.array([f[i].tobytes() if own else None for f, own in zip(found, first)], pa.binary()) for i in (2, 3, 1)]
+                yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("h"), pa.array(d), pa.array(k), n, *blobs], ["id", "h", *names])
 
-    return rows.mapInArrow(run, T.StructType([rows.schema["id"], rows.schema["h"], *(T.StructField(x, T.LongType() if x == "d" else T.BinaryType()) for x in names)]))
+    return rows.mapInArrow(run, T.StructType([rows.schema["id"], rows.schema["h"], *(T.StructField(x, T.LongType() if x in ("d", "k", "n") else T.BinaryType()) for x in names)]))
 
 
-def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches sorted by key, cut anew so that no key's rows are in two."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key = batch.column("key").to_numpy(zero_copy_only=False)
-        last = int(np.searchsorted(key, key[-1], "left"))
-        if held and last == 0 and held[-1].column("key")[-1].as_py() == key[-1]:
-            held.append(batch)
-            continue
-        first = int(np.searchsorted(key, held[-1].column("key")[-1].as_py(), "right")) if held else 0
-        if held:
-            yield pa.Table.from_batches([*held, batch.slice(0, first)]).combine_chunks().to_batches()[0]
-        if last > first:
-            yield batch.slice(first, last - first)
-        held = [batch.slice(last)]
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+def _stacked(column: pa.Array, kind: type) -> np.ndarray:
+    return np.stack([np.frombuffer(x.as_buffer(), kind) for x in column])
 
 
-def _groups(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
-    """First and last place of each key with several rows."""
-    key = batch.column("key").to_numpy(zero_copy_only=False)
-    cuts = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
-    yield from ((a, b) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()) if b > a + 1)
+def _meets(distinct: DataFrame) -> DataFrame:
+    """key and d of the texts whose key another text has too. Only neighbours are compared, so a key's rows are
+    never held together."""
 
-
-def _words(batch: pa.RecordBatch) -> np.ndarray:
-    return np.stack([np.frombuffer(x.as_buffer(), np.uint32) for x in batch.column("simhash")])
-
-
-def _meets(keyed: DataFrame) -> DataFrame:
-    """The rows of keys that several have."""
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        errors = nearby_errors()
+        for batch in batches:
+            if batch.num_rows:
+                keys, owners = sketch_keys(_stacked(batch.column("least"), np.uint64), _stacked(batch.column("simhash"), np.uint32), errors)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column("d").take(pa.array(owners))], ["key", "d"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _by_key(batches):
-            key = batch.column("key").to_numpy(zero_copy_only=False)
+        last = [np.zeros(0, np.int64)] * 2
+        before = False  # whether the row held back is like the one before it
+        for batch in batches:
+            key, d = (np.concatenate([x, batch.column(y).to_numpy(zero_copy_only=False)]) for x, y in zip(last, ("key", "d")))
+            if not len(key):
+                continue
             same = key[1:] == key[:-1]
-            yield batch.filter(pa.array(np.r_[False, same] | np.r_[same, False]))
+            met = np.r_[before, same[:-1]] | same if len(same) else np.zeros(0, bool)
+            yield pa.RecordBatch.from_arrays([pa.array(key[:-1][met]), pa.array(d[:-1][met])], ["key", "d"])
+            before, last = bool(same[-1]) if len(same) else before, [key[-1:], d[-1:]]
+        if before:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in last], ["key", "d"])
 
-    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(run, keyed.schema)
+    schema = "key long, d long"
+    return distinct.mapInArrow(keyed, schema).repartition("key").sortWithinPartitions("key").mapInArrow(run, schema)
 
 
-def _shared(rows: DataFrame, met: DataFrame) -> DataFrame:
-    """m, simhash, n (the shingles of a text) and common (those that another text of met has)."""
-    marks = stash(rows.join(met.select(F.col("d").alias("m")).distinct(), F.col("d") == F.col("m"), "left_semi").select(F.col("d").alias("m"), "simhash", "shingles").dropDuplicates(["m"]), "marks")
+def _viable(words: np.ndarray, n: np.ndarray, other_words: np.ndarray, other_n: np.ndarray, bits: int, similarity: float) -> np.ndarray:
+    """Whether texts can be so similar, by their SimHashes and their numbers of shingles."""
+    return (np.minimum(n, other_n) >= similarity * np.maximum(n, other_n) - 1e-9) & (np.bitwise_count(words ^ other_words).sum(axis=1, dtype=np.int64) <= bits)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for m, blob in zip(batch.column("m").to_pylist(), batch.column("shingles")):
-                s = np.frombuffer(blob.as_buffer(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), m)), pa.array(s)], ["m", "s"])
 
-    each = marks.select("m", "shingles").mapInArrow(run, "m long, s long")
-    alone = each.groupBy("s").agg(F.min("m").alias("o"), F.count(F.lit(1)).alias("k")).where("k = 1").groupBy("o").agg(F.count(F.lit(1)).alias("own"))
-    n = F.octet_length("shingles").cast("long") / 8
-    return marks.join(alone, marks["m"] == alone["o"], "left").select("m", "simhash", n.cast("long").alias("n"), (n - F.coalesce("own", F.lit(0))).cast("long").alias("common"))
+def _led(meets: DataFrame, bits: int, similarity: float) -> DataFrame:
+    """a, b: each row of a key with the key's leader, the row with the least hash, where they can be similar."""
+    leads = meets.groupBy("key").agg(F.min_by(F.struct("d", "n", "simhash"), F.xxhash64("key", "d")).alias("o")).select("key", F.col("o.d").alias("e"), F.col("o.n").alias("m"), F.col("o.simhash").alias("lead"))
+    both = meets.join(leads, "key").where("d <> e").select("d", "n", "simhash", "e", "m", "lead")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                d, n, e, m = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("d", "n", "e", "m"))
+                good = _viable(_stacked(batch.column("simhash"), np.uint32), n, _stacked(batch.column("lead"), np.uint32), m, bits, similarity)
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(d, e)[good]), pa.array(np.maximum(d, e)[good])], ["a", "b"])
 
-def _candidates(meets: DataFrame, bits: int, similarity: float, apart: bool) -> DataFrame:
-    """a, b under one key whose SimHashes differ in at most so many bits, and which can be similar:
-    they have no more in common than either has with any text. First each row comes with one
-    other, a leader; then (apart) those pairs whose labels still differ."""
+    return both.mapInArrow(run, "a long, b long").distinct()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _by_key(batches):
-            d, words = batch.column("d").to_numpy(zero_copy_only=False), _words(batch)
-            label = batch.column("label").to_numpy(zero_copy_only=False) if apart else None
-            n, common = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("n", "common"))
-
-            def far(i: int, those: np.ndarray) -> np.ndarray:
-                most = np.minimum(common[i], common[those])
-                return (np.bitwise_count(words[i] ^ words[those]).sum(axis=1, dtype=np.int64) > bits) | (most < similarity * (n[i] + n[those] - most) - 1e-9)
-
-            for first, last in _groups(batch):
-                left, out = np.arange(first, last), []
-                if apart and (label[left] == label[first]).all():
-                    continue
-                while len(left) > 1:
-                    i, left = left[0], left[1:]
-                    those = left[label[left] != label[i]] if apart else left
-                    away = far(i, those)
-                    near = those[~away]
-                    out.append((np.full(len(near), d[i]), d[near]))
-                    if not apart:
-                        left = left[away]
-                a, b = (np.concatenate(x) for x in zip(*out))
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    return meets.repartition("key").sortWithinPartitions("key", "d").mapInArrow(run, "a long, b long").distinct()
+def _sets(rows: DataFrame, ds: DataFrame) -> DataFrame:
+    """d and shingles of the texts d of ds."""
+    need = ds.select(F.col("d").alias("v")).distinct()
+    return rows.where("n IS NOT NULL").select("k", "shingles").join(need, F.col("k") == F.col("v"), "left_semi").dropDuplicates(["k"]).withColumnRenamed("k", "d")
 
 
 def _similar(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose sets of shingles are so similar, by Jaccard."""
-    need = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
-    sets = rows.join(need, rows["d"] == need["v"], "left_semi").select("d", "shingles").dropDuplicates(["d"])
+    sets = _sets(rows, pairs.select(F.explode(F.array("a", "b")).alias("d")))
     x, y = (sets.select(F.col("d").alias(f"d_{k}"), F.col("shingles").alias(f"s_{k}")) for k in "ab")
     both = pairs.join(x, pairs["a"] == x["d_a"]).join(y, pairs["b"] == y["d_b"]).select("a", "b", "s_a", "s_b")
 
@@ -400,7 +376,7 @@ def _similar(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
         for batch in batches:
             keep = []
             for s, t in zip(batch.column("s_a"), batch.column("s_b")):
-                s, t = (np.frombuffer(z.as_buffer(), np.uint64) for z in (s, t))
+                s, t = (np.frombuffer(z.as_buffer(), "<u4") for z in (s, t))
                 common = len(np.intersect1d(s, t, assume_unique=True))
                 keep.append(common >= similarity * (len(s) + len(t) - common) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -408,38 +384,123 @@ def _similar(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def similar_rows(df: DataFrame, id_col: str, text_col: str, text_hash: Column, shingle: int = 5, similarity: float = 0.8, sketches: int = 10) -> DataFrame:
-    """id, h, d and label of each row; rows reachable over links have one label.
+UNIT = ["key", "x", "y"]
+
+
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each unit, of batches sorted by unit."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cells = np.stack([batch.column(x).to_numpy(zero_copy_only=False) for x in UNIT])
+        cuts = [0, *(np.flatnonzero((cells[:, 1:] != cells[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for first, last in zip(cuts, cuts[1:]):
+            if held and any(held[-1].column(x)[-1].as_py() != v for x, v in zip(UNIT, cells[:, first].tolist())):
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            held.append(batch.slice(first, last - first))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _apart(meets: DataFrame, found: DataFrame, bits: int, similarity: float) -> DataFrame:
+    """key, x, y, d and label of the rows that can be similar to a row of the same key with another label.
 
-    Texts link if their words are equal or the Jaccard similarity of their sets of word shingles
-    is at least similarity. Candidates share a sketch's least hash and a Golay codeword near its
-    SimHash; each is verified by its sets. A key's rows are first compared with leaders; where
-    that leaves several components under a key, the pairs between these are compared too."""
-    rows = stash(_sketches(df, id_col, text_col, text_hash, shingle, sketches), "sketches")
-    distinct = rows.groupBy("d").agg(F.first("least").alias("least"), F.first("simhash").alias("simhash"))
+    Keys that have several labels are dealt as units: a key with more than BLOCK_ROWS rows or BLOCK_SHINGLES
+    shingles is cut into blocks by hash, and every two blocks make a unit. Of the keys that
+    two texts share, only the least counts."""
+    labelled = meets.join(found, meets["d"] == found["v"], "left").select("key", "d", "n", "least", "simhash", F.coalesce("label", "d").alias("label"))
+    keys = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("rows"), F.sum("n").alias("sum"))
+    blocks = F.ceil(F.greatest(F.col("rows") / BLOCK_ROWS, F.col("sum") / BLOCK_SHINGLES)).cast("int")
+    keys = keys.where("lo <> hi").select(F.col("key").alias("k"), blocks.alias("blocks"))
+    dealt = labelled.join(keys, F.col("key") == F.col("k")).withColumn("own", F.expr("int(pmod(xxhash64(d), blocks))")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "d", "label", "n", "least", "simhash")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         errors = nearby_errors()
-        for batch in batches:
-            if batch.num_rows:
-                least = np.stack([np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("least")])
-                keys, owners = sketch_keys(least, _words(batch), errors)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column("d").take(pa.array(owners))], ["key", "d"])
+        for unit in _units(batches):
+            words, least = _stacked(unit.column("simhash"), np.uint32), _stacked(unit.column("least"), np.uint64)
+            n, label = (unit.column(x).to_numpy() for x in ("n", "label"))
+            keys, owner = sketch_keys(least, words, errors)
+            order = np.lexsort((keys, owner))
+            keys, owner = keys[order], owner[order]
+            upto = np.searchsorted(owner, np.arange(len(n) + 1))
+            table = np.full((len(n), np.diff(upto).max()), np.iinfo(np.int64).max)
+            table[owner, np.arange(len(owner)) - upto[owner]] = keys
+            here, marked = unit.column("key")[0].as_py(), np.zeros(len(n), bool)
+            for i in range(len(n) - 1):
+                those = np.arange(i + 1, len(n))
+                those = those[(label[those] != label[i]) & ~(marked[i] & marked[those])]
+                if len(those):
+                    those = those[_viable(words[i], n[i], words[those], n[those], bits, similarity)]
+                if len(those):
+                    own = keys[upto[i] : upto[i + 1]]
+                    earlier = table[those]
+                    earlier = (own[np.minimum(np.searchsorted(own, earlier), len(own) - 1)] == earlier) & (earlier < here)
+                    those = those[~earlier.any(axis=1)]
+                    marked[those] = True
+                    marked[i] |= len(those) > 0
+            if marked.any():
+                yield from unit.select([*UNIT, "d", "label"]).filter(pa.array(marked)).to_batches()
+
+    return dealt.repartition(*UNIT).sortWithinPartitions(*UNIT, "d").mapInArrow(run, "key long, x int, y int, d long, label long")
+
+
+def _joining(apart: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+    """a, b: labels that come together, each by two similar texts of one unit that have them."""
+    sets = _sets(rows, apart)
+    both = apart.join(sets.withColumnRenamed("d", "s"), F.col("d") == F.col("s")).select(*UNIT, "d", "label", "shingles")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for unit in _units(batches):
+            label = unit.column("label").to_numpy().copy()
+            sets = [np.frombuffer(x.as_buffer(), "<u4") for x in unit.column("shingles").combine_chunks()]
+            n = np.array([len(x) for x in sets])
+            _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+            starts, has = np.r_[0, np.cumsum(n)[:-1]], np.zeros(flat.max() + 1, np.int64)
+            a, b = [], []
+            for i in range(len(n) - 1):
+                if (label[i + 1 :] == label[i]).all():
+                    continue
+                own = flat[starts[i] : starts[i] + n[i]]
+                has[own] = 1
+                common = np.add.reduceat(has[flat[starts[i + 1] :]], starts[i + 1 :] - starts[i + 1])
+                has[own] = 0
+                for j in (np.flatnonzero(common >= similarity * (n[i] + n[i + 1 :] - common) - 1e-9) + i + 1).tolist():
+                    if label[j] != label[i]:
+                        a.append(min(label[i], label[j]))
+                        b.append(max(label[i], label[j]))
+                        label[label == b[-1]] = a[-1]
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return both.repartition(*UNIT).sortWithinPartitions(*UNIT, "d").mapInArrow(run, "a long, b long").distinct()
+
+
+def similar_rows(df: DataFrame, id_col: str, text_col: str, text_hash: Column, shingle: int = 5, similarity: float = 0.8, sketches: int = 10) -> DataFrame:
+    """id, h, d and label of each row; rows reachable over links have one label.
 
-    met = stash(_meets(distinct.mapInArrow(run, "key long, d long")), "met")
-    marks = _shared(rows, met)
-    meets = stash(met.join(marks, met["d"] == marks["m"]).select("key", "d", "simhash", "n", "common"), "meets")
+    Texts link if their words are equal or the Jaccard similarity of their sets of word shingles (32-bit
+    hashes) is at least similarity. Candidates share a sketch's least hash and a Golay codeword near its
+    SimHash; each is verified by its sets. First each row of a key is compared with the key's leader,
+    which settles large groups of copies in as many pairs as they have rows; where several labels are
+    left under a key, the rows that differ in label are compared within the task that has the key, and
+    only pairs that join labels leave it."""
+    # bucketed, so that the sets, which are larger than all else here, move once
+    rows = bucketed(_sketches(df, id_col, text_col, text_hash, shingle, sketches).repartition("k"), "sketches", "k")
+    distinct = rows.where("n IS NOT NULL").groupBy("k").agg(*(F.first(x).alias(x) for x in ("n", "least", "simhash"))).withColumnRenamed("k", "d")
+    met = _meets(distinct).withColumnRenamed("d", "m")
+    meets = stash(met.join(distinct, F.col("m") == F.col("d")).select("key", "d", "n", "least", "simhash"), "meets")
     flips = np.arccos(min(1.0, 2 * similarity / (1 + similarity))) / np.pi
-    n = LENGTH * sketches
-    bits = int(n * flips + 8 * (n * flips * (1 - flips)) ** 0.5)
-    tried = stash(_candidates(meets, bits, similarity, False), "led")
-    links = stash(_similar(tried, rows, similarity), "links_led")
+    bits = int(LENGTH * sketches * flips + SIGMAS * (LENGTH * sketches * flips * (1 - flips)) ** 0.5)
+    links = stash(_similar(stash(_led(meets, bits, similarity), "led"), rows, similarity), "links_led")
     found = components(links)
-    with_label = meets.join(found, meets["d"] == found["v"], "left").select("key", "d", "simhash", "n", "common", F.coalesce("label", "d").alias("label"))
-    apart = stash(_candidates(with_label, bits, similarity, True).join(tried, ["a", "b"], "left_anti"), "apart")
-    more = stash(_similar(apart, rows, similarity), "links_apart")
+    more = stash(_joining(stash(_apart(meets, found, bits, similarity), "apart"), rows, similarity), "links_apart")
     if more.limit(1).count():
-        found = components(links.union(more))
+        further = components(more).select(F.col("v").alias("was"), F.col("label").alias("now"))
+        found = found.select("v", "label").union(further.select("was", "was")).groupBy("v").agg(F.min("label").alias("label"))  # texts that had no link are labels too
+        found = found.join(further, F.col("label") == F.col("was"), "left").select("v", F.coalesce("now", "label").alias("label"))
     return rows.select("id", "h", "d").join(found, F.col("d") == F.col("v"), "left").select("id", "h", "d", F.coalesce("label", "d").alias("label"))
 
 
