@@ -2,7 +2,7 @@
 
 Documents whose language isn't found go; of equal texts one stays, then one of each
 group of near-duplicates; sources are mixed to their target weights, so a document may come
-more than once; the texts become SentencePiece ids.
+more than once; the texts become SentencePiece ids, and what these decode to is told by its crc32.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from voxloom.llm.exact_dedup import exact_dedup
 from voxloom.llm.language_id import reject_unknown
 from voxloom.llm.mixing import mixed
-from voxloom.llm.sentencepieces import pieces_of
+from voxloom.llm.sentencepieces import round_trip
 from voxloom.llm.simhash import near_dedup
 
 #: SQL can't express the network of the first stage.
@@ -36,7 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces_of(docs)
+    return round_trip(docs)
 
 
 STAGES = [
@@ -44,7 +44,7 @@ STAGES = [
     ("exact dedup", dedup_exact),
     ("SimHash near-dedup", dedup_near),
     ("mixing to target weights", mix_sources),
-    ("SentencePiece encoding", to_pieces),
+    ("SentencePiece encoding and decoding", to_pieces),
 ]
 
 
