@@ -15,5 +15,6 @@ QUERIES = {
     "op8_mixing": mixing.query,
     "op9_sentencepiece": sentencepieces.query,
     "op10_simhash": simhash.query,
+    "sentencepiece_viterbi": sentencepieces.viterbi_query,
 }
 ORACLES = {"op1_quality_rules": quality_rules.ORACLE, "op6_suffix_dedup": suffix_dedup.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE}
