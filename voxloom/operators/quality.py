@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import is_number, sentinel_to_null
 from ..functions.text import is_blank
 from ..schema import named
+from ..storage import new_folder
 
 
 @dataclass(frozen=True)
@@ -174,18 +175,21 @@ def agreement(df: DataFrame, a: str, b: str) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("n"), F.corr("x", "y").alias("pearson"), F.avg(F.abs(gap)).alias("mae"), (F.max(gap) - F.min(gap)).alias("spread"))
 
 
-def ordinal_ranks(df: DataFrame, column: str, tie: str, name: str, ranges: int = 64) -> DataFrame:
-    """df with the place of each row in order of column, from 0; equal values by the column tie.
-    Rows are dealt into ranges of the column, numbered there, and shifted by what comes before."""
-    edges = df.agg(F.approx_percentile(named(column), F.array(*[F.lit(i / ranges) for i in range(1, ranges)]), 1000).alias("_edges"))
-    ranged = df.crossJoin(F.broadcast(edges)).withColumn("_r", F.coalesce(F.size(F.filter("_edges", lambda e: e < named(column))), F.lit(-1))).drop("_edges")
-    sizes = ranged.groupBy("_r").agg(F.count(F.lit(1)).alias("_n"))
-    sizes = sizes.withColumn("_before", F.sum("_n").over(Window.orderBy("_r")) - F.col("_n")).drop("_n")  # at most `ranges` rows
-    inner = F.row_number().over(Window.partitionBy("_r").orderBy(named(column), named(tie))) - 1
-    return ranged.withColumn(name, inner).join(F.broadcast(sizes), "_r").withColumn(name, F.col(name) + F.col("_before")).drop("_r", "_before")
+def ordinal_ranks(df: DataFrame, column: str, tie: str, name: str) -> DataFrame:
+    """df with the place of each row in order of column, from 0, nulls first; equal values by the column tie. Rows are
+    dealt into ranges of both, so that a value that very many rows have is cut too, and written in order to
+    the shared folder; a row's place is its place in its range and what the ranges before hold."""
+    spark, folder = df.sparkSession, new_folder(df.sparkSession, "ranks")
+    order = [named(column), named(tie)]
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_r": F.spark_partition_id(), "_i": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
+    placed.write.parquet(folder)
+    placed = spark.read.schema(placed.schema).parquet(folder)
+    sizes = placed.groupBy("_r").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.select(F.col("_r").alias("_q"), (F.sum("_n").over(Window.orderBy("_r")) - F.col("_n")).alias("_before"))  # a row a range
+    return placed.join(F.broadcast(sizes), F.col("_r") == F.col("_q")).withColumn(name, F.col("_i") + F.col("_before")).drop("_r", "_i", "_q", "_before")
 
 
 def spearman(df: DataFrame, a: str, b: str, tie: str) -> DataFrame:
     """n and spearman: the correlation of ordinal ranks."""
-    ranked = ordinal_ranks(ordinal_ranks(df, a, tie, "_ra"), b, tie, "_rb")
+    ranked = ordinal_ranks(ordinal_ranks(df.select(*dict.fromkeys((a, b, tie))), a, tie, "_ra"), b, tie, "_rb")
     return ranked.agg(F.count(F.lit(1)).alias("n"), F.corr(F.col("_ra").cast("double"), F.col("_rb").cast("double")).alias("spearman"))
