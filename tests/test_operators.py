@@ -666,3 +666,22 @@ def test_adapters(monkeypatch):
     with pytest.raises(TypeError):
         b.plain_text(3)
     assert {a.metric for a in b.ADAPTERS} <= set(metrics.MODELS)
+
+
+def test_recordings_are_cut_into_files(spark, tmp_path, monkeypatch):
+    words = [{"word": " One", "start": 0.2, "end": 0.4}, {"word": " two.", "start": 0.5, "end": 0.9}, {"word": " Three!", "start": 2.0, "end": 2.5}]
+    monkeypatch.setitem(metrics._backends, "whisper_words", scoring.FunctionScorer(lambda c: words, metrics.MODELS["whisper_words"].columns, inputs=("id",)))
+    tone = signal.encode_wav(np.zeros(48_000), 16_000)
+    df = spark.createDataFrame([(str(i), f"d/{i}.wav", 3.0, bytearray(tone)) for i in range(3)], "id string, audio_file string, duration double, content binary")
+    rows = jobs.apply_steps(df, [{"step": "model", "metric": "whisper_words"}, {"step": "sentences", "folder": f"{tmp_path}/cuts"}, {"step": "cuts"}]).collect()
+    assert len(rows) == 6 and {r["text"] for r in rows} == {"One two.", "Three!"}
+    for r in rows:
+        x, rate = signal.load(open(r["audio_file"], "rb").read())
+        assert rate == 16_000 and abs(len(x) / rate - (min(3.0, r["end_timestamp"]) - r["start_timestamp"])) < 0.01
+    assert len(glob.glob(f"{tmp_path}/cuts/*")) == 6
+
+
+def test_a_lane_that_fails_is_named(spark, monkeypatch):
+    monkeypatch.delitem(metrics._backends, "squim", raising=False)
+    with pytest.raises(ImportError, match="lane models: squim needs a backend"):
+        jobs.apply_steps(clip_rows(spark), [{"lanes": {"rates": [{"step": "speaking_rate"}], "models": [{"step": "model", "metric": "squim"}]}}])

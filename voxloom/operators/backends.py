@@ -241,8 +241,13 @@ class Whisper(Recognition):
         segments, _ = model.transcribe(samples, language=self.options.get("language"))
         return (" ".join(t for t in (plain_text(s).strip() for s in segments) if t),)
 
-    def words(self, model: Any, clip: dict) -> list[dict]:
-        """Words with times, for sentences()."""
+
+class WhisperWords(Whisper):
+    """Words with times, for sentences()."""
+
+    metric = "whisper_words"
+
+    def score(self, model, clip):
         segments, _ = model.transcribe(samples_of(clip, self.rate), language=self.options.get("language"), word_timestamps=True)
         return [{"word": w.word, "start": float(w.start), "end": float(w.end)} for s in segments for w in s.words or []]
 
@@ -391,7 +396,7 @@ class PhonemeCount(Adapter):
         return sum(not ch.isspace() for ch in model.phonemize([text], strip=True)[0]) if text else 0
 
 
-ADAPTERS = (DistillMos, Squim, SnrReverb, CrepePitch, Logits, Gender, Emotion, SpeakerEmbedding, Accent, Whisper, GigaAm, Punctuated, AsrGigaAm, AsrWav2Vec2, AsrTone, AsrQwen3, Aligner, Diarizer, PhonemeCount)
+ADAPTERS = (DistillMos, Squim, SnrReverb, CrepePitch, Logits, Gender, Emotion, SpeakerEmbedding, Accent, Whisper, WhisperWords, GigaAm, Punctuated, AsrGigaAm, AsrWav2Vec2, AsrTone, AsrQwen3, Aligner, Diarizer, PhonemeCount)
 
 
 def register_all(device: str = "auto", options: dict[str, dict[str, Any]] | None = None) -> dict[str, Adapter]:

@@ -128,6 +128,7 @@ MODELS: dict[str, ModelMetric] = {
     "squim": ModelMetric({"pyt_stoi": "double", "pyt_pesq": "double", "pyt_si_sdr": "double"}, ("torchaudio",), (-1.0, -1.0, -1.0), batch_size=1),
     "snr_reverb": ModelMetric({"snr": "double", "c50": "double"}, ("pyannote.audio",), (NAN, NAN)),
     "whisper": ModelMetric({"transcript": "string"}, ("faster_whisper",), (None,)),
+    "whisper_words": ModelMetric({"words": "array<struct<word:string,start:double,end:double>>"}, ("faster_whisper",), (None,)),
     "gigaam3": ModelMetric({"gigaam3_text": "string", "gigaam3_cer": "double"}, ("gigaam",), ("", -1.0), batch_seconds=320.0),
     "punctuation": ModelMetric({"text_punctuated": "string"}, ("torch",), (None,), ("text",)),
     "audio_model": ModelMetric({"logits": "array<double>"}, ("transformers", "torch"), (None,)),

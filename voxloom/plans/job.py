@@ -83,6 +83,7 @@ STEPS: dict[str, Step] = {
     "labelled": Step(lambda df, **o: metrics.labelled(df, **o), lambda o: [o["logits"]], lambda o: [o["columns"]] if isinstance(o["columns"], str) else list(o["columns"]), frozenset({"logits", "labels", "output", "columns", "target"})),
     "punctuation": Step(lambda df, **o: metrics.punctuated(df, **o), lambda o: ["text", o["transcript"]], lambda o: [o.get("column", "text_punctuated")], frozenset({"transcript", "column", "min_match"})),
     "sentences": Step(lambda df, **o: spans.clip_sentences(df, **o), lambda o: ["id", "audio_file", "duration", o.get("words", "words")], lambda o: ["sentence", "text", "start_timestamp", "end_timestamp"], frozenset({"words", "folder", "buffer"})),
+    "cuts": Step(lambda df: sinks.write_files(sinks.cut_sentences(df)), lambda o: ["audio_file", "content", "start_timestamp", "end_timestamp"], lambda o: []),
     "reasons": Step(lambda df, **o: quality.with_reasons(df, _thresholds(o)), lambda o: [], lambda o: ["reasons"], LIMITS),
     "clean": Step(lambda df, **o: quality.clean(df, _thresholds(o)), lambda o: [], lambda o: [], LIMITS),
 }
@@ -190,8 +191,11 @@ def apply_steps(df: DataFrame, steps: list[dict | Callable[[DataFrame], DataFram
         if callable(s):
             df = s(df)
         elif "lanes" in s:
-            for lane in s["lanes"].values():
-                df = apply_steps(df, lane)
+            for name, lane in s["lanes"].items():
+                try:
+                    df = apply_steps(df, lane)
+                except (ImportError, ValueError) as e:
+                    raise type(e)(f"lane {name}: {e}") from e
         else:
             step, options = _step(s)
             df = step.run(df, **options)

@@ -6,6 +6,7 @@ import json
 from collections.abc import Callable
 from string import Template
 
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,3 +97,30 @@ def cut_sentences(sentences: DataFrame, content: str = "content", rate: int | No
         return pd.Series(out)
 
     return sentences.withColumn("audio", cut(content, "start_timestamp", "end_timestamp"))
+
+
+def write_files(rows: DataFrame, path: str = "audio_file", content: str = "audio") -> DataFrame:
+    """rows without `content`, each of which has been written to the file at its path by the time the row is read: to a
+    name beside it first, which is then renamed, so a task that runs twice leaves one whole file. Paths are local
+    or URIs that pyarrow knows; rows without content write nothing."""
+    kept = [x for x in rows.columns if x != content]
+
+    def run(batches):
+        from pyarrow import fs
+
+        folders = set()
+        for batch in batches:
+            for name, data in zip(batch.column(path).to_pylist(), batch.column(content)):
+                if data.is_valid and name:
+                    store, at = fs.FileSystem.from_uri(name) if "://" in name else (fs.LocalFileSystem(), name.removeprefix("file:"))
+                    folder = at.rpartition("/")[0]
+                    if folder and folder not in folders:
+                        store.create_dir(folder, recursive=True)
+                        folders.add(folder)
+                    partial = f"{at}.{TaskContext.get().taskAttemptId()}.part"
+                    with store.open_output_stream(partial) as f:
+                        f.write(data.as_buffer())
+                    store.move(partial, at)
+            yield batch.select(kept)
+
+    return rows.mapInArrow(run, T.StructType([rows.schema[x] for x in kept]))
