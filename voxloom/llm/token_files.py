@@ -23,17 +23,16 @@ from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import c, documents, new_dir
+from .common import c, documents, new_dir, slices
 
 MAGIC, VERSION, SAMPLE, BLOCK_TOKENS, END_ID = b"VXEF", 1, 64, 1 << 20, 1
 #: Texts of these characters have no white space but ASCII's and nothing to compose across it.
 PLAIN = re.compile(r"[\t-\r\x20-\x7e\xc0-\xff]*")
-CACHE_WORDS, SLICE = 1_400_000, 4 << 20
+CACHE_WORDS = 1_400_000
 
 
 class EliasFano:
@@ -76,9 +75,19 @@ class EliasFano:
         place = byte * 8 + (window & -window).bit_length() - 1
         return ((place - i) << self.l) | int(self._low(np.array([i]))[0])
 
-    def values(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))
-        return ((ones - np.arange(self.n)) << self.l) | self._low(np.arange(self.n))
+    def selected(self, first: int, last: int) -> np.ndarray:
+        """The values of places first to last, as select gives each: one stretch of SAMPLE of them after another,
+        from its sample and the bytes up to the next one's."""
+        out = np.empty(max(0, last - first), dtype=np.int64)
+        for k in range(first // SAMPLE, -(-last // SAMPLE)):
+            a, b = max(first, k * SAMPLE), min(last, (k + 1) * SAMPLE)
+            at = int(self.samples[k])
+            end = int(self.samples[k + 1]) if k + 1 < len(self.samples) else 8 * len(self.high)
+            ones = np.flatnonzero(np.unpackbits(self.high[at >> 3 : (end + 7) >> 3], bitorder="little")) + (at & ~7)
+            i = np.arange(a, b)
+            ones = ones[np.searchsorted(ones, at) :][i - k * SAMPLE]
+            out[a - first : b - first] = ((ones - i) << self.l) | self._low(i)
+        return out
 
     def pack(self) -> bytes:
         parts = [x.tobytes() for x in (self.low, self.high, self.samples)]
@@ -126,6 +135,15 @@ class Block:
     def bounds(self, i: int) -> tuple[int, int]:
         return (self.ends.select(i - 1) if i else 0), self.ends.select(i)
 
+    def stretches(self, most: int = 64 * SAMPLE) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
+        """Ids, starts and ends of at most `most` documents after another: no table of all of them is made."""
+        for a in range(0, self.n, most):
+            b = min(self.n, a + most)
+            ends = self.ends.selected(a, b)
+            before = np.r_[self.ends.select(a - 1) if a else 0, ends[:-1]]
+            ids = self.ids.selected(max(0, a - self.nulls), max(0, b - self.nulls)) + self.least
+            yield [None] * (b - a - len(ids)) + ids.tolist(), before, ends
+
     def tokens(self, i: int) -> np.ndarray:
         a, b = self.bounds(i)
         return self.flat[a:b]
@@ -198,16 +216,6 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def slices(batch: pa.RecordBatch, text: str, most: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about `most` bytes of text, or one longer text."""
-    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    at = 0
-    while at < len(upto):
-        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + most, "right")))
-        yield batch.slice(at, end - at)
-        at = end
-
-
 def write_token_files(df: DataFrame, path: str, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, block_tokens: int = BLOCK_TOKENS) -> None:
     """Write the ids of all texts of df to path, in ascending order of id_col.
 
@@ -258,13 +266,10 @@ def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id") ->
         for batch in batches:
             for part, before, data in zip(*(batch.column(x) for x in ("part", "before", "data"))):
                 block = Block(data.as_buffer())
-                ends = block.ends.values()
-                starts = np.r_[0, ends[:-1]]
-                flat = block.flat.astype("<u4")
-                crc = [zlib.crc32(flat[a:b].data) for a, b in zip(starts.tolist(), ends.tolist())]
-                ids = [None] * block.nulls + (block.ids.values() + block.least).tolist()
-                columns = [pa.array(ids, pa.int64()), pa.array(starts + first[part.as_py()] + before.as_py()), pa.array(ends - starts), pa.array(crc, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, [id_col, "start", "n_tokens", "ids_crc32"])
+                for ids, starts, ends in block.stretches():
+                    crc = [zlib.crc32(block.flat[a:b].astype("<u4").data) for a, b in zip(starts.tolist(), ends.tolist())]
+                    columns = [pa.array(ids, pa.int64()), pa.array(starts + first[part.as_py()] + before.as_py()), pa.array(ends - starts), pa.array(crc, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, [id_col, "start", "n_tokens", "ids_crc32"])
 
     return blocks.select("part", "before", "data").mapInArrow(run, f"`{id_col}` long, start long, n_tokens long, ids_crc32 long")
 
