@@ -8,8 +8,10 @@ document's score is the sum of the conditional log-probabilities of all its toke
 Counts are those of all documents. The network is trained in numpy: first on the driver,
 on a sample of about WARM_UP tokens, then on the executors, where every BLOCK tokens train a
 copy of it on all their places, and the copies, weighted by their places, are
-averaged. So the copies grow in number with the corpus. They are cut into PARTS and averaged
-by part; the driver only gets the average, about 4 MB.
+averaged. So the copies grow in number with the corpus. A document's block follows from its hash and a
+block's order and seed from the block, so neither partitions nor retries change the result. A task
+averages the copies of its own blocks; the tasks' averages, MOST_TASKS at most, are cut into PARTS and
+averaged by part; the driver only gets the average, about 4 MB.
 """
 
 from __future__ import annotations
@@ -25,11 +27,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import c, documents, stash, unit_hash
-from .token_files import slices
+from .common import c, documents, slices, stash, unit_hash
 
 VOCAB, CLASSES, REACH, EMBED, HIDDEN = 1 << 15, 64, 2, 16, 32
-WARM_UP, BLOCK, PARTS, BATCH, RATE = 300_000, 1 << 21, 32, 512, 0.1
+WARM_UP, BLOCK, PARTS, BATCH, RATE, MOST_TASKS = 300_000, 1 << 21, 32, 512, 0.1, 4096
 PAD = VOCAB
 OFFSETS = [o for o in range(2 * REACH + 1) if o != REACH]
 
@@ -89,11 +90,14 @@ class Network:
     def train(self, flat: np.ndarray, places: np.ndarray, rng: np.random.Generator) -> None:
         """One pass of gradient descent over the places, in random order."""
         places = rng.permutation(places)
+        flat = flat.astype(np.uint16)  # PAD fits; two bytes sort fastest
+        around = np.array(OFFSETS) - REACH
+        mix = self.mix.reshape(-1, HIDDEN)  # a view: one product for all offsets
         for at in range(0, len(places), BATCH):
             p = places[at : at + BATCH]
-            x = np.stack([flat[p + o - REACH] for o in OFFSETS])  # (2 REACH, B)
-            e = self.embed[x]
-            h = np.tanh(np.matmul(e, self.mix).sum(axis=0))
+            x = flat[p[:, None] + around]  # (B, 2 REACH)
+            e = self.embed[x].reshape(len(p), -1)
+            h = np.tanh(e @ mix)
             logits = h @ self.out[:-1] + self.out[-1]
             logits -= logits.max(axis=1, keepdims=True)
             np.exp(logits, out=logits)
@@ -103,11 +107,13 @@ class Network:
             rate = RATE * BATCH**-0.5
             self.out[:-1] -= rate * 0.2 * (h.T @ logits)
             self.out[-1] -= rate * 0.2 * logits.sum(axis=0)
-            de = np.matmul(dh, self.mix.transpose(0, 2, 1))
-            self.mix -= rate * 0.2 * np.matmul(e.transpose(0, 2, 1), dh)
-            seen, owner = np.unique(x, return_inverse=True)
-            sums = np.stack([np.bincount(owner.ravel(), de[..., k].ravel(), len(seen)) for k in range(EMBED)], axis=1)
-            self.embed[seen] -= (rate * sums).astype(np.float32)
+            de = (dh @ mix.T).reshape(-1, EMBED)
+            mix -= rate * 0.2 * (e.T @ dh)
+            x = x.ravel()
+            order = np.argsort(x, kind="stable")
+            x = x[order]
+            heads = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
+            self.embed[x[heads]] -= rate * np.add.reduceat(de[order], heads, axis=0)
 
     def scores(self, docs: list[np.ndarray], at_once: int = 1 << 15) -> np.ndarray:
         """The sum of log P(token | both sides) of each document."""
@@ -149,29 +155,33 @@ def _arrays(batch: pa.RecordBatch) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), "<u2") for x in batch.column("tokens")]
 
 
-def _averaged(vectors: DataFrame, weighted: bool) -> np.ndarray:
-    """The sum or, weighted by weight, the mean of vectors (source, part, weight, data)."""
+def _averaged(vectors: DataFrame, weighted: bool, groups: int = 64) -> np.ndarray:
+    """The sum or, weighted by weight, the mean of vectors (source, part, weight, data), in the order of their
+    sources. Sums, of which every input task has one, are made by part and one of `groups` groups of sources first."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, total, weight = None, None, 0.0
+    def run(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
+        key, total, weight = None, None, 0.0
 
         def done() -> pa.RecordBatch:
             mean = total / weight if weighted else total
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([mean.astype("<f8").tobytes()], pa.binary())], ["part", "data"])
+            return pa.RecordBatch.from_arrays([pa.array([key[1]], pa.int64()), pa.array([key[0]], pa.int32()), pa.array([weight]), pa.array([mean.astype("<f8").tobytes()], pa.binary())], ["source", "part", "weight", "data"])
 
         for batch in batches:
-            for p, w, data in zip(*(batch.column(x) for x in ("part", "weight", "data"))):
-                if p.as_py() != part:
-                    if part is not None:
+            for p, g, w, data in zip(*(batch.column(x) for x in ("part", "grouped", "weight", "data"))):
+                if (p.as_py(), g.as_py()) != key:
+                    if key is not None:
                         yield done()
-                    part, total, weight = p.as_py(), 0.0, 0.0
-                total = total + np.frombuffer(data.as_buffer(), "<f2" if weighted else "<f8").astype(np.float64) * (w.as_py() if weighted else 1)
+                    key, total, weight = (p.as_py(), g.as_py()), 0.0, 0.0
+                total = total + np.frombuffer(data.as_buffer(), kind).astype(np.float64) * (w.as_py() if weighted else 1)
                 weight += w.as_py()
-        if part is not None:
+        if key is not None:
             yield done()
 
-    summed = vectors.repartition("part").sortWithinPartitions("part", "source").mapInArrow(run, "part int, data binary")
-    rows = sorted(summed.collect(), key=lambda r: r["part"])
+    last = (F.lit(0).cast("long"), "<f2" if weighted else "<f8")
+    for group, kind in [last] if weighted else [(F.pmod("source", F.lit(groups)), "<f8"), last]:
+        dealt = vectors.withColumn("grouped", group).repartition("part", "grouped").sortWithinPartitions("part", "grouped", "source")
+        vectors = dealt.mapInArrow(lambda batches, kind=kind: run(batches, kind), VECTORS)
+    rows = sorted(vectors.select("part", "data").collect(), key=lambda r: r["part"])
     return np.concatenate([np.zeros(0), *(np.frombuffer(r["data"], "<f8") for r in rows)])
 
 
@@ -207,34 +217,46 @@ def fit(tokens: DataFrame, warm_up: int = WARM_UP, block: int = BLOCK) -> Networ
     total = counts.sum()
     if not total:
         return net
-    drawn = tokens.where(unit_hash(F.col("h"), F.lit(4)) < min(1.0, warm_up / total)).orderBy("h").select("tokens").collect()
+    # one row of repeated ones and the first warm_up tokens of longer texts: this is only where training starts
+    drawn = tokens.where(unit_hash(F.col("h"), F.lit(4)) < min(1.0, warm_up / total)).select("h", F.substring("tokens", 1, 2 * warm_up).alias("tokens")).dropDuplicates(["h"]).orderBy("h").collect()
     flat, places = padded([np.frombuffer(r["tokens"], "<u2") for r in drawn])
     net.train(flat, places, np.random.default_rng(5))
     start = tokens.sparkSession.sparkContext.broadcast(net)
+    blocks = max(1, round(total / block))
+    each = -(-blocks // MOST_TASKS)  # blocks a task
+    tasks = -(-blocks // each)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, part, n = start.value, TaskContext.get().partitionId(), 0
+        first, mean, weight = start.value, 0.0, 0.0
+        task = None
 
-        def trained(docs: list[np.ndarray]) -> pa.RecordBatch:
+        def train(docs: list[np.ndarray], seed: list[int]) -> None:
+            nonlocal mean, weight
             copy = first.load(first.weights())
-            rng = np.random.default_rng([part, n])
             flat, places = padded(docs)
-            copy.train(flat, places, rng)
-            return _cut((part << 24) + n, float(len(places)), copy.weights().astype("<f2"))
+            copy.train(flat, places, np.random.default_rng(seed))
+            mean = mean + copy.weights().astype(np.float64) * len(places)
+            weight += len(places)
 
-        held, size = [], 0
+        # blocks come one after another; repeated rows, which are all in one, may cut it into several
+        held, size, own, nth = [], 0, None, 0
         for batch in batches:
-            for d in _arrays(batch):
-                if len(d):
-                    held.append(d)
-                    size += len(d)
-                if size >= block:
-                    yield trained(held)
-                    held, size, n = [], 0, n + 1
+            for b, d in zip(batch.column("block").to_pylist(), _arrays(batch)):
+                if held and (b != own or size >= 2 * block):
+                    train(held, [own, nth])
+                    held, size, nth = [], 0, nth + 1 if b == own else 0
+                own, task = b, b // each
+                held.append(d)
+                size += len(d)
         if held:
-            yield trained(held)
-
-    mean = _averaged(tokens.select("tokens").mapInArrow(run, VECTORS), weighted=True)
+            train(held, [own, nth])
+        if weight:
+            yield _cut(task, weight, (mean / weight).astype("<f2"))
+
+    number = F.floor(unit_hash(F.col("h"), F.lit(6)) * blocks).cast("int")
+    dealt = tokens.where(F.octet_length("tokens") > 0).select("h", "tokens", number.alias("block"))
+    dealt = dealt.repartitionById(tasks, F.expr(f"block div {each}").cast("int")).sortWithinPartitions("block", "h", "tokens")
+    mean = _averaged(dealt.select("tokens", "block").mapInArrow(run, VECTORS), weighted=True)
     start.unpersist()
     return net.load(mean)
 
