@@ -21,8 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import c, documents, unit_hash
-from .token_files import slices
+from .common import c, documents, slices, unit_hash
 
 WINDOW, HIDDEN, PER_LANGUAGE, SPANS, STEPS, BATCH, BLOCK = 64, 10, 500, 3, 500, 192, 4096
 UNKNOWN, LEAST_SCORE = "und", 0.3
@@ -165,7 +164,8 @@ def train(texts: list[str], labels: list[str], hidden: int = HIDDEN, steps: int
 
 
 def sample(df: DataFrame, id_col: str, text_col: str, lang_col: str, learn: Column, per_language: int = PER_LANGUAGE, spans: int = SPANS) -> tuple[list[str], list[str]]:
-    """Spans of texts, and their languages: of about per_language documents a language."""
+    """Distinct spans of texts, and their languages: of about per_language documents a language. Rows that are
+    repeated are drawn together, and count once."""
     usable = df.where(learn & c(lang_col).isNotNull() & (F.length(c(text_col)) > 0))
     rates = {r[0]: min(1.0, per_language / r[1]) for r in usable.groupBy(c(lang_col)).count().collect()}
     if not rates:
@@ -174,7 +174,7 @@ def sample(df: DataFrame, id_col: str, text_col: str, lang_col: str, learn: Colu
     h = F.xxhash64(c(text_col), c(id_col))
     wide = F.greatest(F.length(c(text_col)) - WINDOW, F.lit(1))
     cut = [F.substring(c(text_col), (1 + F.pmod(F.shiftright(h, 7 * k), wide)).cast("int"), F.lit(WINDOW)) for k in range(spans)]
-    rows = usable.where(unit_hash(h) < rate).select(c(lang_col).cast("string").alias("y"), F.explode(F.array(*cut)).alias("x")).collect()
+    rows = usable.where(unit_hash(h) < rate).select(c(lang_col).cast("string").alias("y"), F.explode(F.array(*cut)).alias("x")).distinct().collect()
     rows = sorted((r["y"], r["x"]) for r in rows)
     return [x for _, x in rows], [y for y, _ in rows]
 
