@@ -34,6 +34,7 @@ from ..operators.metrics import MODELS, SIGNAL_COLUMNS
 from ..operators.speakers import assign_speakers, cluster_speakers
 from ..schema import require
 from ..sources import clips, sinks
+from ..storage import new_folder
 
 
 @dataclass(frozen=True)
@@ -55,7 +56,7 @@ CONSENSUS = [f"consensus_{x}" for x in ("medoid", "selected", "text", "eligible"
 
 
 def _label_speakers(df: DataFrame, distance: float = 0.5, threshold: float = 0.75, margin: float = 0.10) -> DataFrame:
-    labels = cluster_speakers(df, "id", "speaker_embedding", distance)
+    labels = cluster_speakers(df, "id", "speaker_embedding", distance, folder=new_folder(df.sparkSession, "clusters"))
     return assign_speakers(df.join(labels, "id"), "id", "speaker_embedding", "label", threshold, margin).drop("label")
 
 

@@ -437,7 +437,7 @@ def speaker_assign(spark, sf):
 
 @query()
 def speaker_cluster(spark, sf):
-    return speakers.cluster_speakers(table(spark, sf, "embeddings"), "vec_id", "embedding", 0.9)
+    return speakers.cluster_speakers(table(spark, sf, "embeddings"), "vec_id", "embedding", 0.9, folder=new_folder(spark, "clusters"))
 
 
 # spans
