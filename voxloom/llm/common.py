@@ -7,10 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..storage import delete_folder, new_folder
 
@@ -20,7 +18,7 @@ SPACES = r"\x20\x09-\x0D"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-SLICE = 4 << 20
+SLICE, SIZE = 4 << 20, 1 << 14
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,24 +103,15 @@ def slices(batch: pa.RecordBatch, text: str, most: int = SLICE) -> Iterator[pa.R
         at = end
 
 
-def chunked(rows: DataFrame, stem: str, chunk_bytes: int, text: str = "text") -> DataFrame:
-    """rows as a table in the shared folder, with rid (a number of each row) and chunk (neighbouring rows with about
-    chunk_bytes of text, or one longer text, have one), bucketed by chunk."""
-    own = rows.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        row, chunk, size = part << 33, part << 23, 0
-        for batch in batches:
-            for piece in slices(batch, text, chunk_bytes):
-                if size and size + piece.column(text).nbytes > chunk_bytes:
-                    chunk, size = chunk + 1, 0
-                size += piece.column(text).nbytes
-                yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(np.arange(row, row + piece.num_rows)), pa.array(np.full(piece.num_rows, chunk))], [*own, "rid", "chunk"])
-                row += piece.num_rows
-
-    schema = T.StructType([*rows.schema, T.StructField("rid", T.LongType()), T.StructField("chunk", T.LongType())])
-    return bucketed(rows.mapInArrow(run, schema), stem, "chunk")
+def chunked(rows: DataFrame, stem: str, chunk_rows: int, text: str = "text") -> DataFrame:
+    """rows as a table in the shared folder, with rid (a number of each row) and chunk, bucketed by chunk. Of texts below
+    2 * SIZE bytes about chunk_rows neighbouring rows have one chunk, of those twice as long half as many, and so
+    on, so a chunk's texts never exceed 2 * SIZE * chunk_rows bytes, or one text."""
+    longer = F.floor(F.log2(F.greatest(F.coalesce(F.octet_length(text), F.lit(0)) / SIZE, F.lit(1.0)))).cast("int")
+    rows = rows.withColumns({"rid": F.monotonically_increasing_id(), "_class": F.least(longer, F.lit(31))})
+    place = F.expr(f"(rid & {(1 << 33) - 1}) div greatest(1, shiftright({chunk_rows}, _class))")
+    rows = rows.withColumn("chunk", F.shiftright("rid", 33) * (1 << 38) + F.col("_class") * F.lit(1 << 33) + place).drop("_class")
+    return bucketed(rows, stem, "chunk")
 
 
 def lower_az(text: Column) -> Column:

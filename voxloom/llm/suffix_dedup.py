@@ -4,7 +4,7 @@ A byte goes if a string of `length` bytes that covers it also starts in a docume
 id. Strings are brought together by their minimizer, the least hash among their
 KMER-byte substrings: equal strings have equal minimizers.
 
-1. Rows are written once, in chunks of CHUNK_ROWS rows, as a table bucketed by chunk, so that what
+1. Rows are written once, in chunks of CHUNK_ROWS rows, fewer where texts are long, as a table bucketed by chunk, so that what
    is found out about a chunk comes back to its texts while these stay where they are. A row whose
    whole text a smaller id has too is settled there and takes no further part.
 2. Each chunk names its distinct minimizers; those that no second document has are struck out.
@@ -14,7 +14,8 @@ KMER-byte substrings: equal strings have equal minimizers.
 4. A bucket's segments are a collection of documents whose suffix array is built column
    by column (class Collection): each round inserts one symbol of every segment into the
    collection's Burrows-Wheeler transform and brings the common prefixes up to date, both
-   kept in files that are read and written from start to end. Neighbours with `length` symbols
+   kept as files in memory that are read and written from start to end: a bucket's collection is small,
+   and a worker's own disk isn't used. Neighbours with `length` symbols
    in common form the groups of equal strings; the least id of each goes back to the chunks.
 5. Each chunk marks the bytes that such strings cover, and returns what is left.
 """
@@ -23,7 +24,6 @@ from __future__ import annotations
 
 import hashlib
 import struct
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,12 +47,12 @@ class Collection:
     that start with a symbol stand in the order of that symbol's occurrences in the transform,
     so the place of a new suffix follows from the occurrence it stems from; its common
     prefix with the one before it is one more than the least of the common prefixes between both
-    occurrences. End marks come first, each string's its own. Two files hold, for each suffix
+    occurrences. End marks come first, each string's its own. Two files, in memory, hold, for each suffix
     in order, the symbol before it (0: none) and its common prefix with the one before (255 at
     most); a round reads both and writes both anew."""
 
-    def __init__(self, text: np.ndarray, ends: np.ndarray, folder: str):
-        self.text, self.names = text, [f"{folder}/{x}" for x in ("symbols", "common")]
+    def __init__(self, text: np.ndarray, ends: np.ndarray):
+        self.text, self.files = text, [b"", b""]
         self.starts, self.ends = np.r_[0, ends[:-1]].astype(np.int64), ends.astype(np.int64)
         self.at = self.ends.copy()  # start of each string's last inserted suffix
         self.write(self._before(self.at, self.starts), np.zeros(len(ends), np.uint8))
@@ -61,11 +61,10 @@ class Collection:
         return np.where(at > starts, self.text[np.maximum(at - 1, 0)].astype(np.int16) + 1, 0).astype(np.uint8)
 
     def write(self, *arrays: np.ndarray) -> None:
-        for name, x in zip(self.names, arrays):
-            x.tofile(name)
+        self.files = [x.tobytes() for x in arrays]
 
     def read(self) -> list[np.ndarray]:
-        return [np.fromfile(name, np.uint8) for name in self.names]
+        return [np.frombuffer(x, np.uint8) for x in self.files]
 
     def build(self) -> Collection:
         open_ = np.flatnonzero(self.at > self.starts)
@@ -132,9 +131,8 @@ def least_of_equal(text: np.ndarray, ends: np.ndarray, least: np.ndarray, length
     out = np.full(len(text), NO_ID, dtype=np.int64)
     if not len(text):
         return out
-    with tempfile.TemporaryDirectory() as folder:
-        built = Collection(text, ends, folder).build()
-        places, common = built.places(), built.read()[1]
+    built = Collection(text, ends).build()
+    places, common = built.places(), built.read()[1]
     owner = np.repeat(np.arange(len(ends)), np.diff(np.r_[0, ends]))[np.minimum(places, len(text) - 1)]
     deep = (np.arange(len(places)) >= len(ends)) & (places + length <= ends[owner])  # end marks come first
     heads = np.flatnonzero(np.r_[True, common[1:] < length])
@@ -277,8 +275,11 @@ def removals(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     # rows whose text a smaller id has
     same = table.where(F.octet_length("text") >= length).select("rid", "chunk", F.coalesce("id", F.lit(NO_ID)).alias("id"), F.sha2("text", 256).alias("sha"))
     same = stash(same, "suffix_texts")
-    first = same.groupBy("sha").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("sha").alias("s"), "least")
-    copies = same.join(first, (F.col("sha") == F.col("s")) & (F.col("id") > F.col("least"))).select("chunk", F.lit(COPIES).alias("bucket"), F.unhex(F.lpad(F.hex("rid"), 16, "0")).alias("data"))
+    # a chunk asks and is told once for all its copies of a text, so a crowd of copies isn't one task's
+    asking = same.groupBy("chunk", "sha").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n"))
+    first = asking.groupBy("sha").agg(F.min("low").alias("least"), F.sum("n").alias("n")).where("n > 1").select(F.col("sha").alias("s"), "least")
+    told = asking.join(first, (F.col("sha") == F.col("s")) & (F.col("high") > F.col("least"))).select(F.col("chunk").alias("k"), "s", "least")
+    copies = same.join(told, (F.col("chunk") == F.col("k")) & (F.col("sha") == F.col("s")) & (F.col("id") > F.col("least"))).select("chunk", F.lit(COPIES).alias("bucket"), F.unhex(F.lpad(F.hex("rid"), 16, "0")).alias("data"))
     copies = stash(copies, "suffix_copies")
 
     def name_minimizers(left: pa.Table, right: pa.Table) -> pa.Table:
