@@ -1,6 +1,7 @@
 """The training-data operators against brute force, on small tables with all the odd rows."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import defaultdict
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxloom.llm import exact_dedup, language_id, lm_scoring, mixing, quality_rules, sentencepieces, sharding, simhash, suffix_dedup, token_files
+from voxloom.llm.common import unit_hash
 
 DOCS = "/root/testdata/sf0.001/documents.parquet"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, rid long, chunk long, label string, `a.b` string"
@@ -128,6 +130,38 @@ def test_language_odd(odd, empty):
     assert language_id.reject_unknown(empty).count() == 0
 
 
+def test_language_probabilities_by_brute_force():
+    """The network's answer for a few texts, byte by byte in plain loops."""
+    model = language_id.train(["the cat and the dog " * 5, "der Hund und die Katze " * 5], ["en", "de"], steps=30)
+    t1, u1, t2, u2, w, b = (p.astype(float) for p in model.params)
+    n = u1.shape[1]
+    sigmoid = lambda v: (np.tanh(v) + 1) / 2
+
+    def states(table, u, bytes_):
+        h, out = np.zeros(n), []
+        for x in bytes_:
+            a, g = u @ h, table[:, x]
+            z, r = sigmoid(g[:n] + a[:n]), sigmoid(g[n : 2 * n] + a[n : 2 * n])
+            cand = np.tanh(g[2 * n :] + r * a[2 * n :])
+            h = cand + z * (h - cand)
+            out.append(h)
+        return out
+
+    texts = ["the", "die Katze ist kein Hund, und der Hund ist keine Katze, so ist es; dies ist ein langer Satz", "a" * 64]
+    got = model.documents([t.encode() for t in texts])
+    for t, p in zip(texts, got):
+        raw, total = t.encode(), np.zeros(2)
+        size = language_id.WINDOW
+        for k in range(max(1, -(-len(raw) // size))):
+            first = max(0, min(k * size, len(raw) - size))
+            piece = raw[first : first + size].ljust(size)
+            forth, back = states(t1, u1, piece), states(t2, u2, piece[::-1])[::-1]
+            for i in range(min(size, len(raw))):
+                e = np.exp(w @ np.r_[forth[i], back[i]] + b)
+                total += e / e.sum()
+        assert p == pytest.approx(total / total.sum(), abs=1e-4)
+
+
 def test_language_gradients():
     rng = np.random.default_rng(1)
     n, x = 3, rng.integers(0, 5, (6, 4))
@@ -182,7 +216,9 @@ def test_elias_fano():
         values = np.sort(rng.integers(0, top, n)).astype(np.uint64)
         packed = token_files.EliasFano.encode(values).pack()
         back, end = token_files.EliasFano.unpack(memoryview(packed), 0)
-        assert end == len(packed) and (back.values() == values.astype(np.int64)).all()
+        assert end == len(packed) and (back.selected(0, n) == values.astype(np.int64)).all()
+        a, b = n // 3, n - n // 5
+        assert (back.selected(a, b) == values[a:b].astype(np.int64)).all()
         assert [back.select(i) for i in range(n)] == values.tolist()
     assert len(token_files.EliasFano.encode(np.arange(100_000, dtype=np.uint64) * 400).pack()) < 100_000 * 12 / 8
 
@@ -231,11 +267,42 @@ def test_lm_trains_on_every_place(docs):
     net = lm_scoring.fit(tokens, warm_up=0)
     held = [np.frombuffer(r["tokens"], "<u2") for r in tokens.collect()]
     want = lm_scoring.Network.new(lm_scoring.bucket_counts(tokens))
-    flat, places = lm_scoring.padded([d for d in held if len(d)])
+    order = np.argsort([r["h"] for r in tokens.select("h").collect()], kind="stable")
+    flat, places = lm_scoring.padded([held[i] for i in order if len(held[i])])
     want.train(flat, places, np.random.default_rng([0, 0]))
     assert np.allclose(net.weights(), want.weights(), atol=5e-3)
 
 
+def test_lm_does_not_depend_on_partitions(docs):
+    got = [{r["doc_id"]: r["log_prob"] for r in lm_scoring.lm_scores(docs.repartition(n), block=20_000).collect()} for n in (1, 7)]
+    assert got[0] == pytest.approx(got[1], rel=1e-6)
+
+
+def test_lm_scores_by_brute_force(docs, texts):
+    """The trained network's scores, token by token in plain loops."""
+    net = lm_scoring.fit(lm_scoring.tokenized(docs, "doc_id", "text"))
+    got = {r["doc_id"]: r["log_prob"] for r in lm_scoring.lm_scores(docs).collect()}
+    for d in sorted(texts)[:12]:
+        (tokens,) = lm_scoring.hashed([texts[d]])
+        total = 0.0
+        for i in range(min(len(tokens), 300)) if len(tokens) <= 300 else ():
+            h = np.zeros(lm_scoring.HIDDEN)
+            for k, o in enumerate(lm_scoring.OFFSETS):
+                j = i + o - lm_scoring.REACH
+                h += net.embed[tokens[j] if 0 <= j < len(tokens) else lm_scoring.PAD].astype(float) @ net.mix[k]
+            logits = np.tanh(h) @ net.out[:-1] + net.out[-1]
+            total += logits[net.classes[tokens[i]]] - np.log(np.exp(logits).sum()) + net.within[tokens[i]]
+        if len(tokens) <= 300:
+            assert got[d] == pytest.approx(total, rel=1e-4, abs=1e-3)
+
+
+def test_lm_hot_row(spark):
+    """Repeated rows, of which the start takes one, and a long text."""
+    df = spark.createDataFrame(rows(*[(1, "the same row again and again", "a")] * 400, (2, "long text " * 50_000, "a"), (3, "another", "b")), SCHEMA)
+    got = lm_scoring.lm_scores(df, warm_up=500, block=1000).collect()
+    assert len(got) == 402 and len({r["log_prob"] for r in got}) == 3
+
+
 def test_lm_odd(odd, empty):
     got = lm_scoring.lm_scores(odd).collect()
     assert len(got) == len(ODD)
@@ -266,6 +333,33 @@ def test_sharding_hot_text(spark):
     assert len(got) == 8 and max(r["b"] for r in got) < 1.1 * min(r["b"] for r in got)
 
 
+@pytest.mark.parametrize("ranges", [None, 7, 300])
+def test_sharding_is_the_order_cut_evenly(spark, ranges):
+    """Every record's shard by brute force; groups of equal texts that fit stay together, however many boundaries
+    fall on them."""
+    rng = random.Random(9)
+    made = [(i, f"text {i % 700} " * rng.choice((1, 3, 40)), "a") for i in range(3000)] + [(5000 + i, "large group " * 10, "a") for i in range(900)] + [(7000 + i, "fitting group " * 10, "b") for i in range(12)]
+    df = spark.createDataFrame(rows(*made), SCHEMA)
+    shards = 6
+    keys = {r["doc_id"]: r["h"] for r in df.select("doc_id", F.xxhash64("text").alias("h")).collect()}
+    text = {d: t for d, t, _ in made}
+    order = sorted(text, key=lambda d: (keys[d], d))
+    size, group = {d: len(text[d].encode()) + 8 for d in text}, defaultdict(int)
+    for d in text:
+        group[keys[d]] += size[d]
+    total, at, want, start = sum(size.values()), 0, {}, {}
+    for d in order:
+        start.setdefault(keys[d], at)
+        large = group[keys[d]] > total // (shards * sharding.SPLIT)
+        want[d] = min(shards - 1, int((at if large else start[keys[d]] + group[keys[d]] // 2) * shards / total))
+        at += size[d]
+    got = {r["doc_id"]: r for r in sharding.shard(df, shards=shards, ranges=ranges).collect()}
+    assert {d: r["shard"] for d, r in got.items()} == want
+    assert len({want[7000 + i] for i in range(12)}) == 1 and len({want[5000 + i] for i in range(900)}) > 1
+    for s in range(shards):
+        assert [got[d]["slot"] for d in order if want[d] == s] == list(range(sum(v == s for v in want.values())))
+
+
 def test_sharding_odd(odd, empty):
     got = sharding.shard(odd).collect()
     assert len(got) == len(ODD)
@@ -320,6 +414,17 @@ def test_suffix_dedup_odd(odd, empty):
     assert suffix_dedup.removals(empty).count() == 0
 
 
+def test_suffix_dedup_crowds(spark):
+    """Many copies of one text over many chunks, a passage in every chunk, and a text as large as many chunks."""
+    rng = random.Random(4)
+    passage = "this passage is in very many of the documents of the table, word by word and sign by sign. "
+    made = [(i, "one text that occurs again and again in the table, always the same one", "a") for i in range(0, 300, 2)]
+    made += [(i, "".join(rng.choice("abc ") for _ in range(60)) + passage + str(i), "a") for i in range(1, 300, 2)]
+    made += [(1000, " ".join(str(rng.randrange(10**9)) for _ in range(30_000)) + passage, "a")]
+    df = spark.createDataFrame(rows(*made), SCHEMA).repartition(5)
+    assert removed(df, chunk_rows=40) == brute_removed([(d, t.encode()) for d, t, _ in made], 50)
+
+
 def test_suffix_dedup_ties(spark):
     text = "x" * 10 + "one passage that is longer than fifty bytes for certain, yes" * 2
     same = spark.createDataFrame(rows((5, text, "a"), (5, text, "a"), (9, text, "a"), (None, text, "a"), (None, text, "a")), SCHEMA)
@@ -327,11 +432,11 @@ def test_suffix_dedup_ties(spark):
     assert got == [("5", 0), ("5", 0), ("9", len(text)), ("None", len(text)), ("None", len(text))]
 
 
-def test_collection_is_the_sorted_suffixes(tmp_path):
+def test_collection_is_the_sorted_suffixes():
     rng = np.random.default_rng(6)
     strings = [bytes(rng.integers(97, 100, rng.integers(1, 20)).astype(np.uint8)) for _ in range(30)]
     text, ends = np.frombuffer(b"".join(strings), np.uint8), np.cumsum([len(s) for s in strings])
-    built = suffix_dedup.Collection(text, ends, str(tmp_path)).build()
+    built = suffix_dedup.Collection(text, ends).build()
     symbols, common = built.read()
     places = built.places()[len(strings) :]
     owner = np.searchsorted(ends, places, "right")
@@ -428,6 +533,35 @@ def test_mixing_prefers_weight(spark):
     assert sum(r["doc_id"] % 2 == 0 for r in got) > 0.8 * min(len(got), 250)
 
 
+@pytest.mark.parametrize("weight", [0.001, 1.0, 50.0])
+def test_mixing_whole(spark, weight):
+    """The documents taken, by brute force: keys in order until the sizes reach the rest; in many ranges, of near
+    equal size whatever the weights."""
+    rng = random.Random(5)
+    texts = {i: "w " * rng.randrange(1, 40) for i in range(3000)}
+    df = spark.createDataFrame(rows(*[(i, t, "ab"[i % 7 == 0]) for i, t in texts.items()]), SCHEMA)
+    got = {r["doc_id"]: r for r in mixing.mix(df, weight=F.lit(weight), range_rows=100).collect()}
+    key = {r["doc_id"]: r["k"] for r in df.select("doc_id", (-F.log(unit_hash(F.col("doc_id"), F.xxhash64("text"), F.lit(8))) / weight).alias("k")).collect()}
+    for s in (0, 1):
+        ids = sorted((i for i in texts if (i % 7 == 0) == s), key=lambda i: (key[i], i))
+        size = {i: len(words(texts[i])) for i in ids}
+        target, whole, upto = got[ids[0]]["target"], sum(size.values()), 0
+        for i in ids:
+            upto += size[i]
+            epochs = int(target // whole)
+            assert got[i]["copies"] == epochs + (epochs < 3 and upto - size[i] / 2 <= target - epochs * whole)
+    keyed = df.select(F.col("doc_id").alias("id"), (-F.log(unit_hash(F.col("doc_id"), F.lit(8))) / weight).alias("key"))
+    assert keyed and max(r["count"] for r in mixing._ranged(keyed, 100).groupBy("bucket").count().collect()) < 400
+
+
+def test_mixing_repeated_rows(spark):
+    """Rows with equal ids and texts get as many copies in all as the mix takes of them."""
+    df = spark.createDataFrame(rows(*[(i % 40, "w " * (1 + i % 40), "a") for i in range(200)], *[(1000 + i, "v " * 30, "b") for i in range(400)]), SCHEMA)
+    taken = {s: sum(r["taken"] for r in mixing.mix(df).collect() if r["group"] == s) for s in "ab"}
+    mixed = mixing.mixed(df).collect()
+    assert {s: sum(len(words(r["text"])) for r in mixed if r["source"] == s) for s in "ab"} == taken
+
+
 def test_mixing_odd(odd, empty):
     got = mixing.mix(odd).collect()
     assert len(got) == len(ODD) and all(r["taken"] == 0 for r in got if r["size"] == 0)
@@ -472,7 +606,7 @@ def test_pieces_viterbi(spark):
     pieces = {"▁": -5.0, "▁a": -2.0, "b": -3.0, "ab": -1.5, "▁ab": -4.5, "a": -3.0, "bb": -2.5, "c": -6.0, "abb": -3.8}
     model = sentencepieces.Model(("<unk>", *pieces), (0.0, *pieces.values()), (False, *[True] * len(pieces)), None, 0, False)
     units = ["▁abb", "▁aab", "c", "▁bbabc", "▁axb", "b"]
-    df = spark.createDataFrame([(u, [1]) for u in units], "unit string, chunks array<long>")
+    df = spark.createDataFrame([(u, 0, 0) for u in units], "unit string, part int, places int")
     got = {r["unit"]: sentencepieces.unpacked(bytes(r["ids"]), 2).tolist() for r in sentencepieces.encode_units(df, model).collect()}
 
     def score(u):
@@ -488,6 +622,60 @@ def test_pieces_viterbi(spark):
     assert all(sentencepieces.best_path(u, ranks, model, lambda x: [0]) == score(u) for u in units)
 
 
+def test_pieces_equal_scores(spark):
+    """Of paths with equal scores the fold and the loop for long units take the same, as the library does."""
+    pieces = {"a": -1.0, "aa": -2.0, "aaa": -3.0, "b": -1.0, "ab": -2.0, "ba": -2.0}
+    model = sentencepieces.Model(("<unk>", *pieces), (0.0, *pieces.values()), (False, *[True] * len(pieces)), None, 0, False)
+    units = ["a" * n for n in range(1, 9)] + ["ab" * n for n in range(1, 5)] + ["b" * 70 + "a" * 120]
+    df = spark.createDataFrame([(u, 0, 0) for u in units], "unit string, part int, places int")
+    ranks = model.ranks()
+    for r in sentencepieces.encode_units(df, model).collect():
+        assert sentencepieces.unpacked(bytes(r["ids"]), 2).tolist() == sentencepieces.best_path(r["unit"], ranks, model, lambda x: [0])
+    assert sentencepieces.best_path("aaa", ranks, model, lambda x: [0]) == [model.pieces.index("aaa")]
+
+
+def test_pieces_merges_in_any_order(spark):
+    """Random BPE tables, in which a merge may make a pair that ranks before it, against the heap."""
+    rng = random.Random(3)
+    for seed in range(6):
+        pieces = ["a", "b", "c"] + list({"".join(rng.choice("abc") for _ in range(rng.randrange(2, 6))) for _ in range(60)})
+        model = sentencepieces.Model(("<unk>", *pieces), (0.0, *[-float(i) for i in rng.sample(range(len(pieces)), len(pieces))]), (False, *[True] * len(pieces)), None, 0, True)
+        units = list({"".join(rng.choice("abcd") for _ in range(rng.choice((1, 2, 5, 12, 61, 62, 90, 250)))) for _ in range(60)})
+        df = spark.createDataFrame([(u, 0, 0) for u in units], "unit string, part int, places int")
+        got = {r["unit"]: sentencepieces.unpacked(bytes(r["ids"]), 2).tolist() for r in sentencepieces.encode_units(df, model).collect()}
+        assert got == {u: sentencepieces.merge(u, model.ranks(), lambda x: [0]) for u in units}
+
+
+def test_pieces_by_viterbi(spark, docs, texts):
+    """Whole texts cut by the fold, against a loop over their units, which finds the best sum of scores."""
+    model = sentencepieces.by_rank(sentencepieces.load_model(library()[0]))
+    ranks, spell, done = model.ranks(), lambda x: [b + model.bytes_at for b in x.encode()], {}
+    for r in sentencepieces.encode(docs.limit(40), model, cached=500, decoded=True).collect():
+        units = model.units.findall(sentencepieces.marked(texts[r["doc_id"]]))
+        for u in units:
+            if u not in done:
+                done[u] = sentencepieces.best_path(u, ranks, model, spell)
+        assert r["ids"] == [i for u in units for i in done[u]] and r["text_crc32"] == zlib.crc32(texts[r["doc_id"]].encode())
+
+
+def test_pieces_hot_and_long_units(spark):
+    path, sp = library()
+    texts = [f"{'-' * 40} {'=' * 240} {'~' * 600} word{i} " + "日本語" * i for i in range(60)]
+    made = spark.createDataFrame(rows(*[(i, t, "s") for i, t in enumerate(texts)]), SCHEMA)
+    for cached in (0, 1000):
+        got = {r["doc_id"]: r["ids"] for r in sentencepieces.encode(made, path, cached=cached, chunk_bytes=2000).collect()}
+        assert got == {i: sp.encode(t) for i, t in enumerate(texts)}
+
+
+def test_pieces_refuses_other_settings(tmp_path):
+    path, _ = library()
+    data = open(path, "rb").read()
+    for field, name in ((b"\x12\x02\x18\x03", "kind"), (b"\x1a\x02\x20\x01", "white space"), (b"\x0a\x0a\x0a\x01q\x15\x00\x00\x80\xbf\x18\x04", "user-defined")):
+        (tmp_path / "m.model").write_bytes(data + field)
+        with pytest.raises(ValueError, match=name):
+            sentencepieces.load_model(str(tmp_path / "m.model"))
+
+
 # SimHash
 
 
