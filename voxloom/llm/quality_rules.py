@@ -20,8 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import c, documents
-from .token_files import slices
+from .common import c, documents, slices
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MOST_REPEAT_PERCENT, WINDOW = 50, 50, 3
@@ -36,8 +35,10 @@ def suffix_ranks(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[np
     with another text's. Round k's ranks agree where the first 2**k symbols do.
     """
     n = len(ids)
+    if n >= 1 << 31:
+        raise ValueError("a slice has too many words")
     sa = np.lexsort((ids, ends))
-    rank = np.empty(n, dtype=np.int64)
+    rank = np.empty(n, dtype=np.int32)  # a copy of all ranks is kept for each round
 
     def number(order: np.ndarray, starts: np.ndarray, differs: np.ndarray) -> np.ndarray:
         """Ranks of order: the place of the first of those that don't differ."""
