@@ -40,6 +40,11 @@ def is_number(value: Column) -> Column:
     return value.isNotNull() & ~F.isnan(value)
 
 
+def ieee_divide(a: Column, b: Column) -> Column:
+    """a / b as doubles, by zero too: infinity, or NaN for zero by zero. Spark's own division by zero is an error."""
+    return F.when(b == 0, a * F.lit(float("inf"))).otherwise(a / F.nullif(b, F.lit(0)))
+
+
 def speaking_rates(text: Column, duration: Column) -> Column:
     """A struct of speaking_rate, phonemes_per_word and char_rate, characters standing in for phonemes. The
     stripped text and its counts are computed once a row."""

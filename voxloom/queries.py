@@ -48,7 +48,7 @@ def clips(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(
         "doc_id", F.concat("source", F.lit("/doc_"), "doc_id").alias("id"), F.col("lang").alias("dataset"),
         F.when(F.col("doc_id") % 7 == 0, "").otherwise(F.col("source")).alias("speaker_id"), F.when(F.col("doc_id") % 11 == 0, "  ").otherwise(F.col("text")).alias("text"),
-        F.col("seconds").alias("duration"), (F.length(F.replace("text", F.lit(" "), F.lit(""))) / F.col("seconds") / (4 + F.col("doc_id") % 30)).alias("speaking_rate"),
+        F.col("seconds").alias("duration"), numbers.ieee_divide(numbers.ieee_divide(F.length(F.replace("text", F.lit(" "), F.lit(""))), F.col("seconds")), 4 + F.col("doc_id") % 30).alias("speaking_rate"),
         (1 + (F.col("value") * 7 % 400) / 100).alias("distillmos"), (F.col("value") * 3 % 60).alias("wada_snr"),
         pick(F.col("quality"), 0.9, 0.7, -1.0).alias("pyt_stoi"), pick(F.col("toxic"), float("nan"), 0.1, 0.2).alias("whisper_cer"),
         (4000.0 + F.col("doc_id") * 37 % 5000).alias("bandwidth_hz"), (F.col("doc_id") % 11 / 10.0).alias("asr_agreement"), (F.col("doc_id") % 5 / 4.0).alias("speaker_conf"),
