@@ -37,6 +37,6 @@ def test_ieee_divide(spark):
     assert got[:2] == [1.5, float("inf")] and got[2] != got[2] and got[3:] == [float("-inf"), None, None]
 
 
-@pytest.mark.parametrize("name", ["clean_rows", "clip_reasons", "clip_view", "drop_reasons"])
+@pytest.mark.parametrize("name", ["clean_rows", "clip_reasons", "clip_view", "drop_reasons", "fail_missing_share"])
 def test_clips_without_counted_characters(spark, uncounted, name):
     assert differences(queries.QUERIES[name](spark, uncounted), connect(uncounted), queries.ORACLES[name]) == []
