@@ -10,7 +10,7 @@ from voxloom import queries
 
 SF = "/root/testdata/sf0.001"
 #: text, lang, source, n_chars
-UNCOUNTED = [("", "en", "web", 0), ("   ", "de", "web", 0), ("words of which none is counted", "fr", "books", 0), ("words that are counted", "es", "web", None), ("of no source", "en", None, 0)]
+UNCOUNTED = [("", "en", "web", 0), ("   ", "de", "web", 0), ("words of which none is counted", "fr", "books", 0), ("words that are counted", "es", "web", None), ("of no source", "en", None, 0), ("of a blank source", "en", "\u00a0", 0)]
 
 
 def tables(spark, folder, rows):
@@ -37,6 +37,6 @@ def test_ieee_divide(spark):
     assert got[:2] == [1.5, float("inf")] and got[2] != got[2] and got[3:] == [float("-inf"), None, None]
 
 
-@pytest.mark.parametrize("name", ["clean_rows", "clip_reasons", "clip_view", "drop_reasons", "fail_missing_share"])
+@pytest.mark.parametrize("name", ["clean_rows", "clip_reasons", "clip_view", "drop_reasons", "fail_missing_share", "qa_summary"])
 def test_clips_without_counted_characters(spark, uncounted, name):
     assert differences(queries.QUERIES[name](spark, uncounted), connect(uncounted), queries.ORACLES[name]) == []

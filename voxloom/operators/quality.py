@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import is_number, sentinel_to_null
-from ..functions.text import is_blank
+from ..functions.text import is_blank, strip_text
 from ..schema import named
 from ..storage import new_folder
 
@@ -90,7 +90,7 @@ def summary(df: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:
     speaker = F.coalesce(F.nullif(_column(df, "speaker_id", "string"), F.lit("")), _column(df, "speaker", "string"))
     good = F.size(drop_reasons(df, limits)) == 0
     seconds = F.coalesce(F.nanvl(_column(df, "duration"), F.lit(0.0)), F.lit(0.0))
-    rows = df.select(seconds.alias("s"), F.nullif(F.trim(speaker), F.lit("")).alias("speaker"), good.alias("good"))
+    rows = df.select(seconds.alias("s"), F.nullif(strip_text(speaker), F.lit("")).alias("speaker"), good.alias("good"))
     out = rows.agg(F.count(F.lit(1)).alias("clips"), (F.coalesce(F.sum("s"), F.lit(0.0)) / 3600).alias("hours"), F.count_distinct("speaker").alias("speakers"), F.count_if("good").alias("kept"))
     return out.withColumn("kept_percent", F.expr("(100 * kept) div greatest(1, clips)"))
 
