@@ -40,3 +40,24 @@ def test_ieee_divide(spark):
 @pytest.mark.parametrize("name", ["clean_rows", "clip_reasons", "clip_view", "drop_reasons", "fail_missing_share", "qa_summary"])
 def test_clips_without_counted_characters(spark, uncounted, name):
     assert differences(queries.QUERIES[name](spark, uncounted), connect(uncounted), queries.ORACLES[name]) == []
+
+
+TEXTS = [
+    None, "", " ", "  both ends  ", "\ttab\t", "\nlines\n", "a\r\nb", "a\rb\r", "\x0b\x0c\x1c\x1f", "\u00a0\u3000", '"', '""', '"a"', 'a"', '"|', 'say "x" | y', "\\", '\\"', "a\\", "|", "#",
+    "null", "NULL", "\\N", "\x00", "a\x00b", 'a\x00"b', '"\x00', "\x00\n\x00", "\ufeffbom", "\U0001f600", "\x01",
+]
+
+
+def test_csv_keeps_texts_as_they_are(spark, tmp_path):
+    rows = [(t, lang, "web", 1) for t in TEXTS for lang in ("en", None, "", " d ")]
+    folder = tables(spark, tmp_path / "texts", rows)
+    assert differences(queries.csv_round_trip(spark, folder), connect(folder), queries.ORACLES["csv_round_trip"]) == []
+
+
+def test_csv_of_the_usual_dialect_keeps_white_space(spark, tmp_path):
+    from voxloom.sources import clips, sinks
+
+    df = spark.createDataFrame([(str(i), "x.wav", t) for i, t in enumerate(TEXTS)], "id string, audio_file string, text string")
+    sinks.write_csv(df, f"{tmp_path}/c")
+    back = {int(r["id"]): r["text"] for r in clips.read_csv(spark, f"{tmp_path}/c").collect()}
+    assert [back[i] for i in range(len(TEXTS))] == [t or "" for t in TEXTS]

@@ -128,8 +128,8 @@ def only_missing_fill(spark, sf):
 def csv_round_trip(spark, sf):
     path = new_folder(spark, "csv")
     d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), F.concat(F.lit("clips/"), "doc_id", F.lit(".wav")).alias("audio_file"), "text", F.col("lang").alias("dataset"))
-    sinks.write_csv(d, path, declared=["late"])
-    return source.read_csv(spark, path).select(F.col("id").cast("long").alias("id"), "text", "dataset")
+    sinks.write_csv(d, path, declared=["late"], options=sinks.EMPTY_QUOTED)
+    return source.read_csv(spark, path, options=source.EMPTY_KEPT, missing_text=None).select(F.col("id").cast("long").alias("id"), "text", "dataset")
 
 
 @query("SELECT doc_id AS id, text, n_chars / 150.0::DOUBLE AS duration FROM documents")

@@ -18,7 +18,11 @@ from ..functions.arrays import file_stem
 from ..functions.signal import wav_header
 from ..schema import CLIP_COLUMNS, named
 
-CSV_DIALECT = {"sep": "|", "header": "true", "quote": '"', "escape": '"', "multiLine": "true", "encoding": "UTF-8"}
+# Left unset, charToEscapeQuoteEscaping is the null character, which is then lost from quoted cells
+CSV_DIALECT = {"sep": "|", "header": "true", "quote": '"', "escape": '"', "charToEscapeQuoteEscaping": '"', "multiLine": "true", "encoding": "UTF-8"}
+#: For read_csv: only cells that aren't quoted are null when empty, as sinks.EMPTY_QUOTED writes them. What stands for
+#: null while parsing is a code point that Unicode leaves to programs and no text should have.
+EMPTY_KEPT = {"nullValue": "\uffff", "emptyValue": ""}
 
 
 def file_pattern(pattern: str | None) -> str | None:
@@ -32,11 +36,11 @@ def resolve(root: str, path: Column) -> Column:
     return F.when(absolute, path).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), path))
 
 
-def adapt(df: DataFrame, audio_key: str = "audio_file", id_key: str = "id", audio_format: str = "wav", root: str | None = None, defaults: dict | None = None, source: Column | None = None, row: Column | None = None) -> DataFrame:
+def adapt(df: DataFrame, audio_key: str = "audio_file", id_key: str = "id", audio_format: str = "wav", root: str | None = None, defaults: dict | None = None, source: Column | None = None, row: Column | None = None, missing_text: str | None = "") -> DataFrame:
     """Rows as clips: numbers parsed where they parse, the audio column renamed, its path as given kept in
     `path`, a missing id made from source and row, all other columns passed through as they are.
     The keys of a `metadata` column of texts become columns: see spread_metadata(). Defaults are added
-    where there is no value. Rows without audio go."""
+    where there is no value; a text that is missing is missing_text. Rows without audio go."""
     if "metadata" in df.columns and df.schema["metadata"].dataType == T.StringType():
         df = spread_metadata(df)
     has = lambda k: named(k) if k in df.columns else F.lit(None).cast("string")
@@ -45,7 +49,7 @@ def adapt(df: DataFrame, audio_key: str = "audio_file", id_key: str = "id", audi
     out = {
         "id": F.coalesce(has(id_key).cast("string"), made), "audio_file": resolve(root, audio) if root else audio, "format": F.coalesce(has("format"), F.lit(audio_format)),
         "sample_rate": has("sample_rate").cast("string").try_cast("int"), "channels": has("channels").cast("string").try_cast("int"), "bit_rate": has("bit_rate").cast("string"),
-        "duration": has("duration").cast("string").try_cast("double"), "text": F.coalesce(has("text").cast("string"), F.lit("")), "path": audio,
+        "duration": has("duration").cast("string").try_cast("double"), "text": F.coalesce(has("text").cast("string"), F.lit(missing_text)), "path": audio,
     }
     more = [x for x in df.columns if x not in {*CLIP_COLUMNS, audio_key, id_key, "path"} and not x.startswith("_src")]
     added = {k: F.lit(v) for k, v in (defaults or {}).items() if k not in more}

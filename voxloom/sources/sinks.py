@@ -15,7 +15,9 @@ from ..functions.signal import encode_wav, load
 from ..schema import named, ordered
 from .clips import CSV_DIALECT
 
-CSV_OUT = {k: v for k, v in CSV_DIALECT.items() if k != "multiLine"} | {"emptyValue": "", "nullValue": ""}
+CSV_OUT = {k: v for k, v in CSV_DIALECT.items() if k != "multiLine"} | {"emptyValue": "", "nullValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+#: For write_csv: empty texts are quoted, so that a reader can tell them from nulls (see clips.EMPTY_KEPT).
+EMPTY_QUOTED = {"emptyValue": '""'}
 
 
 def flat(df: DataFrame) -> DataFrame:
