@@ -29,6 +29,17 @@ def test_results_do_not_depend_on_partitions(spark, con, name, parts):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+@pytest.mark.parametrize("name", ["clip_view"])
+def test_clips_broadcast_no_table(spark, con, name):
+    """Whatever the size of the files of events and labels: a driver's memory may not hold their rows."""
+    before = spark.conf.get("spark.sql.maxBroadcastTableSize")
+    spark.conf.set("spark.sql.maxBroadcastTableSize", 1000)
+    try:
+        assert differences(queries.QUERIES[name](spark, SF), con, queries.ORACLES[name]) == []
+    finally:
+        spark.conf.set("spark.sql.maxBroadcastTableSize", before)
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

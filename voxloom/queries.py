@@ -41,8 +41,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def clips(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents meet events and labels by sorted merges: tables whose files are small enough for Spark to
+    broadcast them by itself can have more rows than the driver's memory holds."""
     d, e, l = (table(spark, sf, x) for x in ("documents", "events", "labels"))
-    rows = d.join(e.select("event_id", "value"), d["doc_id"] == e["event_id"], "left").join(l, "doc_id", "left")
+    rows = d.join(e.select("event_id", "value").hint("merge"), d["doc_id"] == e["event_id"], "left").join(l.hint("merge"), "doc_id", "left")
     rows = rows.withColumn("seconds", F.col("n_chars") / 150.0)
     pick = lambda c, one, zero, none: F.when(c == 1, one).when(c == 0, zero).otherwise(none)
     return rows.select(
