@@ -29,7 +29,7 @@ def test_results_do_not_depend_on_partitions(spark, con, name, parts):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-@pytest.mark.parametrize("name", ["clip_view", "drop_reasons"])
+@pytest.mark.parametrize("name", ["clip_view", "drop_reasons", "fail_missing_share"])
 def test_clips_broadcast_no_table(spark, con, name):
     """Whatever the size of the files of events and labels: a driver's memory may not hold their rows."""
     before = spark.conf.get("spark.sql.maxBroadcastTableSize")
