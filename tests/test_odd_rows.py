@@ -42,6 +42,14 @@ def test_clips_without_counted_characters(spark, uncounted, name):
     assert differences(queries.QUERIES[name](spark, uncounted), connect(uncounted), queries.ORACLES[name]) == []
 
 
+@pytest.mark.parametrize("name", ["clip_view"])
+def test_clips_of_no_document_id(spark, tmp_path, name):
+    folder = tables(spark, tmp_path / "ids", [])
+    rows = spark.createDataFrame([(None, "of no id", "en", "web", 5), (-4, "of an id that divides by zero", "en", "web", 5)], "doc_id long, text string, lang string, source string, n_chars long")
+    rows.write.mode("append").parquet(f"{folder}/documents.parquet")
+    assert differences(queries.QUERIES[name](spark, folder), connect(folder), queries.ORACLES[name]) == []
+
+
 TEXTS = [
     None, "", " ", "  both ends  ", "\ttab\t", "\nlines\n", "a\r\nb", "a\rb\r", "\x0b\x0c\x1c\x1f", "\u00a0\u3000", '"', '""', '"a"', 'a"', '"|', 'say "x" | y', "\\", '\\"', "a\\", "|", "#",
     "null", "NULL", "\\N", "\x00", "a\x00b", 'a\x00"b', '"\x00', "\x00\n\x00", "\ufeffbom", "\U0001f600", "\x01",

@@ -48,7 +48,7 @@ def clips(spark: SparkSession, sf: str) -> DataFrame:
     rows = rows.withColumn("seconds", F.col("n_chars") / 150.0)
     pick = lambda c, one, zero, none: F.when(c == 1, one).when(c == 0, zero).otherwise(none)
     return rows.select(
-        "doc_id", F.concat(F.coalesce("source", F.lit("")), F.lit("/doc_"), "doc_id").alias("id"), F.col("lang").alias("dataset"),
+        "doc_id", F.concat(F.coalesce("source", F.lit("")), F.lit("/doc_"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("id"), F.col("lang").alias("dataset"),
         F.when(F.col("doc_id") % 7 == 0, "").otherwise(F.col("source")).alias("speaker_id"), F.when(F.col("doc_id") % 11 == 0, "  ").otherwise(F.col("text")).alias("text"),
         F.col("seconds").alias("duration"), numbers.ieee_divide(numbers.ieee_divide(F.length(F.replace("text", F.lit(" "), F.lit(""))), F.col("seconds")), 4 + F.col("doc_id") % 30).alias("speaking_rate"),
         (1 + (F.col("value") * 7 % 400) / 100).alias("distillmos"), (F.col("value") * 3 % 60).alias("wada_snr"),
