@@ -50,6 +50,37 @@ def test_clips_of_no_document_id(spark, tmp_path, name):
     assert differences(queries.QUERIES[name](spark, folder), connect(folder), queries.ORACLES[name]) == []
 
 
+def shuffled_bytes(df):
+    """Runs a query; the bytes that all its exchanges were given."""
+
+    def of(plan):
+        name = plan.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            return of(plan.executedPlan())
+        if "QueryStage" in name:
+            return of(plan.plan())
+        below = plan.children()
+        own = plan.metrics().apply("dataSize").value() if name == "Exchange" else 0
+        return own + sum(of(below.apply(i)) for i in range(below.size()))
+
+    df.collect()
+    return of(df._jdf.queryExecution().executedPlan())
+
+
+@pytest.fixture(scope="module")
+def long_texts(spark, tmp_path_factory):
+    """Forty texts of 100,000 characters."""
+    return tables(spark, tmp_path_factory.mktemp("odd") / "long", [("words " * 16_666 + "last", "en", "web", 100_000)] * 40)
+
+
+@pytest.mark.parametrize("name", ["fail_missing_share"])
+def test_figures_send_no_texts_through_the_joins(spark, long_texts, name):
+    """Whole texts in a merge's sort ran out of a small heap's memory."""
+    df = queries.QUERIES[name](spark, long_texts)
+    assert 0 < shuffled_bytes(df) < 1_000_000
+    assert differences(df, connect(long_texts), queries.ORACLES[name]) == []
+
+
 TEXTS = [
     None, "", " ", "  both ends  ", "\ttab\t", "\nlines\n", "a\r\nb", "a\rb\r", "\x0b\x0c\x1c\x1f", "\u00a0\u3000", '"', '""', '"a"', 'a"', '"|', 'say "x" | y', "\\", '\\"', "a\\", "|", "#",
     "null", "NULL", "\\N", "\x00", "a\x00b", 'a\x00"b', '"\x00', "\x00\n\x00", "\ufeffbom", "\U0001f600", "\x01",

@@ -42,16 +42,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def clips(spark: SparkSession, sf: str) -> DataFrame:
     """Documents meet events and labels by sorted merges: tables whose files are small enough for Spark to
-    broadcast them by itself can have more rows than the driver's memory holds."""
+    broadcast them by itself can have more rows than the driver's memory holds. What follows from a document
+    alone is computed before, so that the merges sort no text for a query that needs only such figures."""
     d, e, l = (table(spark, sf, x) for x in ("documents", "events", "labels"))
-    rows = d.join(e.select("event_id", "value").hint("merge"), d["doc_id"] == e["event_id"], "left").join(l.hint("merge"), "doc_id", "left")
-    rows = rows.withColumn("seconds", F.col("n_chars") / 150.0)
-    pick = lambda c, one, zero, none: F.when(c == 1, one).when(c == 0, zero).otherwise(none)
-    return rows.select(
+    d = d.withColumn("seconds", F.col("n_chars") / 150.0).select(
         "doc_id", F.concat(F.coalesce("source", F.lit("")), F.lit("/doc_"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("id"), F.col("lang").alias("dataset"),
         F.when(F.col("doc_id") % 7 == 0, "").otherwise(F.col("source")).alias("speaker_id"), F.when(F.col("doc_id") % 11 == 0, "  ").otherwise(F.col("text")).alias("text"),
         F.col("seconds").alias("duration"), numbers.ieee_divide(numbers.ieee_divide(F.length(F.replace("text", F.lit(" "), F.lit(""))), F.col("seconds")), 4 + F.col("doc_id") % 30).alias("speaking_rate"),
-        (1 + (F.col("value") * 7 % 400) / 100).alias("distillmos"), (F.col("value") * 3 % 60).alias("wada_snr"),
+    )
+    rows = d.join(e.select("event_id", "value").hint("merge"), d["doc_id"] == e["event_id"], "left").join(l.hint("merge"), "doc_id", "left")
+    pick = lambda c, one, zero, none: F.when(c == 1, one).when(c == 0, zero).otherwise(none)
+    return rows.select(
+        *d.columns, (1 + (F.col("value") * 7 % 400) / 100).alias("distillmos"), (F.col("value") * 3 % 60).alias("wada_snr"),
         pick(F.col("quality"), 0.9, 0.7, -1.0).alias("pyt_stoi"), pick(F.col("toxic"), float("nan"), 0.1, 0.2).alias("whisper_cer"),
         (4000.0 + F.col("doc_id") * 37 % 5000).alias("bandwidth_hz"), (F.col("doc_id") % 11 / 10.0).alias("asr_agreement"), (F.col("doc_id") % 5 / 4.0).alias("speaker_conf"),
     )
