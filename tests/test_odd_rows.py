@@ -73,7 +73,7 @@ def long_texts(spark, tmp_path_factory):
     return tables(spark, tmp_path_factory.mktemp("odd") / "long", [("words " * 16_666 + "last", "en", "web", 100_000)] * 40)
 
 
-@pytest.mark.parametrize("name", ["fail_missing_share"])
+@pytest.mark.parametrize("name", ["drop_reasons", "fail_missing_share"])
 def test_figures_send_no_texts_through_the_joins(spark, long_texts, name):
     """Whole texts in a merge's sort ran out of a small heap's memory."""
     df = queries.QUERIES[name](spark, long_texts)
@@ -87,6 +87,14 @@ TEXTS = [
 ]
 
 
+def test_blank_texts_are_told_without_the_texts(spark, tmp_path):
+    from voxloom.operators import quality
+
+    folder = tables(spark, tmp_path / "blanks", [(t, "en", "web", 1) for t in [*TEXTS, "\u0085", "\u2028\u2029\u180e", "\u200b", "\n\n\U0001f600", " " * 100_000]])
+    reasons = [sorted(tuple(r) for r in quality.with_reasons(queries.clips(spark, folder, whole), queries.LIMITS).select("doc_id", F.array_join("reasons", " ")).collect()) for whole in (True, False)]
+    assert reasons[0] == reasons[1] and len(reasons[0]) > len(TEXTS)
+
+
 def test_csv_keeps_texts_as_they_are(spark, tmp_path):
     rows = [(t, lang, "web", 1) for t in TEXTS for lang in ("en", None, "", " d ")]
     folder = tables(spark, tmp_path / "texts", rows)

@@ -40,16 +40,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def clips(spark: SparkSession, sf: str) -> DataFrame:
+def clips(spark: SparkSession, sf: str, texts: bool = True) -> DataFrame:
     """Documents meet events and labels by sorted merges: tables whose files are small enough for Spark to
     broadcast them by itself can have more rows than the driver's memory holds. What follows from a document
-    alone is computed before, so that the merges sort no text for a query that needs only such figures."""
+    alone is computed before, so that the merges sort no text for a query that needs only such figures. Without
+    texts, a text that isn't blank is told by its first character that isn't white space, a blank one by none."""
     d, e, l = (table(spark, sf, x) for x in ("documents", "events", "labels"))
     d = d.withColumn("seconds", F.col("n_chars") / 150.0).select(
         "doc_id", F.concat(F.coalesce("source", F.lit("")), F.lit("/doc_"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("id"), F.col("lang").alias("dataset"),
         F.when(F.col("doc_id") % 7 == 0, "").otherwise(F.col("source")).alias("speaker_id"), F.when(F.col("doc_id") % 11 == 0, "  ").otherwise(F.col("text")).alias("text"),
         F.col("seconds").alias("duration"), numbers.ieee_divide(numbers.ieee_divide(F.length(F.replace("text", F.lit(" "), F.lit(""))), F.col("seconds")), 4 + F.col("doc_id") % 30).alias("speaking_rate"),
     )
+    d = d if texts else d.withColumn("text", F.regexp_extract("text", r"(?U)\S", 0))
     rows = d.join(e.select("event_id", "value").hint("merge"), d["doc_id"] == e["event_id"], "left").join(l.hint("merge"), "doc_id", "left")
     pick = lambda c, one, zero, none: F.when(c == 1, one).when(c == 0, zero).otherwise(none)
     return rows.select(
@@ -333,7 +335,7 @@ def job_resume(spark, sf):
 
 @query(f"WITH {CLIPS}, {REASONS}, x AS (SELECT unnest(reasons) AS reason FROM marked) SELECT reason, count(*)::BIGINT AS clips, round_even(100 * count(*) / (SELECT count(*) FROM marked)::DOUBLE, 6) AS percent FROM x GROUP BY reason")
 def drop_reasons(spark, sf):
-    return quality.reason_counts(clips(spark, sf), LIMITS).withColumn("percent", F.bround("percent", 6))
+    return quality.reason_counts(clips(spark, sf, texts=False), LIMITS).withColumn("percent", F.bround("percent", 6))
 
 
 @query(f"WITH {CLIPS}, {REASONS} SELECT id, array_to_string(reasons, ' ') AS reasons FROM marked")
